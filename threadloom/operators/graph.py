@@ -8,7 +8,6 @@ real reply dumps hardly have, go through label propagation on a folded graph.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,6 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import stage
 from .skew import HOT_ROWS, salted_join
 
+# Pointer hops per round: every round multiplies the reach by HOPS + 1.
+HOPS = 3
+
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -26,73 +28,70 @@ def _least(left: Column, right: Column) -> Column:
     return F.coalesce(F.least(left, right), left, right)
 
 
-def _fold_chains(state: DataFrame, nodes: int, hot_rows: int) -> DataFrame:
+def _fold_chains(heads: DataFrame, active: DataFrame, rows: int, hot_rows: int) -> DataFrame:
     """Pointer doubling over nodes with exactly one incoming edge.
 
     Rows are (id, ptr, best): ``best`` is the lowest root on the path from the
-    node up to, but not including, ``ptr``; a null ``ptr`` marks a head.  In
-    the result ``ptr`` is the head above the node, or null with ``in_cycle``
-    set when the chain leads into a cycle.
+    node up to, but not including, ``ptr``; heads have no ``ptr``.  In the
+    result ``ptr`` is the head above the node, or null below a cycle.
+
+    While a node that leads to a head is left, its ancestors close to the head
+    finish in every round.  So a round in which nobody finishes leaves only
+    cycles, and once no ``best`` moves either, each covers its whole cycle.
     """
-    heads = state.filter("ptr is null").select("id", "ptr", "best")
-    active = state.filter("ptr is not null").select("id", "ptr", "best")
     finished: list[DataFrame] = []
-    for _ in range(math.ceil(math.log2(max(nodes, 2))) + 1):
-        if active.isEmpty():
-            break
+    while rows:
+        # Hops of one round read the same table, so its shuffle is done once.
         target = _union([heads, *finished, active]).select(
             F.col("id").alias("t_id"), F.col("ptr").alias("t_ptr"), F.col("best").alias("t_best"))
-        hop = salted_join(active, target, "ptr", "t_id", "inner", F.col("id"), hot_rows)
+        step = active.withColumns({"was": F.col("best"), "done": F.lit(False)})
+        for _ in range(HOPS):
+            hop = salted_join(step, target, "ptr", "t_id", "inner", F.col("id"), hot_rows, rows)
+            at_head = F.col("done") | F.col("t_ptr").isNull()
+            step = hop.select(
+                "id", F.when(at_head, F.col("ptr")).otherwise(F.col("t_ptr")).alias("ptr"),
+                F.when(at_head, F.col("best")).otherwise(_least(F.col("best"), F.col("t_best"))).alias("best"),
+                "was", at_head.alias("done"))
         moved = stage(
-            hop.select(
-                "id",
-                F.coalesce("t_ptr", "ptr").alias("ptr"),
-                F.when(F.col("t_ptr").isNull(), F.col("best"))
-                .otherwise(_least(F.col("best"), F.col("t_best"))).alias("best"),
-                F.col("t_ptr").isNull().alias("done"),
-            ),
-            "owner-round",
-        )
+            step.select("id", "ptr", "best", "done", (~F.col("best").eqNullSafe(F.col("was"))).alias("changed")), "owner-round")
+        progress = moved.agg(
+            F.count_if(F.col("done")).alias("done"), F.count_if(F.col("done") | F.col("changed")).alias("moving")).first()
         finished.append(moved.filter("done").select("id", "ptr", "best"))
         active = moved.filter("not done").select("id", "ptr", "best")
-    settled = _union(finished).withColumn("in_cycle", F.lit(False)) if finished else None
-    looping = active.select("id", F.lit(None).cast("bigint").alias("ptr"), "best", F.lit(True).alias("in_cycle"))
-    return looping if settled is None else settled.unionByName(looping)
-
-
-def _settle_heads(
-    heads: DataFrame, inflow: DataFrame, hot_rows: int
-) -> DataFrame:
-    """Lowest root reaching every head: (id, best), by propagation over folded edges."""
-    # What enters a head from outside its own fold, before any propagation.
-    entered = inflow.groupBy(F.col("dst").alias("id")).agg(F.min("best").alias("entered"))
-    value = stage(
-        heads.join(entered, "id", "left").select("id", _least(F.col("best"), F.col("entered")).alias("best")),
-        "owner-heads",
-    )
-    edges = stage(
-        inflow.filter("src is not null").select("src", "dst").distinct(), "owner-folded-edges")
-    changed = value.filter("best is not null")
-    while not edges.isEmpty():
+        rows -= progress["done"]
+        if not progress["moving"]:
+            break
+    looping = active.withColumn("ptr", F.lit(None).cast("bigint"))
+    return _union([*finished, looping])
+
+
+def _settle_heads(heads: DataFrame, inflow: DataFrame, inflow_rows: int, hot_rows: int) -> DataFrame:
+    """Lowest root reaching every head: (id, best), by propagation over folded edges.
+
+    ``inflow`` rows (src, dst, best) say that head ``src`` leads into head
+    ``dst`` along a path whose lowest root is ``best``.  Only heads that just
+    improved offer their value to the next ones.
+    """
+    def lowest(offers: list[DataFrame]) -> DataFrame:
+        return _union(offers).groupBy("id").agg(F.min("best").alias("best"))
+
+    edges = inflow.filter("src is not null").select("src", "dst")
+    known = [heads, inflow.select(F.col("dst").alias("id"), "best")]
+    changed = lowest(known).filter("best is not null")
+    while True:
         offers = (
             salted_join(edges, changed.select(F.col("id").alias("from_id"), "best"),
-                        "src", "from_id", "inner", F.col("dst"), hot_rows)
+                        "src", "from_id", "inner", F.col("dst"), hot_rows, inflow_rows)
             .groupBy(F.col("dst").alias("id"))
             .agg(F.min("best").alias("offer"))
         )
-        better = stage(
-            offers.join(value, "id").filter("best is null or offer < best").select("id", F.col("offer").alias("best")),
+        changed = stage(
+            offers.join(lowest(known), "id").filter("best is null or offer < best").select("id", F.col("offer").alias("best")),
             "owner-offers",
         )
-        if better.isEmpty():
-            break
-        value = stage(
-            value.join(better.withColumnRenamed("best", "offer"), "id", "left")
-            .select("id", F.coalesce("offer", "best").alias("best")),
-            "owner-heads",
-        )
-        changed = better
-    return value
+        if changed.isEmpty():
+            return lowest(known)
+        known.append(changed)
 
 
 def owners(nodes: DataFrame, edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -114,26 +113,29 @@ def owners(nodes: DataFrame, edges: DataFrame, hot_rows: int = HOT_ROWS) -> Data
         ),
         "owner-nodes",
     )
-    folded = _fold_chains(state, state.count(), hot_rows)
-    heads = state.filter("ptr is null").select("id", "best")
-    merging = state.filter("indegree > 1").select("id")
-    if merging.isEmpty():
-        value = heads
-    else:
+    sizes = state.agg(F.count("*").alias("n"), F.count("ptr").alias("chained"), F.count_if(F.col("indegree") > 1).alias("merging")).first()
+    heads = state.filter("ptr is null").select("id", "ptr", "best")
+    folded = _fold_chains(
+        heads, state.filter("ptr is not null").select("id", "ptr", "best"), sizes["chained"], hot_rows)
+    value = heads.select("id", "best")
+    if sizes["merging"]:
         # Edges into heads with several parents, seen from the folded source.
         sources = _union([
             folded.select("id", "ptr", "best"),
             heads.select("id", F.col("id").alias("ptr"), F.lit(None).cast(heads.schema["best"].dataType).alias("best")),
         ]).select(F.col("id").alias("s_id"), F.col("ptr").alias("s_head"), F.col("best").alias("s_best"))
-        into = edges.join(merging.withColumnRenamed("id", "dst"), "dst", "left_semi")
-        inflow = salted_join(into, sources, "src", "s_id", "inner", F.col("dst"), hot_rows).select(
-            F.col("s_head").alias("src"), "dst", F.col("s_best").alias("best"))
-        value = _settle_heads(heads, inflow, hot_rows)
+        merging = state.filter("indegree > 1").select(F.col("id").alias("m_id"))
+        into = salted_join(edges, merging, "dst", "m_id", "left_semi", F.col("src"), hot_rows)
+        inflow = stage(
+            salted_join(into, sources, "src", "s_id", "inner", F.col("dst"), hot_rows, sizes["n"]).select(
+                F.col("s_head").alias("src"), "dst", F.col("s_best").alias("best")),
+            "owner-inflow")
+        value = _settle_heads(value, inflow, inflow.count(), hot_rows)
     above = value.select(F.col("id").alias("h_id"), F.col("best").alias("h_best"))
-    through = salted_join(folded, above, "ptr", "h_id", "left", F.col("id"), hot_rows).select(
+    through = salted_join(folded, above, "ptr", "h_id", "left", F.col("id"), hot_rows, sizes["chained"]).select(
         "id", _least(F.col("best"), F.col("h_best")).alias("best"))
     return (
-        _union([value.select("id", "best"), through])
+        _union([value, through])
         .filter("best is not null")
         .select("id", F.col("best.id").alias("owner"))
     )

@@ -33,14 +33,20 @@ def salted_join(
     how: str,
     spread: Column,
     hot_rows: int = HOT_ROWS,
+    many_rows: int | None = None,
 ) -> DataFrame:
     """Join a side with repeated keys to a side with unique keys.
 
     Rows of a hot key in ``many`` are spread over salts by the hash of
     ``spread``; the one matching row of ``one`` is copied once per salt.  Keys
     that are not hot keep salt 0, so the join is an ordinary equi-join for
-    them.  ``how`` is any of inner, left, left_semi, left_anti.
+    them.  ``how`` is any of inner, left, left_semi, left_anti.  When ``many`` as
+    a whole is no larger than one hot key, there is nothing to spread; give
+    ``many_rows`` if the size is known already.
     """
+    if many_rows <= hot_rows if many_rows is not None else is_small(many, hot_rows):
+        side = one.withColumnRenamed(one_key, "_one_key")
+        return many.join(side, F.col(many_key) == F.col("_one_key"), how).drop("_one_key")
     hot = F.broadcast(hot_keys(many, many_key, hot_rows))
     left = (
         many.join(hot, F.col(many_key) == F.col("_hot_key"), "left")
@@ -59,8 +65,11 @@ def salted_join(
 
 
 def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """Size check before a broadcast; reads no more than ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Size check: at most ``max_rows`` rows.
+
+    ``take`` looks at a few partitions first and stops at the row that decides.
+    """
+    return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
 
 
 def lookup(

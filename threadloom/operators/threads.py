@@ -65,29 +65,37 @@ def thread_roots(posts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return _known_parent(posts, hot_rows).filter("inbound and not has_parent and tid >= 0").drop("has_parent")
 
 
+def _edges(flagged: DataFrame, hot_rows: int) -> DataFrame:
+    upward = flagged.filter("has_parent").select(F.col("parent_id").alias("src"), F.col("tid").alias("dst"))
+    listed = flagged.select(
+        F.col("tid").alias("src"), F.explode(F.split("response_tweet_id", ",")).alias("item")
+    ).select("src", normalize_id(F.trim("item")).alias("dst")).filter("dst >= 0")
+    known = flagged.select(F.col("tid").alias("known_id")).distinct()
+    listed = salted_join(listed, known, "dst", "known_id", "left_semi", F.col("src"), hot_rows)
+    return upward.unionByName(listed).distinct()
+
+
+def _flagged_ids(posts: DataFrame, hot_rows: int) -> DataFrame:
+    """Ids only, read several times by the graph steps: one narrow staged table."""
+    ids = posts.filter("tid >= 0").select("tid", "parent_id", "inbound", "created_at", "response_tweet_id")
+    return stage(_known_parent(ids, hot_rows), "post-ids")
+
+
 def reply_edges(posts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Distinct (src, dst) reply edges between posts of the corpus.
 
     Both the answered id of the child and the reply list of the parent count.
     """
-    nodes = posts.filter("tid >= 0")
-    known = nodes.select(F.col("tid").alias("known_id")).distinct()
-    upward = nodes.filter("parent_id >= 0").select(F.col("parent_id").alias("src"), F.col("tid").alias("dst"))
-    listed = nodes.select(
-        F.col("tid").alias("src"), F.explode(F.split("response_tweet_id", ",")).alias("item")
-    ).select("src", normalize_id(F.trim("item")).alias("dst")).filter("dst >= 0")
-    upward = salted_join(upward, known, "src", "known_id", "left_semi", F.col("dst"), hot_rows)
-    listed = salted_join(listed, known, "dst", "known_id", "left_semi", F.col("src"), hot_rows)
-    return upward.unionByName(listed).distinct()
+    return _edges(_flagged_ids(posts, hot_rows), hot_rows)
 
 
 def thread_owner(posts: DataFrame, order: str = "time", hot_rows: int = HOT_ROWS) -> DataFrame:
     """(tid, thread_id): the earliest root that reaches each post."""
-    flagged = _known_parent(posts, hot_rows).filter("tid >= 0")
+    flagged = _flagged_ids(posts, hot_rows)
     rank = F.struct(sort_key(F.col("created_at"), order).alias("at"), F.col("tid").alias("id"))
     nodes = flagged.select(
         F.col("tid").alias("id"), rank.alias("rank"), F.expr("inbound and not has_parent").alias("is_root"))
-    found = owners(nodes, reply_edges(posts, hot_rows), hot_rows)
+    found = owners(nodes, stage(_edges(flagged, hot_rows), "reply-edges"), hot_rows)
     return found.select(F.col("id").alias("tid"), F.col("owner").alias("thread_id"))
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,3 +66,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (once per application)."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        str(Path(tempfile.mkdtemp(prefix="threadloom-zip-")) / "threadloom"), "zip", root.parent, root.name)
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
