@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
@@ -123,15 +125,17 @@ def cross_validation(
     indexer = StringIndexer(inputCol=label, outputCol="target", stringOrderType="alphabetAsc").fit(training)
     dealt = cv_folds(training, label, id_col, folds)
     vectors = stage_vectors(dealt, text_col, label, tfidf, indexer, "fold")
-    out = None
-    for fold in range(folds):
+
+    def score(fold: int) -> DataFrame:
         rest = vectors.filter(F.col("fold") != fold)
         scored = _regression(rest.count()).fit(rest).transform(vectors.filter(F.col("fold") == fold))
-        one = scored.agg(
+        return scored.agg(
             F.avg((F.col("prediction") == F.col("target")).cast("double")).alias("accuracy"), F.count("*").alias("rows")
         ).withColumn("fold", F.lit(fold))
-        out = one if out is None else out.unionByName(one)
-    return out
+
+    # Independent fits; their jobs share the cluster.
+    with ThreadPool(folds) as pool:
+        return reduce(DataFrame.unionByName, pool.map(score, range(folds)))
 
 
 def cv_summary(per_fold: DataFrame) -> DataFrame:

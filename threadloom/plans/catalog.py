@@ -428,7 +428,7 @@ def cv_folds(spark, sf_dir):
 @query
 def l2_normalize(spark, sf_dir):
     vectors = fx.table(spark, sf_dir, "embeddings").select("vec_id", normalized(F.col("embedding")).alias("unit"))
-    return rounded(vectors.select("vec_id", F.posexplode("unit").alias("at", "value")).withColumn("at", F.col("at").cast("bigint")))
+    return rounded(vectors.select("vec_id", F.posexplode("unit").alias("place", "value")).withColumn("place", F.col("place").cast("bigint")))
 
 
 def _nearest(spark, sf_dir, exclude_same: bool) -> DataFrame:
@@ -662,7 +662,7 @@ def triage_rows(spark, sf_dir):
         corpus.select("id", "text", "embedding"), corpus, fx.taxonomy(spark), fx.LABELS, fx.stub_complete, fx.BRAND,
         exclude_same=True, sleep=lambda seconds: None)
     return made.select(
-        "id", "intent.intent", F.array_join(F.transform("similar_threads", lambda t: t["thread_id"]), ",").alias("similar"),
+        "id", "intent.intent", F.array_join(F.transform("similar_threads", lambda t: t["thread_id"]), ",").alias("similar_ids"),
         "reply.reply", F.array_join("reply.grounding_sources", ",").alias("sources"), *_decision("escalation"))
 
 
