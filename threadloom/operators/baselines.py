@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -18,6 +19,9 @@ from .skew import lookup
 from .tfidf import MAX_FEATURES, TfidfModel, fit_tfidf
 from .topk import top_k_sparse
 
+# Rows one task works through in a step of the optimiser.
+ROWS_PER_STEP_TASK = 20_000
+
 # Reply texts, reasons and strategies of the two baselines.
 TEMPLATE_REPLY = (
     "Hi there! We'd like to help. Can you DM us the details "
@@ -111,9 +115,14 @@ def fit_classifier(
 
 
 def stage_vectors(training: DataFrame, text_col: str, label: str, tfidf: TfidfModel, indexer: StringIndexerModel, *keep: str) -> DataFrame:
-    """Training vectors written once; the optimiser reads them in every step."""
+    """Training vectors written once; the optimiser reads them in every step.
+
+    Every step is a short job over all partitions, so there should be no more
+    of them than the rows fill.
+    """
     frame = indexer.transform(tfidf.transform(training, text_col, "features"))
-    return stage(frame.select("features", "target", *keep), "training-vectors")
+    vectors = stage(frame.select("features", "target", *keep), "training-vectors")
+    return vectors.coalesce(max(1, math.ceil(vectors.count() / ROWS_PER_STEP_TASK)))
 
 
 def cross_validation(

@@ -75,17 +75,21 @@ def stratified_sample(
     """Evaluation set by intent and difficulty, plus adversarial rows, then filled up.
 
     Needs columns ``intent``, ``difficulty`` and ``is_adversarial``.  Adds
-    ``phase`` (1 strata, 2 adversarial, 3 fill) and ``draw``.
+    ``phase`` (1 strata, 2 adversarial, 3 fill) and ``draw``; adversarial picks
+    become ``hard``.
     """
-    pool = candidates.withColumn("draw", draw_order(seed, F.col(id_col)))
-    intents = candidates.select("intent").distinct().agg(F.count("*")).scalar()
+    # Everything is decided on a narrow table; texts are fetched for the chosen rows only.
+    pool = stage(
+        candidates.select(id_col, "intent", "difficulty", "is_adversarial", draw_order(seed, F.col(id_col)).alias("draw")),
+        "sample-pool")
+    intents = pool.select("intent").distinct().agg(F.count("*")).scalar()
     base = F.floor((target - adversarial) / F.greatest(intents, F.lit(1)))
     quota = F.lit(None).cast("bigint")
     for name, share in shares.items():
         quota = F.when(F.col("difficulty") == name,
                        F.greatest(F.lit(1), F.floor(base * F.lit(float(share))))).otherwise(quota)
     strata = stage(
-        per_group(candidates, ["intent", "difficulty"], draw_order(seed, F.col(id_col)), id_col, target)
+        per_group(pool, ["intent", "difficulty"], F.col("draw"), id_col, target)
         .filter(F.col("place") <= quota).drop("place").withColumn("phase", F.lit(1)),
         "strata",
     )
@@ -107,7 +111,10 @@ def stratified_sample(
     if taken < target:
         chosen = chosen.unionByName(
             next_free(pool, target - taken, chosen, taken).withColumn("phase", F.lit(3)))
-    return chosen.orderBy("phase", "draw", id_col).limit(target)
+    chosen = chosen.orderBy("phase", "draw", id_col).limit(target)
+    decided = ["intent", "difficulty", "is_adversarial"]
+    # At most `target` rows.
+    return candidates.drop(*decided).join(F.broadcast(chosen), id_col)
 
 
 def golden_rows(sample: DataFrame, id_col: str = "thread_id", seed: int = SEED) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import WORD
-from ..session import stage
+from ..session import stage, widen
 from .skew import is_small
 
 # Fixed value: size of the vocabulary.
@@ -31,15 +31,16 @@ def tokens(text: Column, stop_words: Sequence[str] = ()) -> Column:
     return F.filter(found, lambda t: ~t.isin(list(stop_words)))
 
 
-def _neighbours(words: Column, join) -> Column:
-    """Pairs of adjacent tokens, after stop words are gone."""
+def bigrams(words: Column) -> Column:
+    """Adjacent tokens joined by a space, after stop words are gone."""
     pairs = F.greatest(F.size(words) - 1, F.lit(0))
-    return F.zip_with(F.slice(words, F.lit(1), pairs), F.slice(words, F.lit(2), pairs), join)
+    return F.zip_with(
+        F.slice(words, F.lit(1), pairs), F.slice(words, F.lit(2), pairs), lambda a, b: F.concat(a, F.lit(" "), b))
 
 
 def terms(words: Column) -> Column:
     """Unigrams and bigrams of a token array."""
-    return F.concat(words, _neighbours(words, lambda a, b: F.concat(a, F.lit(" "), b)))
+    return F.concat(words, bigrams(words))
 
 
 def _counted(items: Column) -> Column:
@@ -50,8 +51,9 @@ def _counted(items: Column) -> Column:
     return F.concat(F.transform(items, tagged(1, 0)), F.transform(F.array_distinct(items), tagged(0, 1)))
 
 
-def _totals(df: DataFrame, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.sum("tf").alias("total"), F.sum("df").alias("docs"))
+def _totals(items: DataFrame) -> DataFrame:
+    """(term, total, docs) from rows (item, tf, df), combined on the map side."""
+    return items.groupBy(F.col("item").alias("term")).agg(F.sum("tf").alias("total"), F.sum("df").alias("docs"))
 
 
 @dataclass
@@ -72,7 +74,7 @@ class TfidfModel:
         weigh = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="_tf", outputCol="_w")
         unit = Normalizer(p=2.0, inputCol="_w", outputCol=out)
         prepared = (
-            df.withColumn("_words", tokens(F.col(text_col), self.stop_words))
+            widen(df).withColumn("_words", tokens(F.col(text_col), self.stop_words))
             .withColumn("_terms", terms(F.col("_words")))
         )
         return unit.transform(weigh.transform(counter.transform(prepared))).drop("_words", "_terms", "_tf", "_w")
@@ -80,7 +82,8 @@ class TfidfModel:
     def weights(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """Long form (id, term, weight) of the same vectors."""
         parts = F.unwrap_udt("tfidf")
-        vocabulary = F.array(*[F.lit(t) for t in self.vocabulary])
+        # One literal that is split once; terms hold word characters and spaces only.
+        vocabulary = F.split(F.lit("\n".join(self.vocabulary)), "\n")
         return (
             self.transform(df, text_col)
             .select(id_col, F.explode(F.arrays_zip(
@@ -99,23 +102,19 @@ def fit_tfidf(
     frequent as the last of them can still get in, so all others are dropped
     before the shuffle.  The result is the same as without the pruning.
     """
-    words = corpus.select(tokens(F.col(text_col), stop_words).alias("words"))
+    words = widen(corpus.select(text_col)).select(tokens(F.col(text_col), stop_words).alias("words"))
     documents = corpus.count()
-    single = stage(
-        _totals(words.select(F.explode(_counted(F.col("words"))).alias("e")).select("e.*"), "item"),
-        "unigrams",
-    ).select(F.col("item").alias("term"), "total", "docs")
+    single = stage(_totals(words.select(F.explode(_counted(F.col("words"))).alias("e")).select("e.*")), "unigrams")
     last = single.orderBy(F.desc("total"), "term").limit(max_features).agg(
         F.min("total").alias("least"), F.count("*").alias("n")).first()
-    pair = _neighbours(F.col("words"), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    pairs = words.select(F.explode(_counted(pair)).alias("e")).select("e.item.a", "e.item.b", "e.tf", "e.df")
+    pairs = words.select(F.explode(_counted(bigrams(F.col("words")))).alias("e")).select("e.*")
     if last["n"] == max_features:
         frequent = single.filter(F.col("total") >= last["least"]).select("term")
         if is_small(frequent):
-            for side in ("a", "b"):
-                pairs = pairs.join(F.broadcast(frequent), F.col(side) == F.col("term"), "left_semi")
-    double = _totals(pairs, "a", "b").select(
-        F.concat("a", F.lit(" "), "b").alias("term"), "total", "docs")
+            for place in (1, -1):
+                word = F.substring_index("item", " ", place)
+                pairs = pairs.join(F.broadcast(frequent), word == F.col("term"), "left_semi")
+    double = _totals(pairs)
     chosen = (
         single.unionByName(double).orderBy(F.desc("total"), "term").limit(max_features).collect()
     )

@@ -35,14 +35,16 @@ def sparse(vector: Column) -> Column:
     return F.struct(parts["indices"].alias("at"), parts["values"].alias("value"))
 
 
-def _matrix(at: pd.Series, value: pd.Series, size: int) -> np.ndarray:
-    """Rows of unit length from canonical vectors."""
-    out = np.zeros((len(value), size))
-    for row, (places, numbers) in enumerate(zip(at, value)):
+def _matrix(frame: pd.DataFrame, size: int, unit: bool) -> np.ndarray:
+    """One matrix row per canonical vector, scaled to unit length if asked for."""
+    out = np.zeros((len(frame), size))
+    for row, (places, numbers) in enumerate(zip(frame["at"], frame["value"])):
         if places is None:
             out[row] = numbers
         else:
             out[row, np.asarray(places, dtype=np.int64)] = numbers
+    if not unit:
+        return out
     return out / (np.sqrt((out * out).sum(axis=1, keepdims=True)) + EPSILON)
 
 
@@ -72,6 +74,7 @@ def top_k(
     k: int,
     size: int,
     exclude_same: bool = False,
+    unit: bool = True,
     block_bytes: int = BLOCK_BYTES,
     corpus_block_rows: int = CORPUS_BLOCK_ROWS,
     chunk_rows: int = 2048,
@@ -80,7 +83,8 @@ def top_k(
 
     ``queries`` has (query_id, vector), ``corpus`` (corpus_id, vector), vectors
     in canonical form with ``size`` dimensions and ids of one type.
-    ``exclude_same`` leaves out the corpus row with the query's own id.
+    ``exclude_same`` leaves out the corpus row with the query's own id;
+    ``unit`` scales the vectors first, otherwise the score is their dot product.
     """
     query_rows = max(1, block_bytes // (8 * size))
     id_type = corpus.schema["corpus_id"].dataType
@@ -93,7 +97,7 @@ def top_k(
         block = queries.toPandas()
         if block.empty:
             return queries.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
-        query_ids, query_matrix = block["query_id"].to_numpy(), _matrix(block["at"], block["value"], size)
+        query_ids, query_matrix = block["query_id"].to_numpy(), _matrix(block, size, unit)
 
         def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             best = None
@@ -102,7 +106,7 @@ def top_k(
                     part = batch.iloc[start:start + chunk_rows]
                     hits = _score_block(
                         query_ids, query_matrix, part["corpus_id"].to_numpy(),
-                        _matrix(part["at"], part["value"], size), k, exclude_same)
+                        _matrix(part, size, unit), k, exclude_same)
                     best = hits if best is None else _best(pd.concat([best, hits]), k)
             if best is not None:
                 yield best
@@ -122,13 +126,13 @@ def top_k(
             best = pd.DataFrame({"query_id": [], "corpus_id": [], "score": []})
             if few.empty or many.empty:
                 return best
-            matrix = _matrix(few["at"], few["value"], size)
+            matrix = _matrix(few, size, unit)
             parts = []
             for start in range(0, len(many), chunk_rows):
                 part = many.iloc[start:start + chunk_rows]
                 parts.append(_score_block(
                     few["query_id"].to_numpy(), matrix, part["corpus_id"].to_numpy(),
-                    _matrix(part["at"], part["value"], size), k, exclude_same))
+                    _matrix(part, size, unit), k, exclude_same))
                 parts = [_best(pd.concat(parts), k)]
             return parts[0]
 
@@ -156,9 +160,9 @@ def top_k_sparse(
     queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str, query_vec: str, corpus_vec: str,
     size: int, k: int = 1, exclude_same: bool = False, **options,
 ) -> DataFrame:
-    """Top-k over Spark ML sparse vectors, e.g. TF-IDF weights."""
+    """Top-k over Spark ML sparse vectors of unit length, e.g. TF-IDF weights."""
     options.setdefault("chunk_rows", 512)
     return top_k(
         queries.select(F.col(query_id).alias("query_id"), sparse(F.col(query_vec)).alias("vector")),
         corpus.select(F.col(corpus_id).alias("corpus_id"), sparse(F.col(corpus_vec)).alias("vector")),
-        k, size, exclude_same, **options)
+        k, size, exclude_same, unit=False, **options)

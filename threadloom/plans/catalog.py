@@ -434,7 +434,8 @@ def l2_normalize(spark, sf_dir):
 def _nearest(spark, sf_dir, exclude_same: bool) -> DataFrame:
     vectors = fx.table(spark, sf_dir, "embeddings")
     hits = top_k_dense(vectors, vectors, "vec_id", "vec_id", "embedding", "embedding", 5, exclude_same=exclude_same)
-    return rounded(hits.withColumn("rank", F.col("rank").cast("bigint")))
+    # Scores are rounded by the operator already.
+    return hits.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @query
@@ -459,7 +460,7 @@ def tfidf_top1(spark, sf_dir):
     documents = fx.messages(spark, sf_dir)
     model = fit_tfidf(documents, "text", stop_words=fx.STOP_WORDS)
     items = fx.table(spark, sf_dir, "benchmark")
-    return rounded(baselines.nearest_reply(items, documents, model, "item_id", "text", "id", "text", "agent_response"))
+    return baselines.nearest_reply(items, documents, model, "item_id", "text", "id", "text", "agent_response")
 
 
 @query

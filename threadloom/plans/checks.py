@@ -457,14 +457,14 @@ CHECKS["cv_folds"] = with_(["gold"], f"""SELECT id, gold_intent, (row_number() O
 
 # --- retrieval ----------------------------------------------------------------
 CHECKS["l2_normalize"] = with_(["units"], "SELECT vec_id, unnest(range(len(u))) AS place, round(unnest(u), 6) AS value FROM units")
-CHECKS["dense_topk"] = with_(["units", "nearest_all"], "SELECT query_id, corpus_id, round(score, 6) AS score, rank FROM nearest")
-CHECKS["dense_topk_exclude_self"] = with_(["units", "nearest_others"], "SELECT query_id, corpus_id, round(score, 6) AS score, rank FROM nearest")
+CHECKS["dense_topk"] = with_(["units", "nearest_all"], "SELECT query_id, corpus_id, score, rank FROM nearest")
+CHECKS["dense_topk_exclude_self"] = with_(["units", "nearest_others"], "SELECT query_id, corpus_id, score, rank FROM nearest")
 CHECKS["tfidf_weights"] = with_(["source_documents", "tokens", "terms", "vocabulary", "weights"], "SELECT id AS doc_id, term, round(weight, 6) AS weight FROM weights")
 CHECKS["tfidf_top1"] = with_(["messages", "source_messages", "tokens", "terms", "vocabulary", "weights", "q_tokens", "q_terms", "q_weights"], f""", scored AS (
     SELECT b.item_id, m.id, m.agent_response, coalesce(s.score, 0) AS score FROM benchmark b CROSS JOIN messages m LEFT JOIN (
         SELECT item_id, w.id, round(sum(w.weight * v.weight), 9) AS score FROM q_weights v JOIN weights w USING (term) GROUP BY ALL) s
         ON s.item_id = b.item_id AND s.id = m.id)
-    SELECT item_id AS query_id, id AS corpus_id, round(score, 6) AS score,
+    SELECT item_id AS query_id, id AS corpus_id, score,
         CASE WHEN score > 0 AND agent_response <> '' THEN agent_response ELSE {q(EMPTY_REPLY)} END AS reply
     FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, id) AS n FROM scored) WHERE n = 1""".lstrip())
 CHECKS["silhouette_fixed_labels"] = with_(["distances"], """SELECT id, cluster::BIGINT AS cluster, round((b - a) / greatest(a, b), 6) AS silhouette FROM (

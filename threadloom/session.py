@@ -68,6 +68,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a table that was read as fewer partitions than there are cores.
+
+    Only small inputs (e.g. one file with one row group) qualify; a table read
+    as many partitions stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 _SHIPPED: set[str] = set()
 
 
