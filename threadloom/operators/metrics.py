@@ -225,12 +225,14 @@ def agreement(pairs: DataFrame, by: str = "dim", min_pairs: int = MIN_PAIRS) ->
     ``pairs`` has (dim, human, judge); pairs with a missing side do not count.
     """
     both = pairs.filter("human is not null and judge is not null")
+    # corr() fails on a constant side under ANSI rules; there r is not defined: null.
+    r = F.try_divide(F.covar_pop("human", "judge"), F.stddev_pop("human") * F.stddev_pop("judge"))
     raw = both.groupBy(by).agg(
-        F.corr("human", "judge").alias("r"), F.avg(F.abs(F.col("human") - F.col("judge"))).alias("m"), F.count("*").alias("n_samples"))
+        r.alias("r"), F.avg(F.abs(F.col("human") - F.col("judge"))).alias("m"), F.count("*").alias("n_samples"))
     enough = F.col("n_samples") >= min_pairs
-    # corr is NaN for a constant side; null says "not defined" in every engine.
-    defined = F.when(F.isnan("r"), None).otherwise(F.col("r"))
-    return raw.select(by, F.when(enough, defined).alias("pearson_r"), F.when(enough, F.col("m")).alias("mae"), "n_samples")
+    in_range = F.greatest(F.least(F.col("r"), F.lit(1.0)), F.lit(-1.0))
+    return raw.select(
+        by, F.when(enough & F.col("r").isNotNull(), in_range).alias("pearson_r"), F.when(enough, F.col("m")).alias("mae"), "n_samples")
 
 
 def with_p_value(table: DataFrame) -> DataFrame:

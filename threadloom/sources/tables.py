@@ -13,19 +13,18 @@ def read_posts_csv(spark: SparkSession, path: str, schema: T.StructType = POSTS)
     """Flat posts with a header and quoted text that may span lines.
 
     Quoted line breaks keep a file from being split, so large dumps should come
-    as many files; ``write_posts_csv`` writes them that way.
+    as many files; ``write_posts_csv`` writes them that way.  Empty fields are
+    null.
     """
     return (
         spark.read.schema(schema).option("header", True).option("multiLine", True)
-        .option("quote", '"').option("escape", '"').option("emptyValue", "")
-        # Every line ending inside quotes belongs to the text.
-        .option("lineSep", "\n").csv(path)
+        .option("quote", '"').option("escape", '"').csv(path)
     )
 
 
 def write_posts_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     (
-        df.write.option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", '""')
+        df.write.option("header", True).option("quote", '"').option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", rows_per_file).csv(path)
     )
