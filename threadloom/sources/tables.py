@@ -45,7 +45,7 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     """Taxonomy rows from ``{"intents": {...}}`` or the bare keyed object."""
-    return taxonomy_rows(spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "document"))
+    return taxonomy_rows(spark.read.text(path, wholetext=True).withColumnRenamed("value", "document"))
 
 
 def taxonomy_rows(documents: DataFrame, column: str = "document") -> DataFrame:
