@@ -80,3 +80,10 @@ def test_post_time_orders_across_weekdays(spark):
     assert apply(spark, post_time, ["bad"]) == [None]
     with pytest.raises(ValueError):
         sort_key(F.lit(""), "other")
+
+
+def test_has_words_agrees_with_the_count(spark):
+    values = ["", " ", "a", " a", "a ", "a b", " a  b c\x1c", "a b c d", "x" * 50_000, ("y" * 20_000 + " ") * 3]
+    counts = apply(spark, tx.word_count, values)
+    for n in (1, 2, 3, 4, 5):
+        assert apply(spark, lambda c: tx.has_words(c, n), values) == [c >= n for c in counts]

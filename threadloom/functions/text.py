@@ -45,6 +45,14 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(f"[^{SPACE}]+"))
 
 
+def has_words(text: Column, at_least: int) -> Column:
+    """``word_count(text) >= at_least`` (at least 1), without reading further than that.
+
+    Anchored and possessive, so a text without whitespace is read only once.
+    """
+    return text.rlike(f"^[{SPACE}]*+(?:[^{SPACE}]++[{SPACE}]++){{{at_least - 1}}}[^{SPACE}]")
+
+
 def count_of(text: Column, char: str) -> Column:
     """How often a single character occurs."""
     return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
@@ -84,10 +92,10 @@ def _flags(*conditions: Column) -> Column:
 
 def difficulty(message: Column, num_turns: Column) -> Column:
     """Two hard signals -> hard, else two easy signals -> easy, else medium."""
-    lowered, words = F.lower(message), word_count(message)
+    lowered = F.lower(message)
     exclaims, questions = count_of(message, "!"), count_of(message, "?")
     hard = _flags(
-        words > 40,
+        has_words(message, 41),
         has_any(lowered, MULTI_ISSUE_WORDS),
         has_any(lowered, EMOTION_WORDS),
         (questions > 0) & (exclaims > 0),
@@ -96,7 +104,7 @@ def difficulty(message: Column, num_turns: Column) -> Column:
         F.coalesce(num_turns, F.lit(0)) > 4,
     )
     easy = _flags(
-        words < 15,
+        ~has_words(message, 15),
         has_any(lowered, HOW_TO_WORDS),
         (questions == 1) & (exclaims == 0),
     )
@@ -106,14 +114,16 @@ def difficulty(message: Column, num_turns: Column) -> Column:
 def is_adversarial(message: Column) -> Column:
     """Sarcasm, off-topic, non-ASCII run, tiny, mostly symbols, or many mentions."""
     lowered = F.lower(message)
+    # Five word characters settle the length test without rewriting the text.
+    wordy = message.rlike(rf"^(?:[^\p{{L}}\p{{N}}_]*+{WORD}){{5}}")
     symbols_gone = F.regexp_replace(message, rf"[^\p{{L}}\p{{N}}_{SPACE}]", "")
     bare = F.regexp_replace(symbols_gone, f"^[{SPACE}]+|[{SPACE}]+$", "")
     return (
         (has_any(lowered, PRAISE_WORDS) & has_any(lowered, FAILURE_WORDS))
         | has_any(lowered, OFF_TOPIC_WORDS)
         | message.rlike(r"[^\x00-\x7F]{3,}")
-        | (word_count(message) <= 3)
-        | (F.length(bare) < 5)
+        | ~has_words(message, 4)
+        | (~wordy & (F.length(bare) < 5))
         | (count_of(message, "@") > 2)
     )
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import widen
+
 # Fixed values shared by both sides.
 CONV_STEP = 1_000_000_000
 FIRST_SECOND = 1_506_816_000
@@ -99,7 +101,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.col("doc_id")
     clusters = table(spark, sf_dir, "embeddings").select(F.col("vec_id"), F.col("label").alias("cluster_id"))
     return (
-        table(spark, sf_dir, "documents").select("doc_id", "text")
+        widen(table(spark, sf_dir, "documents").select("doc_id", "text"))
         .join(clusters, doc == F.col("vec_id"), "left")
         .select(
             doc.alias("id"),
@@ -159,7 +161,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rubric scores from ``events``: the event type is the dimension."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     event = F.col("event_id")
-    return table(spark, sf_dir, "events").select(
+    return widen(table(spark, sf_dir, "events")).select(
         event.alias("id"),
         F.col("event_type").alias("dim"),
         (k % 6).cast("double").alias("score"),
