@@ -21,6 +21,8 @@ from .skew import is_small
 
 # Fixed value: size of the vocabulary.
 MAX_FEATURES = 5000
+# Words (as a multiple of the vocabulary) up to which bigrams are pruned by a list.
+PRUNE_FACTOR = 4
 
 
 def tokens(text: Column, stop_words: Sequence[str] = ()) -> Column:
@@ -107,13 +109,17 @@ def fit_tfidf(
     single = stage(_totals(words.select(F.explode(_counted(F.col("words"))).alias("e")).select("e.*")), "unigrams")
     last = single.orderBy(F.desc("total"), "term").limit(max_features).agg(
         F.min("total").alias("least"), F.count("*").alias("n")).first()
-    pairs = words.select(F.explode(_counted(bigrams(F.col("words")))).alias("e")).select("e.*")
+    frequent = None
     if last["n"] == max_features:
-        frequent = single.filter(F.col("total") >= last["least"]).select("term")
-        if is_small(frequent):
-            for place in (1, -1):
-                word = F.substring_index("item", " ", place)
-                pairs = pairs.join(F.broadcast(frequent), word == F.col("term"), "left_semi")
+        candidates = single.filter(F.col("total") >= last["least"]).select("term")
+        if is_small(candidates, PRUNE_FACTOR * max_features):
+            frequent = [row["term"] for row in candidates.collect()]
+    if frequent:
+        # Tokens are word characters only, so plain quotes are safe.
+        listed = ", ".join(f"'{term}'" for term in frequent)
+        words = words.select(F.expr(f"transform(words, w -> if(w in ({listed}), w, null))").alias("words"))
+    pairs = words.select(bigrams(F.col("words")).alias("pairs")).select(
+        F.explode(_counted(F.filter("pairs", lambda p: p.isNotNull()))).alias("e")).select("e.*")
     double = _totals(pairs)
     chosen = (
         single.unionByName(double).orderBy(F.desc("total"), "term").limit(max_features).collect()
