@@ -264,3 +264,29 @@ def report_view(table: DataFrame, digits: int = 3) -> DataFrame:
     """Round floating columns half to even, as the published tables do."""
     floats = [f.name for f in table.schema.fields if f.dataType.typeName() in ("double", "float")]
     return table.withColumns({name: F.bround(F.col(name), digits) for name in floats})
+
+
+def evaluation_document(rows: DataFrame, judge: DataFrame) -> DataFrame:
+    """One nested row with all metrics, rounded as in the published tables.
+
+    ``rows`` are aligned predictions of all systems, ``judge`` rubric rows.
+    Arrays hold one entry per system, label or dimension.
+    """
+    def gathered(table: DataFrame, *first: str):
+        columns = [*first, *[c for c in table.columns if c not in first]]
+        return table.agg(F.array_sort(F.collect_list(F.struct(*columns)))).scalar()
+
+    intents = confusion(rows, "gold_intent", "pred_intent")
+    classes = per_class(intents)
+    labels = report_view(classes).groupBy("system").agg(F.array_sort(F.collect_list(F.struct(
+        "label", "precision", "recall", "f1", "support"))).alias("per_class"))
+    matrix = confusion_dense(intents).groupBy("system").agg(
+        F.array_sort(F.collect_list(F.struct("gold", "pred", "n"))).alias("confusion_matrix"))
+    heads = report_view(accuracy(intents).select("system", "accuracy").join(macro_f1(classes).select("system", "macro_f1"), "system"))
+    decisions = report_view(escalation_metrics(confusion(rows, "gold_escalation", "pred_escalation")))
+    return rows.agg(F.count_distinct("id").alias("golden_set_size")).select(
+        "golden_set_size",
+        gathered(heads.join(labels, "system").join(matrix, "system"), "system").alias("intent_metrics"),
+        gathered(decisions, "system").alias("escalation_metrics"),
+        gathered(report_view(judge_summary(long_scores(judge)), 2), "dim").alias("judge_summary"),
+        gathered(report_view(overall_by_difficulty(judge), 2), "difficulty").alias("overall_score"))

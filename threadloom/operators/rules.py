@@ -153,6 +153,8 @@ def closest_label(predicted: Column, labels: Sequence[str]) -> Column:
 
 def best_keywords(lowered: Column, choices: Sequence[tuple[str, Sequence[str]]], default: Column) -> Column:
     """Label with most keywords contained; first one wins ties; none -> default."""
+    if not choices:
+        return default
     scores = [
         sum((F.contains(lowered, F.lit(word.lower())).cast("int") for word in words), F.lit(0))
         for _, words in choices

@@ -118,7 +118,11 @@ def stratified_sample(
 
 
 def golden_rows(sample: DataFrame, id_col: str = "thread_id", seed: int = SEED) -> DataFrame:
-    """Shuffle the (small) sample, number it and add empty label columns."""
+    """Shuffle the (small) sample, number it and add empty label columns.
+
+    A ``context`` column, if there is one, becomes ``thread_context``.
+    """
+    context = [F.col("context").alias("thread_context")] if "context" in sample.columns else []
     shuffled = Window.orderBy("_shuffle", id_col)
     return (
         sample.withColumn("_shuffle", draw_order(f"{seed}:shuffle", F.col(id_col)))
@@ -126,6 +130,7 @@ def golden_rows(sample: DataFrame, id_col: str = "thread_id", seed: int = SEED)
         .select(
             F.format_string("golden_%03d", F.col("_at")).alias("id"),
             F.col("text").alias("customer_message"),
+            *context,
             F.col("agent_response").alias("agent_actual_response"),
             F.col("intent").alias("gold_intent"),
             F.lit("auto_handle").alias("gold_escalation"),

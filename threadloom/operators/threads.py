@@ -34,7 +34,7 @@ def brand_posts(posts: DataFrame, brand: str, hot_rows: int = HOT_ROWS) -> DataF
     answered = outbound.filter("parent_id >= 0").select(F.col("parent_id").alias("answered_id")).distinct()
     own = outbound.filter("tid >= 0").select(F.col("tid").alias("own_id")).distinct()
     was_answered = inbound.join(answered, F.col("tid") == F.col("answered_id"), "left_semi")
-    replied = salted_join(inbound, own, "parent_id", "own_id", "left_semi", F.col("tid"), hot_rows)
+    replied = salted_join(inbound.filter("parent_id >= 0"), own, "parent_id", "own_id", "left_semi", F.col("tid"), hot_rows)
     both = (
         outbound.withColumn("side", F.lit(0))
         .unionByName(was_answered.withColumn("side", F.lit(1)))
@@ -198,6 +198,23 @@ def funnel(posts: DataFrame, related: DataFrame, threads: DataFrame, sampled: Da
     return out
 
 
+def stats_document(brand: str, posts: DataFrame, related: DataFrame, threads: DataFrame, sampled: DataFrame) -> DataFrame:
+    """One nested row with the counts of a preparation run."""
+    def rows(frame: DataFrame):
+        return frame.agg(F.count("*")).scalar()
+
+    kept = sampled.groupBy().agg(*[
+        F.count_if(length_bucket(F.col("num_turns")) == b).alias(b) for b in ("short", "medium", "long")])
+    totals = threads.agg(F.count("*").alias("threads_total"), F.bround(F.avg("num_turns"), 2).alias("avg_thread_length"))
+    return totals.select(
+        F.lit(brand).alias("brand"), rows(posts).alias("raw_posts_total"), rows(related).alias("brand_posts_total"),
+        "threads_total", rows(sampled).alias("threads_sampled"),
+        kept.select(F.struct(
+            F.col("short").alias("short_lte_3"), F.col("medium").alias("medium_4_6"), F.col("long").alias("long_gt_6"))
+        ).scalar().alias("thread_length_distribution"),
+        "avg_thread_length")
+
+
 def mentions(posts: DataFrame) -> DataFrame:
     return posts.withColumn("mentions", extract_mentions(F.col("text")))
 

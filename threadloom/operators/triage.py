@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.answers import parse_object
+from ..schemas import INTENT
 from ..session import stage
 from . import prompts
+from .clustering import topic_taxonomy
 from .model_call import Complete, call_model, escalation_answer, intent_answer, judge_rows, reply_answer
 from .rules import lower_with, rule_escalation, taxonomy_escalation, three_phase, undecided
 from .metrics import align
 from .topk import top_k_dense
 
-# Neighbours searched and neighbours kept in the result.
+# Neighbours searched and kept, and the label of a failed naming.
 SEARCHED, KEPT = 5, 3
+UNNAMED = "unknown"
 
 
 def neighbours(
@@ -87,6 +91,30 @@ def triage(
         id_col, F.col(text_col).alias("input_message"), "intent", "similar_threads", "reply", "escalation")
 
 
+def label_clusters(
+    messages: DataFrame, cluster: str, id_col: str, text_col: str, complete: Complete,
+    reference_labels: Sequence[str] = (), sleep: Callable[[float], None] | None = None,
+) -> DataFrame:
+    """Taxonomy rows named by the model; unreadable answers get a plain fallback row.
+
+    Clusters are few, so are the prompts and the rows.
+    """
+    extra = {"sleep": sleep} if sleep else {}
+    asked = prompts.cluster_label_prompts(messages, cluster, id_col, text_col, reference_labels)
+    calls = call_model(asked, complete, "pipeline", cluster, "prompt", prompts.LABEL_SYSTEM, **extra)
+    answer = F.when(F.col("error").isNull(), parse_object(F.col("response"), INTENT))
+    named = calls.select(F.col(cluster).alias("_cluster"), answer.alias("named"))
+    plain = topic_taxonomy(messages, cluster, id_col, text_col, topics={})
+    given = ("intent_label", "description", "keywords", "typically_needs_escalation", "example_messages")
+    return (
+        plain.join(named, F.col("cluster_id") == F.col("_cluster"), "left")
+        .withColumns({
+            field: F.when(F.col("named").isNotNull(), F.col(f"named.{field}")).otherwise(
+                F.lit(UNNAMED) if field == "intent_label" else F.col(field)) for field in given})
+        .drop("_cluster", "named")
+    )
+
+
 def judge(
     golden: DataFrame, predictions: DataFrame, complete: Complete, sleep: Callable[[float], None] | None = None
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from ..operators.topk import top_k_dense
 from ..schemas import INTENT_ANSWER, POSTS
 from ..session import shared_path, ship_package, stage
 from ..sources import tables
-from . import fixtures as fx
+from . import fixtures as fx, workflow
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -217,6 +217,12 @@ def brand_triage(spark, sf_dir):
     ).agg(F.count("*").alias("n"))
 
 
+@query
+def stats_document(spark, sf_dir):
+    made = workflow.prepare_threads(fx.posts(spark, sf_dir), fx.BRAND).stats
+    return made.select("*", "thread_length_distribution.*").drop("thread_length_distribution")
+
+
 # --- rules -------------------------------------------------------------------
 
 def _decision(column: str) -> list:
@@ -410,6 +416,19 @@ def golden_rows(spark, sf_dir):
         "agent_actual_response", "labeler_notes", *_text(F.col("customer_message")))
 
 
+@query
+def golden_set(spark, sf_dir):
+    """Golden rows of real threads, with their first messages as context."""
+    messages = threads.staged_messages(_ids(spark, sf_dir))
+    opening = threads.customer_messages(threads.complete(threads.thread_summaries(messages)))
+    clustered = opening.withColumn("cluster_id", (F.floor(F.col("thread_id") / fx.CONV_STEP) % 10).cast("int"))
+    made = workflow.build_golden_set(workflow.golden_candidates(clustered, messages, fx.taxonomy(spark)))
+    line = lambda m: F.concat_ws(":", m["place"].cast("string"), m["role"], m["text"])
+    return made.select(
+        "id", "thread_id", "gold_intent", "difficulty", "is_adversarial", "customer_message", "agent_actual_response",
+        F.array_join(F.transform("thread_context", line), "\n").alias("context"))
+
+
 @query
 def sample_distribution(spark, sf_dir):
     chosen = sampling.stratified_sample(_candidates(spark, sf_dir), "id")
@@ -486,7 +505,7 @@ def grounding_context(spark, sf_dir):
 @query
 def message_embedding(spark, sf_dir):
     vectors = clustering.embed(fx.messages(spark, sf_dir).select("id", "text"), "text")
-    return rounded(vectors.select("id", F.size("embedding").alias("dims"), F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x * x).alias("squares")))
+    return rounded(vectors.select("id", F.size("embedding").cast("bigint").alias("dims"), F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x * x).alias("squares")))
 
 
 @query
@@ -583,6 +602,15 @@ def cluster_label_prompts(spark, sf_dir):
     return made.select(F.col("cluster_id").cast("bigint").alias("cluster_id"), *_text(F.col("prompt")))
 
 
+@query
+def cluster_labels(spark, sf_dir):
+    known = fx.messages(spark, sf_dir).filter("cluster_id is not null")
+    named = triage.label_clusters(known, "cluster_id", "id", "text", fx.stub_complete, sleep=lambda seconds: None)
+    return named.select(
+        F.col("cluster_id").cast("bigint").alias("cluster_id"), "intent_label", "description",
+        F.array_join("keywords", ",").alias("keywords"), "typically_needs_escalation", "cluster_size")
+
+
 def _responses(spark, sf_dir) -> DataFrame:
     answer = "concat('{\"intent\": \"', dim, '\", \"confidence\": ', (k % 8) / 8, ', \"reasoning\": \"k', k, '\"}')"
     return fx.scores(spark, sf_dir).withColumn("response", F.expr(f"""case id % 7
@@ -697,10 +725,10 @@ def jsonl_roundtrip(spark, sf_dir):
 
 @query
 def json_array_scan(spark, sf_dir):
-    """Array documents of one conversation turn each, written and scanned again."""
+    """Array documents of 500 messages each, written and scanned again."""
     path = shared_path(spark, "message-arrays")
     item = F.struct("id", "text", "agent_response", "cluster_id")
-    fx.messages(spark, sf_dir).groupBy(F.floor(F.col("id") / 50).alias("part")).agg(
+    fx.messages(spark, sf_dir).groupBy(F.floor(F.col("id") / 500).alias("part")).agg(
         F.to_json(F.collect_list(item)).alias("value")).select("value").write.option("maxRecordsPerFile", 1).text(path)
     schema = T.StructType([
         T.StructField("id", T.LongType()), T.StructField("text", T.StringType()),
@@ -739,6 +767,34 @@ def report_document(spark, sf_dir):
     return rounded(spark.read.schema("systems bigint, best_accuracy double").json(path))
 
 
+@query
+def evaluation_document(spark, sf_dir):
+    """The nested report of all systems, flattened to (section, name, metric, value)."""
+    k, event = F.col("k"), F.col("id")
+    judged = fx.scores(spark, sf_dir).withColumns({
+        dim: F.when(event % 7 != n, F.struct(((k + n) % 6).cast("double").alias("score"))) for n, dim in enumerate(metrics.RUBRIC_DIMENSIONS)})
+    path = shared_path(spark, "evaluation")
+    tables.write_document(workflow.evaluate(fx.gold(spark, sf_dir), fx.predictions(spark, sf_dir), judged), path)
+    report = spark.read.json(path)
+
+    def flat(section: str, name: str, *fields: str) -> DataFrame:
+        item = F.explode(section).alias("r")
+        return report.select(item).select(F.lit(section).alias("section"), F.col(f"r.{name}").alias("name"), F.explode(F.array(*[
+            F.struct(F.lit(f).alias("metric"), F.col(f"r.{f}").cast("double").alias("value")) for f in fields])).alias("m")
+        ).select("section", "name", "m.*")
+
+    classes = report.select(F.explode("intent_metrics").alias("r")).select("r.system", F.explode("r.per_class").alias("c")).select(
+        F.lit("per_class").alias("section"), F.concat_ws("/", "system", "c.label").alias("name"), F.lit("f1").alias("metric"), F.col("c.f1").alias("value"))
+    return (
+        flat("intent_metrics", "system", "accuracy", "macro_f1")
+        .unionByName(flat("escalation_metrics", "system", "accuracy", "escalation_recall", "escalation_precision"))
+        .unionByName(flat("judge_summary", "dim", "mean", "std", "min", "max", "median"))
+        .unionByName(flat("overall_score", "difficulty", "mean", "n"))
+        .unionByName(classes)
+        .unionByName(report.select(F.lit("golden_set").alias("section"), F.lit("all").alias("name"), F.lit("size").alias("metric"),
+                                   F.col("golden_set_size").cast("double").alias("value"))))
+
+
 @query
 def materialize_once(spark, sf_dir):
     path = shared_path(spark, "once")

@@ -472,6 +472,9 @@ CHECKS["silhouette_fixed_labels"] = with_(["distances"], """SELECT id, cluster::
     FROM distances GROUP BY id, cluster)""")
 CHECKS["grounding_context"] = with_(NEAR, f"SELECT id AS query_id, {TEXT.format('shown')}, sources FROM grounding")
 
+CHECKS["message_embedding"] = with_(["messages"], f"""SELECT id, 256 AS dims,
+    CASE WHEN regexp_matches(text, '{tx.WORD}{{2}}') THEN 1.0 ELSE 0.0 END::DOUBLE AS squares FROM messages""")
+
 # --- models -------------------------------------------------------------------
 LABELLED = ["messages", "gold", "labelled", "majority"]
 CHECKS["trivial_baseline"] = with_(LABELLED, f"""SELECT id, (SELECT label FROM majority) AS intent, 1.0::DOUBLE AS intent_confidence, {q(TEMPLATE_REPLY)} AS reply,
@@ -547,3 +550,37 @@ CHECKS["vector_roundtrip"] = "SELECT vec_id AS id, len(embedding) AS dims, round
 CHECKS["report_document"] = with_(ALIGNED, """SELECT count(*) AS systems, round(max(a), 6) AS best_accuracy
     FROM (SELECT avg((gold_intent = pred_intent)::INT) AS a FROM aligned GROUP BY system)""")
 CHECKS["materialize_once"] = with_(["lengths"], "SELECT run, run = 'again' AS skipped, (SELECT count(*) FROM lengths) AS n FROM (VALUES ('first'), ('again'), ('forced')) v(run)")
+
+# --- whole steps ----------------------------------------------------------------
+CHECKS["stats_document"] = with_(BRAND_THREADS, f"""SELECT {q(fx.BRAND)} AS brand, (SELECT count(*) FROM posts) AS raw_posts_total, (SELECT count(*) FROM ids) AS brand_posts_total,
+    count(*) AS threads_total, count(*) AS threads_sampled, count(*) FILTER (num_turns <= 3) AS short_lte_3,
+    count(*) FILTER (num_turns BETWEEN 4 AND 6) AS medium_4_6, count(*) FILTER (num_turns > 6) AS long_gt_6,
+    round_even(avg(num_turns), 2) AS avg_thread_length FROM complete""", True)
+VIEWS["thread_intent"] = f"""with_intent AS (
+    SELECT thread_id AS id, customer_first_message AS text, agent_first_response AS agent_response, num_turns, coalesce(t.intent_label, 'unknown') AS intent
+    FROM complete LEFT JOIN taxonomy t ON t.cluster_id = (thread_id // {fx.CONV_STEP}) % 10 WHERE length(customer_first_message) > 10)"""
+CHECKS["golden_set"] = with_([*THREADS, "complete", "taxonomy", "thread_intent", *CHOSEN[3:]], f"""SELECT
+    printf('golden_%03d', row_number() OVER (ORDER BY {draw('42:shuffle', 'id')}, id)) AS id, id AS thread_id, intent AS gold_intent, difficulty, is_adversarial,
+    text AS customer_message, agent_response AS agent_actual_response, (SELECT string_agg(concat_ws(':', place::VARCHAR, role, m.text), chr(10) ORDER BY place)
+        FROM thread_messages m WHERE m.thread_id = chosen.id AND place <= 6) AS context FROM chosen""", True)
+CHECKS["cluster_labels"] = with_(["messages", "sizes"], """SELECT cluster_id::BIGINT AS cluster_id,
+    CASE WHEN cluster_id % 10 = 7 THEN 'unknown' ELSE 'named_' || cluster_id END AS intent_label,
+    CASE WHEN cluster_id % 10 = 7 THEN 'Cluster ' || cluster_id || ' (' || cluster_size || ' messages)' ELSE 'd' || cluster_id END AS description,
+    CASE WHEN cluster_id % 10 = 7 THEN '' ELSE 'a,b' END AS keywords, cluster_id % 10 <> 7 AND cluster_id % 2 = 1 AS typically_needs_escalation, cluster_size FROM sizes""")
+DIM_ROWS = " UNION ALL ".join(
+    f"SELECT {q(d)} AS dim, ((k + {n}) % 6)::DOUBLE AS score FROM scores WHERE id % 7 <> {n}" for n, d in enumerate(RUBRIC_DIMENSIONS))
+CHECKS["evaluation_document"] = with_([*ALIGNED, "label_rows", "classes", "f1s", "esc", "scores"], f""", dims AS ({DIM_ROWS}),
+    dim_stats AS (SELECT dim, avg(score) AS mean, stddev_pop(score) AS std, min(score) AS min, max(score) AS max, median(score) AS median FROM dims GROUP BY dim),
+    levels AS (SELECT difficulty, round_even(avg(overall_score), 2) AS mean, count(*)::DOUBLE AS n
+        FROM (SELECT difficulty, overall_score FROM scores WHERE difficulty <> 'unknown' UNION ALL SELECT 'overall', overall_score FROM scores)
+        WHERE overall_score <> 0 GROUP BY difficulty)
+    SELECT 'intent_metrics' AS section, system AS name, 'accuracy' AS metric, round_even(avg((gold_intent = pred_intent)::INT), 3) AS value FROM aligned GROUP BY system
+    UNION ALL SELECT 'intent_metrics', system, 'macro_f1', round_even(avg(f1), 3) FROM f1s GROUP BY system
+    UNION ALL SELECT 'escalation_metrics', system, 'accuracy', round_even(same / n, 3) FROM esc
+    UNION ALL SELECT 'escalation_metrics', system, 'escalation_recall', round_even(coalesce(tp / nullif(tp + fn, 0), 0), 3) FROM esc
+    UNION ALL SELECT 'escalation_metrics', system, 'escalation_precision', round_even(coalesce(tp / nullif(tp + fp, 0), 0), 3) FROM esc
+    UNION ALL SELECT 'judge_summary', dim, unnest(['mean', 'std', 'min', 'max', 'median']),
+        unnest([round_even(mean, 2), round_even(std, 2), min, max, median]) FROM dim_stats
+    UNION ALL SELECT 'overall_score', difficulty, unnest(['mean', 'n']), unnest([mean, n]) FROM levels
+    UNION ALL SELECT 'per_class', system || '/' || label, 'f1', round_even(f1, 3) FROM f1s
+    UNION ALL SELECT 'golden_set', 'all', 'size', count(DISTINCT id)::DOUBLE FROM aligned""".lstrip())

@@ -183,6 +183,9 @@ def stub_complete(rows: pd.DataFrame, model: str) -> pd.DataFrame:
             return '{"relevance": {"score": %d, "reasoning": "r"}, "tone": 4}' % (i % 5 + 1)
         if "intents" in system:
             return '{"intent": "%s", "confidence": 0.75, "reasoning": "stub"}' % LABELS[i % len(LABELS)]
+        if "name groups" in system:
+            return '{"intent_label": "named_%d", "description": "d%d", "keywords": ["a", "b"], "typically_needs_escalation": %s}' % (
+                i, i, "true" if i % 2 else "false")
         if "write replies" in system:
             return 'Here you go:\n```json\n{"reply": "Reply %d", "strategy": "stub"}\n```' % i
         return '{"decision": "%s", "reason": "stub", "confidence": 0.5}' % ("escalate" if i % 2 else "auto_handle")
