@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import stage
 from .skew import HOT_ROWS, salted_join
 
-# Pointer hops per round: every round multiplies the reach by HOPS + 1.
+# Pointer hops per round of a small rest: the reach grows by HOPS + 1 each time.
 HOPS = 3
 
 
@@ -41,11 +41,14 @@ def _fold_chains(heads: DataFrame, active: DataFrame, rows: int, hot_rows: int)
     """
     finished: list[DataFrame] = []
     while rows:
-        # Hops of one round read the same table, so its shuffle is done once.
+        # Several hops of one round read the same table, so its shuffle is done
+        # once.  While keys may be hot there is one hop per round: the hot keys
+        # are then counted on a staged table and not on a growing plan.
+        hops = HOPS if rows <= hot_rows else 1
         target = _union([heads, *finished, active]).select(
             F.col("id").alias("t_id"), F.col("ptr").alias("t_ptr"), F.col("best").alias("t_best"))
         step = active.withColumns({"was": F.col("best"), "done": F.lit(False)})
-        for _ in range(HOPS):
+        for _ in range(hops):
             hop = salted_join(step, target, "ptr", "t_id", "inner", F.col("id"), hot_rows, rows)
             at_head = F.col("done") | F.col("t_ptr").isNull()
             step = hop.select(
