@@ -291,6 +291,8 @@ VIEWS = {
 }
 del VIEWS["all_posts"]
 VIEWS["nearest_all"] = VIEWS["nearest"].format(where="true")
+# Neighbours among the messages, i.e. vectors that have a text.
+VIEWS["message_units"] = VIEWS["units"].replace("FROM embeddings))", "FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents)))")
 VIEWS["nearest_others"] = VIEWS["nearest"].format(where="a.vec_id <> b.vec_id")
 
 POSTS = ["posts", "ids"]
@@ -300,7 +302,7 @@ LEXICAL = [*POSTS, "listed", "edges", "roots", "reach", "owner_lexical", "thread
 INTENTS = ["messages", "taxonomy", "with_intent"]
 ALIGNED = ["gold", "preds", "aligned"]
 CHOSEN = [*INTENTS, "candidates", "quotas", "phase1", "phase2", "phase3", "chosen"]
-NEAR = ["messages", "vector_messages", "units", "nearest_others", "grounding"]
+NEAR = ["messages", "vector_messages", "message_units", "nearest_others", "grounding"]
 BRAND = f"""posts_all AS (SELECT *, {VIEWS['ids'][VIEWS['ids'].index('coalesce'):VIEWS['ids'].rindex('FROM posts')]} FROM posts),
 related AS (SELECT tweet_id, author_id, inbound, created_at, text, response_tweet_id, in_response_to_tweet_id FROM posts_all
     WHERE author_id = '{fx.BRAND}' OR (inbound AND (
@@ -472,7 +474,7 @@ CHECKS["silhouette_fixed_labels"] = with_(["distances"], """SELECT id, cluster::
     FROM distances GROUP BY id, cluster)""")
 CHECKS["grounding_context"] = with_(NEAR, f"SELECT id AS query_id, {TEXT.format('shown')}, sources FROM grounding")
 
-CHECKS["message_embedding"] = with_(["messages"], f"""SELECT id, 256 AS dims,
+CHECKS["message_embedding"] = with_(["messages"], f"""SELECT id, 256::BIGINT AS dims,
     CASE WHEN regexp_matches(text, '{tx.WORD}{{2}}') THEN 1.0 ELSE 0.0 END::DOUBLE AS squares FROM messages""")
 
 # --- models -------------------------------------------------------------------
