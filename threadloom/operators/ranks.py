@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import stage
 from .skew import HOT_ROWS
 
+# Cells a hot group is cut into at most; a cell may be any size a task can sort.
+MAX_CELLS = 1024
+
 
 def bucketed_positions(
     df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column], out: str
@@ -59,14 +62,16 @@ def ordered_positions(
         plain = Window.partitionBy(key).orderBy(sort_key, tie)
         return df.withColumn(out, F.row_number().over(plain).cast("bigint"))
 
-    wanted = cells_per_hot * (largest // hot_rows + 1)
+    # Cells per group, so that all splits together stay within a few times rows / hot_rows.
+    most = min(MAX_CELLS, cells_per_hot * (largest // hot_rows + 1))
+    wanted = F.least(F.lit(most), cells_per_hot * (F.floor(F.col("_n") / hot_rows) + 1))
     drawn = Window.partitionBy(key).orderBy("_draw", tie)
     sample = (
-        df.join(F.broadcast(sizes.select(key)), key, "left_semi")
-        .select(key, F.struct(F.col(sort_key).alias("k"), F.col(tie).alias("t")).alias("_at"), tie)
+        df.join(F.broadcast(sizes), key)
+        .select(key, "_n", F.struct(F.col(sort_key).alias("k"), F.col(tie).alias("t")).alias("_at"), tie)
         .withColumn("_draw", F.xxhash64(tie))
         .withColumn("_rn", F.row_number().over(drawn))
-        .filter(F.col("_rn") <= wanted)
+        .filter((F.col("_rn") <= most) & (F.col("_rn") <= wanted))
         .groupBy(key)
         .agg(F.array_sort(F.collect_list("_at")).alias("_splits"))
     )
