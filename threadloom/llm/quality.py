@@ -3,9 +3,10 @@
 The base rule (too few words, or mostly repeated three-word runs) is fixed.  Further rules compare a measure of the text
 with a cutoff.  For every stratum (a language) and rule a fixed grid of cutoffs is tested on labelled holdout rows:
 a cutoff is admissible when the exact binomial (Clopper-Pearson) upper bound of the share of good rows that it rejects is
-at most ``risk`` (the binomial tail at ``risk`` is at most the error level); the error level is divided by the number of strata, rules and cutoffs (Bonferroni), so that all chosen
-cutoffs hold together with probability ``1 - delta``.  The most severe admissible cutoff is taken; without one the rule is
-off in that stratum.  All labelled rows that pass the base rule count; only counts per (stratum, rule, cutoff) are moved.
+at most ``risk`` (the binomial tail at ``risk`` is at most the error level).  The grid is tested from mild to severe and
+the test stops at the first failure (fixed-sequence testing needs no further correction), and the error level is divided
+by the number of strata and rules (Bonferroni), so that all chosen cutoffs hold together with probability ``1 - delta``.
+The most severe cutoff passed is taken; without one the rule is off in that stratum.  All labelled rows that pass the base rule count; only counts per (stratum, rule, cutoff) are moved.
 
 Defined cases: a null text has no words and fails the base rule; an empty text likewise.  Rows are measured one by one,
 so repeated rows and ties change nothing.  A null stratum is a stratum of its own; strata without labelled rows keep
@@ -150,6 +151,11 @@ def upper_bound(k: int, n: int, level: float) -> float:
     return high
 
 
+def _hits(value: Column, grid: list[float]) -> Column:
+    """How many cutoffs of a falling grid the value exceeds."""
+    return F.size(F.filter(F.array(*[F.lit(float(c)) for c in grid]), lambda cut: value > cut))
+
+
 def choose_cutoffs(measured: DataFrame, stratum: str, good: str, risk: float, delta: float) -> DataFrame:
     """Cutoffs ``(stratum, rule, cutoff, n_good, rejected, bound)`` of the labelled rows in ``measured``.
 
@@ -160,12 +166,12 @@ def choose_cutoffs(measured: DataFrame, stratum: str, good: str, risk: float, de
     steps = len(next(iter(table.values()))[1])
     rows = measured.where(~base_failed() & (F.col(good) == 1))
     passed = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("rule"), F.size(F.filter(F.array(*[F.lit(float(c)) for c in grid]), lambda c, v=value: v > c)).alias("hits"))
+        F.struct(F.lit(name).alias("rule"), _hits(value, grid).alias("hits"))
         for name, (value, grid) in table.items()]))
     counts = rows.select(F.col(stratum).alias("stratum"), passed.alias("x")).groupBy("stratum", "x.rule", "x.hits").count()
     per_rule = stage(counts.groupBy("stratum", "rule").agg(
         F.sum("count").alias("n_good"), F.map_from_entries(F.collect_list(F.struct("hits", "count"))).alias("counts")), "quality-counts")
-    level = delta / max(1, per_rule.count() * steps)
+    level = delta / max(1, per_rule.count())
     grids = {name: grid for name, (_, grid) in table.items()}
 
     def admissible(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
