@@ -27,6 +27,6 @@ def texts(docs: DataFrame) -> DataFrame:
 SMALL_ROWS = 20_000
 
 
-def small(lookup: DataFrame) -> DataFrame:
+def small(lookup: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """A staged lookup with a broadcast hint if it has few rows; beyond that it stays a shuffle join (split by AQE)."""
-    return F.broadcast(lookup) if lookup.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else lookup
+    return F.broadcast(lookup) if lookup.limit(rows + 1).count() <= rows else lookup

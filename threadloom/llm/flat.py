@@ -14,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
+SLICE_ROWS = 4096
+HASH_BITS = 52
 _BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 5
 
@@ -110,22 +112,16 @@ def windows(hashes: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray
     return mix(out), at
 
 
-def keyed_by_row(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, int]:
-    """One value per (row, hash) that sorts by row, and the number of bits kept of the hash.
-
-    Slices hold few rows, so 52 bits or more remain; a slice of one long text keeps all 64.
-    """
-    bits = max(0, int(n_rows - 1).bit_length())
-    if not bits:
-        return hashes, 64
-    return (rows.astype(np.uint64) << np.uint64(64 - bits)) | (hashes >> np.uint64(bits)), 64 - bits
+def keyed_by_row(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """One value per (row, hash) that sorts by row: 12 bits of row (a slice has at most 4,096) and 52 of the hash."""
+    return (rows.astype(np.uint64) << np.uint64(HASH_BITS)) | (hashes >> np.uint64(64 - HASH_BITS))
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch with at most ``limit`` bytes in ``column`` and 4,096 rows, or one row."""
+    """Consecutive parts of a batch with at most ``limit`` bytes in ``column`` and ``SLICE_ROWS`` rows, or one row."""
     at = raw_bytes(batch.column(batch.schema.get_field_index(column)))[1]
     i = 0
     while i < batch.num_rows:
-        j = min(max(i + 1, int(np.searchsorted(at, at[i] + limit, "right")) - 1), i + 4096, batch.num_rows)
+        j = min(max(i + 1, int(np.searchsorted(at, at[i] + limit, "right")) - 1), i + SLICE_ROWS, batch.num_rows)
         yield batch.slice(i, j - i)
         i = j

@@ -64,7 +64,7 @@ def measure_slice(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]
            "n_exclaims": _sums(raw == 33, offsets)}
 
     runs, at = flat.windows(flat.hash_spans(raw, starts, ends), rows, 3)
-    again, _ = _repeated(flat.keyed_by_row(runs, rows[at], n)[0])
+    again, _ = _repeated(flat.keyed_by_row(runs, rows[at]))
     covered = np.zeros(len(starts), bool)
     for k in range(3):
         covered[at[again] + k] = True
@@ -80,7 +80,7 @@ def measure_slice(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]
     seen = np.concatenate([[0], np.cumsum(inside)])
     full = seen[line_ends] > seen[line_starts]
     line_starts, line_ends, owner = line_starts[full], line_ends[full], owner[full]
-    _, later = _repeated(flat.keyed_by_row(flat.hash_spans(raw, line_starts, line_ends), owner, n)[0])
+    _, later = _repeated(flat.keyed_by_row(flat.hash_spans(raw, line_starts, line_ends), owner))
     out["n_dup_lines"] = np.bincount(owner[later], minlength=n)
     return out
 
