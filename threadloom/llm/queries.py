@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup, quality
-from .common import table, texts
+from . import bpe, neardup, quality
+from .common import table
 
 
-def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good"))
-    return quality.judge(table(spark, sf_dir, "documents"), labels).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken_rules")
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), vocab), vocab)
 
 
 def op9_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,7 @@ def op9_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_quality_rules": op10_quality_rules,
 }
