@@ -30,7 +30,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def _powers() -> tuple[np.ndarray, np.ndarray]:
+def powers() -> tuple[np.ndarray, np.ndarray]:
     up = np.full(_BLOCK + 1, _BASE, np.uint64)
     down = np.full(_BLOCK + 1, pow(_BASE, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
@@ -44,13 +44,13 @@ def _letters(lower: bool) -> np.ndarray:
     return values
 
 
-_LETTERS = {False: _letters(False), True: _letters(True)}
+LETTERS = {False: _letters(False), True: _letters(True)}
 
 
 def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
     """A 64-bit hash of every span of ``raw``; spans are in order. ``lower`` folds A-Z."""
     out = np.empty(len(starts), np.uint64)
-    up, down = _powers()
+    up, down = powers()
     i = 0
     while i < len(starts):
         first = int(starts[i])
@@ -61,7 +61,7 @@ def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: boo
             out[i] = int.from_bytes(hashlib.blake2b(data.lower() if lower else data, digest_size=8).digest(), "little")
         else:
             sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(_LETTERS[lower][part] * up[:len(part)], out=sums[1:])
+            np.cumsum(LETTERS[lower][part] * up[:len(part)], out=sums[1:])
             begin, end = starts[i:j] - first, ends[i:j] - first
             out[i:j] = mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
         i = j
