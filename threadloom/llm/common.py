@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import ship_package, stage
 
 #: Nulls order after every id.
 LAST_ID = (1 << 63) - 1
@@ -30,3 +30,16 @@ SMALL_ROWS = 20_000
 def small(lookup: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """A staged lookup with a broadcast hint if it has few rows; beyond that it stays a shuffle join (split by AQE)."""
     return F.broadcast(lookup) if lookup.limit(rows + 1).count() <= rows else lookup
+
+
+def numbered(df: DataFrame, order: list, name: str, parts: int = 64) -> DataFrame:
+    """``df`` with its gapless position (from 0) in a total order, as ``name``.
+
+    Rows are range-partitioned and sorted; a position is the place in its part plus the rows of earlier parts, of which
+    there are at most ``parts``.
+    """
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    kept = stage(ranged, "numbered").withColumns({"_part": F.shiftright("_at", 33), "_in": F.col("_at").bitwiseAND((1 << 33) - 1)})
+    counts = kept.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    return kept.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_in")).drop("_part", "_at", "_in", "_before")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, neardup, quality, suffix
+from . import bpe, mixing, neardup, quality, sharding, suffix
 from .common import table
 
 
@@ -17,6 +17,14 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), vocab), vocab)
 
 
+def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(spark.read.parquet(f"{sf_dir}/documents.parquet"), shards=8)
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents"), width=50).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -34,6 +42,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_pareto_mix": op2_pareto_mix,
+    "op6_virtual_slots": op6_virtual_slots,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_quality_rules": op10_quality_rules,
