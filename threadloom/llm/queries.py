@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, neardup, quality, sharding, suffix
+from . import bpe, mixing, neardup, quality, sharding, suffix, urlfilter, warc
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0).drop("payload")
+
+
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(spark.read.parquet(f"{sf_dir}/documents.parquet"), shards=8)
 
@@ -30,6 +34,15 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+#: The rules of the check, as (host, path, verdict).
+RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op8_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return urlfilter.filter_urls(table(spark, sf_dir, "pages"), rules)
+
+
 def op9_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
@@ -43,10 +56,33 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_pareto_mix": op2_pareto_mix,
+    "op4_warc": op4_warc,
     "op6_virtual_slots": op6_virtual_slots,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_bloom_cascade": op8_bloom_cascade,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+_VALUES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
+
+ORACLES: dict[str, str] = {
+    "op4_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+        SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+            array_to_string([array_to_string([
+                substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(sha1(html), CAST(5 * i + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * j AS INT)) & 31 AS INT) + 1, 1)
+                for j in range(4)], '') for i in range(8)], '') AS payload_digest,
+            CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> last THEN last END AS refers_to
+        FROM p""",
+    "op8_bloom_cascade": f"""
+        WITH r AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        u AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+        rules(rule_host, rule_path, verdict) AS (VALUES {_VALUES}),
+        best AS (SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+            arg_max(verdict, length(rule_host || rule_path)) AS verdict
+            FROM u JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id)
+        SELECT u.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN best ON u.page_id = best.page_id""",
+}
