@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, neardup, quality, sharding, suffix, urlfilter, warc
+from . import ann, bpe, mixing, neardup, quality, sharding, suffix, urlfilter, warc
 from .common import table
 
 
@@ -25,6 +25,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0).drop("payload")
 
 
+def op5_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(spark.read.parquet(f"{sf_dir}/documents.parquet"), shards=8)
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_pareto_mix": op2_pareto_mix,
     "op4_warc": op4_warc,
+    "op5_kmeans_tree": op5_kmeans_tree,
     "op6_virtual_slots": op6_virtual_slots,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_bloom_cascade": op8_bloom_cascade,
