@@ -31,10 +31,10 @@ from . import flat
 from .common import texts
 
 TOXIC_DOCS = 800
-CLEAN_DOCS = 1600
-DOC_BYTES = 16_000
+CLEAN_DOCS = 3000
+DOC_BYTES = 8_000
 #: Evidence that a word or prefix must have to mark tokens: log-likelihood ratio, and odds of its documents.
-MIN_RATIO, MIN_ODDS = 30.0, 8.0
+MIN_RATIO, MIN_ODDS = 20.0, 8.0
 ROUNDS = 60
 RATE = 0.25
 PENALTY = 2e-3
@@ -178,10 +178,10 @@ class Model:
 
 
 def _summary(rows: np.ndarray, marginal: np.ndarray, n: int) -> np.ndarray:
-    """A constant, the largest marginal and the logarithm of their sum, per document."""
+    """A constant, the largest marginal and the logarithm of the sum of those of a quarter or more, per document."""
     most, total = np.zeros(n), np.zeros(n)
     np.maximum.at(most, rows, marginal)
-    np.add.at(total, rows, np.where(marginal >= 0.05, marginal, 0.0))
+    np.add.at(total, rows, np.where(marginal >= 0.25, marginal, 0.0))
     return np.stack([np.ones(n), most, np.log1p(total)], axis=1)
 
 
