@@ -6,11 +6,17 @@ A document's set is its distinct word shingles (52-bit hashes of A-Z-folded word
 two documents agree in a register stays their similarity, for short texts too.  48 bands of 6 registers put documents
 into buckets: a pair at similarity 0.8 shares none with probability (1 - 0.8^6)^48 = 5e-7, and less above.
 
-Documents with equal sets are one class and only classes are compared.  A bucket is resolved by hubs: its smallest member
-is compared with all others, then the members that are still in different components with the next hub, until all are in
-one component or every pair across components was compared.  Nothing is capped and no pair list of a whole group is made.
-Pairs whose estimated similarity is more than five standard deviations too low are dropped, the rest is confirmed on the
-full sets: ``100 * intersection >= percent * union``.
+Documents with equal sets are one class and only classes are compared.  Every bucket has a hub, the member with the
+fullest buckets, and each member is compared with it: first by size and estimated similarity (in buckets of two, where
+more than five standard deviations too low is dropped), then exactly: ``100 * intersection >= percent * union``.  In
+buckets of three or more the exact comparison also gives what a member lacks (``lost``) and adds (``added``) against the
+hub.  Two members that share nothing they added have at most
+
+    (hub - max(lost)) / (hub - min(lost) + added + added')
+
+in common, so members in different components need a comparison of their own only if they share additions, enough of
+them, or if their sizes pass that bound.  Both are found by joins on the additions and on the few (lost, added) profiles
+of a hub: no pair of a bucket is made that cannot be a link, nothing is capped, and no link is lost to a large group.
 
 Defined cases: null and empty texts and texts without words have an empty set, are linked with nothing and are kept.
 Texts with fewer words than a shingle have the whole sequence as their one shingle.  Every row is a document: rows that
@@ -24,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -35,8 +41,6 @@ from .components import components
 REGISTERS = 293
 BANDS, ROWS = 48, 6
 MANTISSA = 10
-#: Rounds of hubs; then the pairs left across components are compared in one join.
-HUB_ROUNDS = 6
 #: Ids up to which a list of ids alone is broadcast.
 SMALL_IDS = 200_000
 
@@ -174,23 +178,67 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "sketch_a", "sketch_b", F.least("n_a", "n_b").alias("n")).mapInArrow(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links among ``pairs``, on the full sets; texts are read again for the classes that take part."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+def _class_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """``node, shingles`` of the classes in ``nodes``; texts are read again for one document of each."""
     wanted = stage(nodes.join(classes.select("node", "d1", "d2", "n_shingles", "first_doc"), "node"), "neardup-wanted")
     ids = stage(wanted.select(F.col("first_doc").alias("doc_key")).distinct(), "neardup-ids")
     chosen = docs.withColumn("doc_key", key_of("doc_id")).join(small(ids, SMALL_IDS), "doc_key", "left_semi")
     found = _set_texts(chosen.select("doc_id", "text"), size)
-    sets = stage(
-        wanted.join(found, (F.col("d1") == F.col("s1")) & (F.col("d2") == F.col("s2")) & (F.col("n_shingles") == F.size("shingles"))).select(
-            "node", "shingles").dropDuplicates(["node"]), "neardup-sets")
-    joined = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    same = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-    return joined.select("a", "b", same.alias("same"), (F.size("set_a") + F.size("set_b")).cast("long").alias("sizes")).where(
-        100 * F.col("same") >= percent * (F.col("sizes") - F.col("same"))).select("a", "b")
+    same = (F.col("d1") == F.col("s1")) & (F.col("d2") == F.col("s2")) & (F.col("n_shingles") == F.size("shingles"))
+    return stage(wanted.join(found, same).select("node", "shingles").dropDuplicates(["node"]), "neardup-sets")
 
 
-def key_of(column: str):
+def _linked(same: Column, sizes: Column, percent: int) -> Column:
+    """``sizes`` is the sum of both set sizes."""
+    return 100 * same.cast("long") >= percent * (sizes - same).cast("long")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among ``pairs (a, b)``, on the full sets."""
+    joined = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    same = F.size(F.array_intersect("set_a", "set_b"))
+    return joined.where(_linked(same, F.size("set_a") + F.size("set_b"), percent)).select("a", "b")
+
+
+def _against_hubs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs (a, hub, crowd)`` with ``linked``, the hub's size, ``lost``, ``added`` and the additions of crowds."""
+    joined = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("hub", "set_hub"), "hub")
+    added = joined.withColumn("extra", F.array_except("set_a", "set_hub"))
+    counted = added.select(
+        "a", "hub", "crowd", F.size("set_hub").alias("whole"), F.size("extra").alias("added"),
+        (F.size("set_hub") - F.size("set_a") + F.size("extra")).alias("lost"), F.when(F.col("crowd"), F.col("extra")).alias("extra"))
+    same = F.col("whole") - F.col("lost")
+    return counted.withColumn("linked", _linked(same, same + F.col("added") + F.col("whole"), percent))
+
+
+def _across(diffs: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one hub in different components that the bound does not rule out."""
+    named = diffs.where("crowd").join(labels.withColumnRenamed("id", "a"), "a", "left").withColumn("comp", F.coalesce("root", "a")).drop("root")
+    named = stage(named, "neardup-crowds")
+    far = named.where("not linked")
+    near = named.join(small(stage(far.select("hub").distinct(), "neardup-far"), SMALL_IDS), "hub", "left_semi")
+    left = far.select("hub", "whole", F.col("a").alias("v"), F.col("lost").alias("lost_v"), F.col("added").alias("added_v"), F.col("comp").alias("comp_v"), "extra")
+    right = near.select("hub", F.col("a").alias("w"), F.col("lost").alias("lost_w"), F.col("added").alias("added_w"), F.col("comp").alias("comp_w"), "extra")
+    two = (F.col("v") != F.col("w")) & (F.col("comp_v") != F.col("comp_w"))
+
+    def bound(shared: Column | int) -> Column:
+        most = F.col("whole") - F.greatest("lost_v", "lost_w") + shared
+        least = F.col("whole") - F.least("lost_v", "lost_w") + F.col("added_v") + F.col("added_w") - shared
+        return 100 * most.cast("long") >= percent * least.cast("long")
+
+    shared = left.withColumn("x", F.explode("extra")).drop("extra").join(
+        right.withColumn("x", F.explode("extra")).drop("extra"), ["hub", "x"]).where(two)
+    shared = shared.groupBy("hub", "v", "w", "whole", "lost_v", "lost_w", "added_v", "added_w").count().where(bound(F.col("count"))).select("v", "w")
+    profile_v = left.select("hub", "whole", "lost_v", "added_v").distinct()
+    profile_w = right.select("hub", "lost_w", "added_w").distinct()
+    open_ = profile_v.join(profile_w, "hub").where(bound(0)).select("hub", "lost_v", "added_v", "lost_w", "added_w")
+    sized = open_.join(left.drop("extra", "whole"), ["hub", "lost_v", "added_v"]).join(right.drop("extra"), ["hub", "lost_w", "added_w"]).where(two).select("v", "w")
+    every = shared.union(sized)
+    return every.select(F.greatest("v", "w").alias("a"), F.least("v", "w").alias("b")).distinct()
+
+
+def key_of(column: str) -> Column:
+    """An id whose nulls come last."""
     return F.coalesce(F.col(column), F.lit((1 << 63) - 1))
 
 
@@ -207,40 +255,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         "neardup-classes")
     every = _buckets(classes)
     shared = every.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").select("bucket")
-    left = stage(every.join(shared, "bucket").distinct(), "neardup-buckets").withColumn("comp", F.col("node"))
+    held = stage(every.join(shared, "bucket").distinct(), "neardup-buckets")
+    fullness = held.join(held.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")), "bucket")
+    rank = stage(fullness.groupBy("node").agg(F.sum("members").alias("rank")), "neardup-rank")
+    hubs = held.join(rank, "node").groupBy("bucket").agg(
+        F.max(F.struct("rank", "node")).alias("top"), (F.count(F.lit(1)) > 2).alias("crowd")).select("bucket", F.col("top.node").alias("hub"), "crowd")
+    pairs = stage(held.join(hubs, "bucket").where("node <> hub").groupBy(F.col("node").alias("a"), "hub").agg(F.max("crowd").alias("crowd")), "neardup-pairs")
+    likely = _plausible(pairs.where("not crowd").select("a", F.col("hub").alias("b")), classes, percent).select("a", F.col("b").alias("hub"), F.lit(False).alias("crowd"))
+    pairs = stage(pairs.where("crowd").unionByName(likely), "neardup-likely")
     labels = None
-    for turn in range(HUB_ROUNDS + 1):
-        if turn < HUB_ROUNDS:
-            hubs = left.groupBy("bucket").agg(F.min(F.struct("node", "comp")).alias("hub"), F.min("comp").alias("low"), F.max("comp").alias("high")).where(
-                "low <> high").select("bucket", F.col("hub.node").alias("hub"), F.col("hub.comp").alias("hub_comp"))
-            left = stage(left.join(hubs, "bucket").where("node > hub"), "neardup-left")
-            pairs = left.where("comp <> hub_comp").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        else:
-            other = left.select("bucket", F.col("node").alias("b"), F.col("comp").alias("other"))
-            pairs = left.join(other, "bucket").where("node < b and comp <> other").select(F.col("node").alias("a"), "b")
-        pairs = stage(_plausible(pairs.distinct(), classes, percent), "neardup-pairs")
-        if not pairs.isEmpty():
-            links = _confirmed(pairs, classes, docs, size, percent)
-            if labels is not None:
-                of = labels.withColumnRenamed("root", "r")
-                links = links.join(of.withColumnRenamed("id", "a"), "a", "left").withColumn("a", F.coalesce("r", "a")).drop("r")
-                links = links.join(of.withColumnRenamed("id", "b"), "b", "left").withColumn("b", F.coalesce("r", "b")).drop("r")
-            merged = components(links.select("a", "b"))
-            if labels is None:
-                labels = merged
-            else:
-                moved = merged.toDF("root", "r")
-                labels = stage(
-                    labels.join(moved, "root", "left").select("id", F.coalesce("r", "root").alias("root")).union(
-                        merged.join(labels.select("id"), "id", "left_anti")), "neardup-labels")
-        left = left.select("bucket", "node", "comp")
-        if labels is not None:
-            left = left.join(labels.select(F.col("id").alias("node"), "root"), "node", "left").select(
-                "bucket", "node", F.coalesce("root", "comp").alias("comp"))
-        if turn < HUB_ROUNDS:
-            left = stage(left, "neardup-left")
-            if left.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").isEmpty():
-                break
+    if not pairs.isEmpty():
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("hub").alias("node"))).distinct()
+        sets = _class_sets(nodes, classes, docs, size)
+        diffs = stage(_against_hubs(pairs, sets, percent), "neardup-diffs")
+        links = diffs.where("linked").select("a", F.col("hub").alias("b"))
+        labels = components(links)
+        more = stage(_plausible(_across(diffs, labels, percent), classes, percent), "neardup-across")
+        if not more.isEmpty():
+            labels = components(links.union(_confirmed(more, sets, percent)))
     nodes = classes.select("d1", "d2", "n_shingles", "first_doc", "node")
     if labels is not None:
         nodes = nodes.join(labels.select(F.col("id").alias("node"), "root"), "node", "left").withColumn("node", F.coalesce("root", "node"))
