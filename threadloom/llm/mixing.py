@@ -76,32 +76,20 @@ def _nearest(cell: pa.Table) -> pa.Table:
     return pa.table({"source": pa.array([cell.column("source")[0].as_py()] * len(chosen), pa.string()), "mark": pa.array(chosen, pa.int64())})
 
 
-def mix(docs: DataFrame, share: float = 1.5, weights: tuple[int, ...] = (3, 1, 2), seed: int = 17, weight: str | None = None) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken, mark`` of every row."""
+def _plan(docs: DataFrame, share: float, weights: tuple[int, ...], seed: int, weight: str | None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Drawn rows without texts, and the tables that tell copies: sources, cuts, and rows chosen at the cuts."""
     ship_package(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), mark(seed).alias("mark"),
-        (F.coalesce(F.greatest(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0)) if weight else F.lit(1.0)).alias("own_weight"))
+        _own(weight))
     rows = stage(rows, "mix-rows")
     sizes = rows.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"), F.sum(F.col("size") * F.col("own_weight")).alias("weighted"))
     aims = targets(stage(sizes.select("source", "source_size", "n"), "mix-sources"), share, weights)
     aims = stage(aims.join(sizes.select(F.col("source").alias("s"), "weighted"), F.col("source").eqNullSafe(F.col("s"))).drop("s"), "mix-targets")
-    of = aims.withColumnRenamed("source", "s")
-    expected = F.when(F.col("weighted") > 0, F.least(F.lit(float(MAX_COPIES)), F.col("target") * F.col("own_weight") / F.col("weighted"))).otherwise(0.0)
-    uniform = (F.shiftrightunsigned("mark", 11) + 0.5) / F.lit(float(1 << 53))
-    drawn = rows.join(small(of), F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("expected", expected).withColumns(
-        {"sure": F.floor("expected"), "chance": F.col("expected") - F.floor("expected")})
-    mean = F.col("target") / F.greatest(F.col("source_size"), F.lit(1))
-    mean = F.least(F.greatest(mean - F.floor(mean), F.lit(1e-9)), F.lit(1 - 1e-9))
-    odds = uniform / (1 - uniform) * (1 - F.col("chance")) / F.col("chance")
-    centre = (1 - mean) / mean
-    cells = F.greatest(F.lit(1), F.ceil(F.sqrt("n") / CELL_FACTOR))
-    drawn = drawn.withColumn("odds", F.when(F.col("chance") > 0, odds)).withColumn(
-        "cell", F.least(F.floor(F.col("odds") / (F.col("odds") + centre) * cells), cells - 1))
-    drawn = stage(drawn.select("doc_id", "source", "size", "source_size", "target", "mark", "sure", "odds", "cell"), "mix-drawn")
-
+    of = small(aims.withColumnRenamed("source", "s"))
+    drawn = stage(_drawn(rows, of).select("doc_id", "source", "size", "source_size", "target", "mark", "sure", "odds", "cell"), "mix-drawn")
     sure = drawn.groupBy("source").agg((F.first("target") - F.sum(F.col("sure") * F.col("size"))).alias("due"))
     sums = drawn.where("cell is not null").groupBy("source", "cell").agg(F.sum("size").alias("words"))
     sums = sums.join(small(stage(sure.withColumnRenamed("source", "s"), "mix-due")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -112,8 +100,47 @@ def mix(docs: DataFrame, share: float = 1.5, weights: tuple[int, ...] = (3, 1, 2
     near = drawn.join(cuts, F.col("source").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("cut")))
     chosen = stage(near.select("source", "mark", "size", "odds", "left").groupBy("source").applyInArrow(
         _nearest, "source string, mark long"), "mix-chosen").select(F.col("source").alias("c"), F.col("mark").alias("m"))
+    return drawn, of, cuts, small(chosen)
+
+
+def _drawn(rows: DataFrame, of: DataFrame) -> DataFrame:
+    """Rows ``(source, mark, own_weight)`` with their certain copies, odds and cell in the order of their source."""
+    expected = F.when(F.col("weighted") > 0, F.least(F.lit(float(MAX_COPIES)), F.col("target") * F.col("own_weight") / F.col("weighted"))).otherwise(0.0)
+    uniform = (F.shiftrightunsigned("mark", 11) + 0.5) / F.lit(float(1 << 53))
+    drawn = rows.join(of, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("expected", expected).withColumns(
+        {"sure": F.floor("expected"), "chance": F.col("expected") - F.floor("expected")})
+    mean = F.col("target") / F.greatest(F.col("source_size"), F.lit(1))
+    mean = F.least(F.greatest(mean - F.floor(mean), F.lit(1e-9)), F.lit(1 - 1e-9))
+    odds = uniform / (1 - uniform) * (1 - F.col("chance")) / F.col("chance")
+    cells = F.greatest(F.lit(1), F.ceil(F.sqrt("n") / CELL_FACTOR))
+    return drawn.withColumn("odds", F.when(F.col("chance") > 0, odds)).withColumn(
+        "cell", F.least(F.floor(F.col("odds") / (F.col("odds") + (1 - mean) / mean) * cells), cells - 1))
+
+
+def _counted(drawn: DataFrame, cuts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Drawn rows with ``copies``: the certain ones and one for rows before the cut or chosen at it."""
     told = drawn.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").join(
         chosen, F.col("source").eqNullSafe(F.col("c")) & (F.col("mark") == F.col("m")), "left")
     extra = F.col("cell").isNotNull() & (F.col("cut").isNull() | (F.col("cell") < F.col("cut")) | F.col("m").isNotNull())
-    copies = (F.col("sure") + extra.cast("long")).cast("long")
-    return told.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"), "mark")
+    return told.withColumn("copies", (F.col("sure") + extra.cast("long")).cast("long"))
+
+
+def mix(docs: DataFrame, share: float = 1.5, weights: tuple[int, ...] = (3, 1, 2), seed: int = 17, weight: str | None = None) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies, taken`` of every row."""
+    drawn, _, cuts, chosen = _plan(docs, share, weights, seed, weight)
+    return _counted(drawn, cuts, chosen).select(
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def mixed(docs: DataFrame, share: float = 1.5, weights: tuple[int, ...] = (3, 1, 2), seed: int = 17, weight: str | None = None) -> DataFrame:
+    """The rows of ``docs``, with all their columns, as often as the mix takes them.
+
+    Texts are not shuffled: the plan is a table per source and the few rows at each cut.
+    """
+    _, of, cuts, chosen = _plan(docs, share, weights, seed, weight)
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col("source").cast("string").alias("source"), mark(seed).alias("mark"), _own(weight))
+    return _counted(_drawn(rows, of), cuts, chosen).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+
+
+def _own(weight: str | None) -> Column:
+    return (F.coalesce(F.greatest(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0)) if weight else F.lit(1.0)).alias("own_weight")

@@ -110,7 +110,7 @@ def estimate(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _sketch_texts(docs: DataFrame, size: int) -> DataFrame:
-    names = ["doc_id", "n_shingles", "d1", "d2", "sketch"]
+    names = ["doc_id", "mark", "n_shingles", "d1", "d2", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,9 +124,9 @@ def _sketch_texts(docs: DataFrame, size: int) -> DataFrame:
                     np.add.at(total, rows, flat.mix(hashes + np.uint64(salt)))
                     sums.append(pa.array(total.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts, pa.int64()), *sums, pa.array([x.tobytes() for x in sketches(rows, hashes, n)], pa.binary())], names)
+                    [part.column(0), part.column(2), pa.array(counts, pa.int64()), *sums, pa.array([x.tobytes() for x in sketches(rows, hashes, n)], pa.binary())], names)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, sketch binary")
+    return docs.mapInArrow(run, "doc_id long, mark long, n_shingles long, d1 long, d2 long, sketch binary")
 
 
 def _set_texts(docs: DataFrame, size: int) -> DataFrame:
@@ -243,12 +243,12 @@ def key_of(column: str) -> Column:
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+    """One row per document: ``doc_id, n_shingles, component_id, kept``, and ``mark``, a hash of its text.
 
     ``component_id`` is the smallest ``doc_id`` that links reach, ``kept`` holds where it is the document's own.
     """
     docs = texts(docs)
-    rows = stage(_sketch_texts(docs, size), "neardup-rows")
+    rows = stage(_sketch_texts(docs.withColumn("mark", text_mark()), size), "neardup-rows")
     classes = stage(
         rows.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(
             F.min(key_of("doc_id")).alias("first_doc"), F.first("sketch").alias("sketch")).withColumn("node", F.monotonically_increasing_id()),
@@ -279,6 +279,29 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     nodes = stage(nodes.select("d1", "d2", "n_shingles", "first_doc", F.col("node").alias("root")), "neardup-nodes")
     least = nodes.groupBy("root").agg(F.min("first_doc").alias("low"))
     named = nodes.join(least, "root").select("d1", "d2", "n_shingles", "low")
-    out = rows.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"], "left")
+    out = rows.select("doc_id", "mark", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"], "left")
     lowest = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.when(F.col("low") < F.lit((1 << 63) - 1), F.col("low")))
-    return out.select("doc_id", "n_shingles", lowest.alias("component_id"), F.col("doc_id").eqNullSafe(lowest).alias("kept"))
+    return out.select("doc_id", "n_shingles", lowest.alias("component_id"), F.col("doc_id").eqNullSafe(lowest).alias("kept"), "mark")
+
+
+def text_mark() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def first_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay: one of each component, and every row without words.
+
+    That is the row of the smallest id; of rows that repeat this id, the one with the smallest hash of the text, and of
+    rows equal in both, one.  Only rows that go, or that repeat, are matched, by id and hash.
+    """
+    found = near_duplicates(docs, size, percent)
+    named = found.select(key_of("doc_id").alias("k_doc"), F.col("mark").alias("k_mark"), key_of("component_id").alias("comp"), (F.col("n_shingles") > 0).alias("full"), "kept")
+    first = named.where("full and kept").groupBy("comp").agg(F.min("k_mark").alias("first_mark"), F.count(F.lit(1)).alias("n"))
+    judged = named.where("full").join(first, "comp")
+    gone = stage(judged.where("not kept or k_mark <> first_mark").select("k_doc", "k_mark").distinct(), "neardup-gone")
+    again = stage(judged.where("kept and k_mark = first_mark and n > 1").groupBy("k_doc", "k_mark").count().where("count > 1").select("k_doc", "k_mark"), "neardup-again")
+    held = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), key_of("doc_id").cast("long").alias("k_doc"), text_mark().alias("k_mark"))
+    kept = held.join(small(gone, SMALL_IDS), ["k_doc", "k_mark"], "left_anti")
+    once = kept.join(small(again, SMALL_IDS), ["k_doc", "k_mark"], "left_anti")
+    twice = kept.join(small(again, SMALL_IDS), ["k_doc", "k_mark"], "left_semi").dropDuplicates(["k_doc", "k_mark"])
+    return (once if again.isEmpty() else once.unionByName(twice)).select("row.*")

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from . import flat
 from .common import texts
 
@@ -288,3 +289,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sent.value.scores(rows, marginal, n)), spans], ["doc_id", "score", "spans"])
 
     return held.mapInArrow(run, "doc_id long, score double, spans array<struct<start:long,end:long>>")
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose ``text`` scores below ``threshold``; one narrow pass."""
+    ship_package(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in flat.slices(batch):
+                raw, offsets = flat.raw_bytes(part.column(place))
+                _, _, rows, marginal = sent.value.marginals(raw, offsets)
+                yield part.filter(pa.array(sent.value.scores(rows, marginal, part.num_rows) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
