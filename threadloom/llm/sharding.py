@@ -62,14 +62,14 @@ def first_map(spark: SparkSession, shards: int, slots: int = SLOTS) -> DataFrame
 def edit_map(slot_map: DataFrame, loads: DataFrame, shards: int, receivers: list[int] | None = None) -> DataFrame:
     """A map with even bytes that moves few slots; ``receivers`` limits which shards may take any (default: all).
 
-    Every shard keeps its largest slots up to the average.  The rest is dealt, largest first, each to the receiver that
+    Every shard keeps its empty slots, and its largest ones up to the average.  The rest is dealt, largest first, each to the receiver that
     is lightest then; one fold over at most ``SLOTS`` entries.
     """
     takers = list(range(shards)) if receivers is None else receivers
     sized = slot_map.join(F.broadcast(loads.select("virtual_slot", "bytes")), "virtual_slot")
     average = F.floor(F.sum("bytes").over(Window.partitionBy()) / shards)
     filled = F.sum("bytes").over(Window.partitionBy("shard").orderBy(F.desc("bytes"), "virtual_slot").rowsBetween(Window.unboundedPreceding, 0))
-    judged = sized.withColumn("average", average).withColumn("stays", filled <= F.col("average"))
+    judged = sized.withColumn("average", average).withColumn("stays", (filled <= F.col("average")) | (F.col("bytes") == 0))
     stay = F.sum(F.when(F.col("stays"), F.col("bytes")).otherwise(0))
     weights = judged.groupBy("shard").agg(stay.alias("load"))
     start = judged.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard")).join(F.broadcast(weights), "shard", "left").where(
