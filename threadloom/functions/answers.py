@@ -46,15 +46,14 @@ def parse_object(text: Column, schema: T.StructType) -> Column:
     """Struct read from an answer, null when no object can be read.
 
     Order: the whole answer, else the fenced object, else the balanced one.
+    Fields are read one by one: a field of another type is cast, or null, and
+    costs no other field.
     """
-    marked = T.StructType(list(schema.fields) + [T.StructField("_bad", T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
 
     def read(source: Column) -> Column:
-        parsed = F.from_json(source, marked, options)
-        usable = source.isNotNull() & (F.trim(source) != "") & parsed["_bad"].isNull()
-        fields = [parsed[f.name].alias(f.name) for f in schema.fields]
-        return F.when(usable, F.struct(*fields))
+        parsed = F.try_parse_json(source)
+        fields = [F.try_variant_get(parsed, f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+        return F.when(F.schema_of_variant(parsed).startswith("OBJECT"), F.struct(*fields))
 
     whole = F.when(F.trim(text).startswith("{"), text)
     return F.coalesce(read(whole), read(object_text(text)))

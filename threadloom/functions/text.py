@@ -24,8 +24,14 @@ OFF_TOPIC_WORDS = ["pizza", "weather", "game", "movie"]
 
 
 def normalize_id(value: Column) -> Column:
-    """``"12.0"`` -> 12 (toward zero); null or unreadable -> -1."""
-    return F.coalesce(value.try_cast("double").try_cast("bigint"), F.lit(-1).cast("bigint"))
+    """``"12.0"`` -> 12 (toward zero); null or unreadable -> -1.
+
+    The whole part is read as an integer, so ids beyond the digits of a double stay apart.
+    """
+    number = F.trim(value)
+    whole = F.regexp_extract(number, r"^([+-]?[0-9]+)(?:\.[0-9]*)?$", 1)
+    scaled = F.when(number.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?[eE][+-]?[0-9]+$"), number.try_cast("double").try_cast("bigint"))
+    return F.coalesce(whole.try_cast("bigint"), scaled, F.lit(-1).cast("bigint"))
 
 
 def clean_text(text: Column) -> Column:

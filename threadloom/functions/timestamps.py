@@ -8,7 +8,7 @@ POST_TIME_FORMAT = "MMM dd HH:mm:ss Z yyyy"
 
 def post_time(created_at: Column) -> Column:
     """Parse the textual time; unreadable text gives null."""
-    return F.try_to_timestamp(F.substring(created_at, 5, 40), F.lit(POST_TIME_FORMAT))
+    return F.try_to_timestamp(F.substr(created_at, F.lit(5)), F.lit(POST_TIME_FORMAT))
 
 
 def time_order(created_at: Column) -> Column:

@@ -56,6 +56,17 @@ def majority_label(messages: DataFrame, label: str) -> DataFrame:
     )
 
 
+def majority_intent(messages: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """One row with the label of the largest cluster; the lowest cluster id wins ties.
+
+    Clusters are counted, not labels: two small clusters of one label do not add up.
+    """
+    largest = messages.filter("cluster_id is not null").groupBy("cluster_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "cluster_id").limit(1)
+    labels = taxonomy.groupBy(F.col("cluster_id").alias("_cid")).agg(F.min("intent_label").alias("_label"))
+    found = largest.join(labels, F.col("cluster_id") == F.col("_cid"), "left")
+    return found.select(cluster_label(F.col("_label"), F.col("cluster_id")).alias("majority"), "cluster_id", "n")
+
+
 def _reply(text: Column, strategy: str) -> Column:
     return F.struct(text.alias("reply"), F.array().cast("array<string>").alias("grounding_sources"), F.lit(strategy).alias("strategy"))
 
@@ -64,9 +75,14 @@ def _intent(label: Column, confidence: Column, reasoning: str) -> Column:
     return F.struct(label.alias("intent"), confidence.alias("confidence"), F.lit(reasoning).alias("reasoning"))
 
 
-def trivial_predictions(golden: DataFrame, training: DataFrame, label: str) -> DataFrame:
-    """Majority intent, template reply, never escalate."""
-    majority = majority_label(training, label).select("majority").scalar()
+def trivial_predictions(golden: DataFrame, training: DataFrame, label: str | None = None, taxonomy: DataFrame | None = None) -> DataFrame:
+    """Majority intent, template reply, never escalate.
+
+    The majority is that of the ``label`` column, or with a ``taxonomy`` the
+    name of the largest cluster in ``training``.
+    """
+    found = majority_label(training, label) if taxonomy is None else majority_intent(training, taxonomy)
+    majority = found.select("majority").scalar()
     return golden.withColumns({
         "intent": _intent(majority, F.lit(1.0), TRIVIAL_REASONING),
         "reply": _reply(F.lit(TEMPLATE_REPLY), TRIVIAL_STRATEGY),

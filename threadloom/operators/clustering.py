@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.text import draw_order
 from ..functions.vectors import normalized
+from ..session import stage
 from .rules import TOPIC_KEYWORDS, best_keywords
 from .sampling import SEED, cluster_sample
 from .tfidf import tokens
@@ -136,9 +137,11 @@ def choose_k(
 ) -> tuple[DataFrame, dict[int, KMeansModel]]:
     """(k, silhouette, is_best) for every candidate k, and the fitted models."""
     models = fit_kmeans(df, vec_col, ks, restarts, seed)
+    # One sample, drawn once, serves every k; only its rows are assigned.
+    sample = stage(df.select(id_col, vec_col).orderBy(draw_order(seed, F.col(id_col)), id_col).limit(SILHOUETTE_ROWS), "silhouette-sample")
     scores = None
     for k, model in models.items():
-        one = silhouette(assign_clusters(df, vec_col, model), id_col, vec_col, "cluster_id", seed=seed).agg(
+        one = silhouette(assign_clusters(sample, vec_col, model), id_col, vec_col, "cluster_id", seed=seed).agg(
             F.avg("silhouette").alias("silhouette")).withColumn("k", F.lit(k))
         scores = one if scores is None else scores.unionByName(one)
     best = Window.orderBy(F.desc("silhouette"), "k")

@@ -31,7 +31,7 @@ def call_model(
     """(id, response, in_tokens, out_tokens, attempts, error), written before use.
 
     ``complete`` gets one Arrow batch at a time.  Rows that fail are tried again
-    after ``wait`` and twice ``wait`` seconds; the last try of the ``pipeline``
+    or that it leaves out are tried again after ``wait`` and twice ``wait`` seconds; the last try of the ``pipeline``
     kind asks for the ``fallback`` model.  The result is staged, so later steps
     never repeat a call.
     """
@@ -53,7 +53,12 @@ def call_model(
                 if number > 1:
                     sleep(wait * 2 ** (number - 2))
                 model = "fallback" if number == TRIES and kind == "pipeline" else kind
-                answers = attempt(open_rows, model).assign(attempts=number)
+                answers = attempt(open_rows, model)
+                silent = open_rows.loc[~open_rows["id"].isin(answers["id"]), ["id"]]
+                if len(silent):
+                    silent = silent.assign(response=None, in_tokens=0, out_tokens=0, error="no answer for this row")
+                    answers = pd.concat([answers, silent], ignore_index=True)
+                answers = answers.assign(attempts=number)
                 failed = answers["error"].notna()
                 final = answers if number == TRIES else answers[~failed]
                 if len(final):
@@ -125,12 +130,12 @@ def judge_rows(answers: DataFrame, response_col: str = "response", error_col: st
 
     A missing overall score becomes the mean of the dimensions: an absent
     dimension, or an object without ``score``, counts 3; a bare number counts as
-    it is; anything else is skipped; 3 when nothing is left.  An unreadable
-    answer gives zeros.
+    it is; anything else is skipped; 3 when nothing is left.  An answer that is
+    unreadable or not an object gives zeros.
     """
     parsed = answers.withColumn("_json", F.coalesce(
         F.try_parse_json(F.col(response_col)), F.try_parse_json(object_text(F.col(response_col)))))
-    ok = F.col(error_col).isNull() & F.col("_json").isNotNull()
+    ok = F.col(error_col).isNull() & F.coalesce(F.schema_of_variant("_json").startswith("OBJECT"), F.lit(False))
     reason = F.concat(F.lit("Judge failed: "), F.coalesce(F.col(error_col), F.lit("unreadable response")))
 
     def part(path: str, kind: str) -> Column:

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import stage
 from .skew import HOT_ROWS
 
-# Cells a hot group is cut into at most; a cell may be any size a task can sort.
-MAX_CELLS = 1024
-
 
 def bucketed_positions(
     df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column], out: str
@@ -24,19 +23,25 @@ def bucketed_positions(
     cells = df.groupBy(*keys, bucket).agg(F.count("*").alias("_cell"))
     before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = cells.withColumn("_before", F.coalesce(F.sum("_cell").over(before), F.lit(0))).drop("_cell")
+    offsets = offsets.withColumnsRenamed({c: f"_of_{c}" for c in (*keys, bucket)})
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in (*keys, bucket)])  # a null key is a group
     inside = Window.partitionBy(*keys, bucket).orderBy(*order)
     return (
         df.withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, [*keys, bucket])
+        .join(offsets, same)
         .withColumn(out, F.col("_inside") + F.col("_before"))
-        .drop("_inside", "_before", bucket)
+        .drop("_inside", "_before", bucket, *[f"_of_{c}" for c in (*keys, bucket)])
     )
 
 
 def hash_positions(
-    df: DataFrame, keys: Sequence[str], draw: str, ties: Sequence[Column], out: str, digits: int = 3
+    df: DataFrame, keys: Sequence[str], draw: str, ties: Sequence[Column], out: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Positions in the order of an md5 column, cut into cells by its first digits."""
+    """Positions in the order of an md5 column, cut into cells by its first digits.
+
+    There are three digits, or as many as keep a cell of all rows below ``hot_rows``.
+    """
+    digits = max(3, math.ceil(math.log(max(1, df.count() / hot_rows), 16)))
     cut = df.withColumn("_cut", F.substring(draw, 1, digits))
     return bucketed_positions(cut, keys, "_cut", [F.col(draw), *ties], out)
 
@@ -63,11 +68,11 @@ def ordered_positions(
         return df.withColumn(out, F.row_number().over(plain).cast("bigint"))
 
     # Cells per group, so that all splits together stay within a few times rows / hot_rows.
-    most = min(MAX_CELLS, cells_per_hot * (largest // hot_rows + 1))
+    most = cells_per_hot * (largest // hot_rows + 1)
     wanted = F.least(F.lit(most), cells_per_hot * (F.floor(F.col("_n") / hot_rows) + 1))
     drawn = Window.partitionBy(key).orderBy("_draw", tie)
     sample = (
-        df.join(F.broadcast(sizes), key)
+        df.join(F.broadcast(sizes.withColumnRenamed(key, "_hot")), F.col(key).eqNullSafe(F.col("_hot")))
         .select(key, "_n", F.struct(F.col(sort_key).alias("k"), F.col(tie).alias("t")).alias("_at"), tie)
         .withColumn("_draw", F.xxhash64(tie))
         .withColumn("_rn", F.row_number().over(drawn))
@@ -78,7 +83,8 @@ def ordered_positions(
     splits = stage(sample, "hot-splits")
     here = F.struct(F.col(sort_key).alias("k"), F.col(tie).alias("t"))
     celled = (
-        df.join(F.broadcast(splits), key, "left")
+        df.join(F.broadcast(splits.withColumnRenamed(key, "_hot")), F.col(key).eqNullSafe(F.col("_hot")), "left")
+        .drop("_hot")
         .withColumn("_bucket", F.coalesce(
             F.size(F.filter("_splits", lambda s: s < here)), F.lit(0)))
         .drop("_splits")

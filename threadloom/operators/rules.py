@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -65,7 +66,7 @@ def keyword_hit(lowered: Column, keyword: str, match: str = "substring") -> Colu
         return F.contains(lowered, F.lit(keyword))
     if match == "word":
         not_word = WORD.replace("[", "[^")
-        return lowered.rlike(f"(^|{not_word}){keyword}($|{not_word})")
+        return lowered.rlike(f"(^|{not_word}){re.escape(keyword)}($|{not_word})")
     raise ValueError(f"match must be 'substring' or 'word', not {match!r}")
 
 

@@ -50,6 +50,13 @@ def brand_posts(posts: DataFrame, brand: str, hot_rows: int = HOT_ROWS) -> DataF
     )
 
 
+def one_per_id(posts: DataFrame) -> DataFrame:
+    """One row per readable id: the earliest time stamp as text, then a hash of the row; rows without an id go."""
+    order = [F.coalesce("created_at", F.lit("")), F.xxhash64("parent_id", "inbound", "response_tweet_id", "author_id", "text"), "parent_id"]
+    place = F.row_number().over(Window.partitionBy("tid").orderBy(*order))
+    return posts.filter("tid >= 0").withColumn("_place", place).filter("_place = 1").drop("_place")
+
+
 def _known_parent(posts: DataFrame, hot_rows: int) -> DataFrame:
     """Add ``has_parent``: the answered post is part of the corpus."""
     known = posts.filter("tid >= 0").select(F.col("tid").alias("known_id")).distinct().withColumn("found", F.lit(True))
@@ -76,8 +83,8 @@ def _edges(flagged: DataFrame, hot_rows: int) -> DataFrame:
 
 
 def _flagged_ids(posts: DataFrame, hot_rows: int) -> DataFrame:
-    """Ids only, read several times by the graph steps: one narrow staged table."""
-    ids = posts.filter("tid >= 0").select("tid", "parent_id", "inbound", "created_at", "response_tweet_id")
+    """Ids only, one row each, read several times by the graph steps: one narrow staged table."""
+    ids = one_per_id(posts).select("tid", "parent_id", "inbound", "created_at", "response_tweet_id")
     return stage(_known_parent(ids, hot_rows), "post-ids")
 
 
@@ -102,7 +109,7 @@ def thread_owner(posts: DataFrame, order: str = "time", hot_rows: int = HOT_ROWS
 def thread_messages(posts: DataFrame, order: str = "time", hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per post that belongs to a thread, cleaned and with its role."""
     owned = thread_owner(posts, order, hot_rows).withColumnRenamed("tid", "o_tid")
-    return posts.join(owned, F.col("tid") == F.col("o_tid")).select(
+    return one_per_id(posts).join(owned, F.col("tid") == F.col("o_tid")).select(
         "thread_id",
         "tid",
         role(F.col("inbound")).alias("role"),

@@ -21,6 +21,8 @@ from ..functions.vectors import EPSILON
 # Bytes of query vectors that may be sent to every task.
 BLOCK_BYTES = 64 * 1024 * 1024
 CORPUS_BLOCK_ROWS = 50_000
+# Entries of a score matrix (queries x corpus rows) held at once.
+SCORE_CELLS = 4 << 20
 SCORE_DIGITS = 9
 
 
@@ -35,14 +37,22 @@ def sparse(vector: Column) -> Column:
     return F.struct(parts["indices"].alias("at"), parts["values"].alias("value"))
 
 
+def _chunk(queries: int, rows: int) -> int:
+    """Corpus rows scored at once, so that a score matrix stays below ``SCORE_CELLS``."""
+    return max(1, min(rows, SCORE_CELLS // max(1, queries)))
+
+
 def _matrix(frame: pd.DataFrame, size: int, unit: bool) -> np.ndarray:
     """One matrix row per canonical vector, scaled to unit length if asked for."""
-    out = np.zeros((len(frame), size))
-    for row, (places, numbers) in enumerate(zip(frame["at"], frame["value"])):
-        if places is None:
-            out[row] = numbers
-        else:
-            out[row, np.asarray(places, dtype=np.int64)] = numbers
+    if len(frame) and frame["at"].isna().all():
+        out = np.stack(frame["value"].to_numpy()).astype(np.float64)
+    else:
+        out = np.zeros((len(frame), size))
+        for row, (places, numbers) in enumerate(zip(frame["at"], frame["value"])):
+            if places is None:
+                out[row] = numbers
+            else:
+                out[row, np.asarray(places, dtype=np.int64)] = numbers
     if not unit:
         return out
     return out / (np.sqrt((out * out).sum(axis=1, keepdims=True)) + EPSILON)
@@ -102,8 +112,9 @@ def top_k(
         def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             best = None
             for batch in batches:
-                for start in range(0, len(batch), chunk_rows):
-                    part = batch.iloc[start:start + chunk_rows]
+                step = _chunk(len(query_ids), chunk_rows)
+                for start in range(0, len(batch), step):
+                    part = batch.iloc[start:start + step]
                     hits = _score_block(
                         query_ids, query_matrix, part["corpus_id"].to_numpy(),
                         _matrix(part, size, unit), k, exclude_same)
@@ -128,8 +139,9 @@ def top_k(
                 return best
             matrix = _matrix(few, size, unit)
             parts = []
-            for start in range(0, len(many), chunk_rows):
-                part = many.iloc[start:start + chunk_rows]
+            step = _chunk(len(few), chunk_rows)
+            for start in range(0, len(many), step):
+                part = many.iloc[start:start + step]
                 parts.append(_score_block(
                     few["query_id"].to_numpy(), matrix, part["corpus_id"].to_numpy(),
                     _matrix(part, size, unit), k, exclude_same))

@@ -63,8 +63,9 @@ def extract_mentions(spark, sf_dir):
 @query
 def normalize_id(spark, sf_dir):
     events = fx.table(spark, sf_dir, "events").select("event_id")
-    raw = F.expr("""case event_id % 6 when 0 then cast(event_id as string) when 1 then concat(event_id, '.0')
-        when 2 then concat(event_id, '.9') when 3 then 'x' when 4 then '' end""")
+    raw = F.expr("""case event_id % 9 when 0 then cast(event_id as string) when 1 then concat(event_id, '.0')
+        when 2 then concat(event_id, '.9') when 3 then 'x' when 4 then '' when 5 then concat(event_id, 'd')
+        when 6 then cast(1234567890000000000 + event_id as string) when 7 then concat('-', event_id, '.5') end""")
     return events.withColumn("raw", raw).withColumn("norm", tx.normalize_id(F.col("raw")))
 
 
@@ -485,7 +486,8 @@ def tfidf_top1(spark, sf_dir):
 @query
 def silhouette_fixed_labels(spark, sf_dir):
     vectors = fx.table(spark, sf_dir, "embeddings")
-    return rounded(clustering.silhouette(vectors, "vec_id", "embedding", "label").withColumn("cluster", F.col("cluster").cast("bigint")))
+    scores = clustering.silhouette(vectors, "vec_id", "embedding", "label", rows=clustering.SILHOUETTE_ROWS)
+    return rounded(scores.withColumn("cluster", F.col("cluster").cast("bigint")))
 
 
 def _vector_corpus(spark, sf_dir) -> DataFrame:
@@ -533,6 +535,12 @@ def trivial_baseline(spark, sf_dir):
     return made.select("id", "intent.intent", F.col("intent.confidence").alias("intent_confidence"), "reply.reply", *_decision("escalation"))
 
 
+@query
+def majority_intent(spark, sf_dir):
+    found = baselines.majority_intent(fx.messages(spark, sf_dir), fx.taxonomy(spark))
+    return found.withColumn("cluster_id", F.col("cluster_id").cast("bigint"))
+
+
 @query
 def logreg_predictions(spark, sf_dir):
     labelled = _labelled(spark, sf_dir)

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from ..functions import text as tx
 from ..operators import prompts, rules
 from ..operators.baselines import EMPTY_REPLY, TEMPLATE_REPLY, TRIVIAL_REASON
+from ..operators.clustering import SILHOUETTE_ROWS
 from ..operators.metrics import RUBRIC_DIMENSIONS
 from ..operators.model_call import FAILED_INTENT, FAILED_REPLY
 from ..operators.sampling import DIFFICULTY_SHARES
@@ -102,7 +103,7 @@ VIEWS = {
             strftime(make_timestamp(({fx.FIRST_SECOND} + conv_id * 977 + turn * 61) * 1000000), '%a %b %d %H:%M:%S +0000 %Y') AS created_at,
             CASE WHEN turn % 4 = 0 THEN '@brand' || (conv_id % 3) || ' ' ELSE '' END || text
                 || CASE WHEN turn % 5 = 1 THEN ' __url__' ELSE '' END
-                || CASE WHEN turn % 2 = 0 THEN {PHRASE_CASE.format('conv_id')} ELSE '' END AS text,
+                || CASE WHEN turn % 2 = 0 THEN {PHRASE_CASE.format('(conv_id // 3)')} ELSE '' END AS text,
             concat_ws(',',
                 CASE WHEN conv_id % 4 = 0 THEN (conv_id * {fx.CONV_STEP} + 2 * turn + 1) || ', ' || (conv_id * {fx.CONV_STEP} + 2 * turn + 2)
                     ELSE (conv_id * {fx.CONV_STEP} + turn + 1)::VARCHAR END,
@@ -285,9 +286,14 @@ VIEWS = {
         FROM (SELECT named.*, n, topic, len(list_filter(words, lambda w: contains(all_text, w))) AS hits FROM named, topics)
         GROUP BY cluster_id, examples)""",
     "sizes": "sizes AS (SELECT cluster_id, count(*) AS cluster_size FROM messages WHERE cluster_id IS NOT NULL GROUP BY cluster_id)",
+    "compared": f"compared AS (SELECT * FROM embeddings ORDER BY {draw('42', 'vec_id')}, vec_id LIMIT {SILHOUETTE_ROWS})",
     "distances": """distances AS (
         SELECT a.vec_id AS id, a.label AS cluster, b.label AS other, sum(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[])) AS total, count(*) AS n
-        FROM embeddings a, embeddings b GROUP BY ALL)""",
+        FROM compared a, compared b GROUP BY ALL)""",
+    "quota": """quota AS (
+        SELECT least(s, floor(5000 * s / total)) + least(m, floor(5000 * m / total)) + least(l, 5000 - least(s, floor(5000 * s / total)) - least(m, floor(5000 * m / total))) AS sampled
+        FROM (SELECT count(*) AS total, count(*) FILTER (num_turns <= 3) AS s, count(*) FILTER (num_turns BETWEEN 4 AND 6) AS m,
+            count(*) FILTER (num_turns > 6) AS l FROM complete))""",
 }
 del VIEWS["all_posts"]
 VIEWS["nearest_all"] = VIEWS["nearest"].format(where="true")
@@ -329,9 +335,11 @@ PAGE_LINE = "concat_ws(':', place::VARCHAR, role, tweet_id, author_id, text)"
 CHECKS["clean_text"] = with_(["posts"], f"SELECT tweet_id, {CLEAN} AS clean FROM posts")
 CHECKS["extract_mentions"] = with_(["posts"], f"""SELECT tweet_id, array_to_string(m, '|') AS mentions, len(m) AS n_mentions
     FROM (SELECT tweet_id, regexp_extract_all(text, '@({tx.WORD}+)', 1) AS m FROM posts)""")
-CHECKS["normalize_id"] = """SELECT *, coalesce(trunc(try_cast(raw AS DOUBLE))::BIGINT, -1) AS norm FROM (
-    SELECT event_id, CASE event_id % 6 WHEN 0 THEN event_id::VARCHAR WHEN 1 THEN event_id || '.0' WHEN 2 THEN event_id || '.9'
-        WHEN 3 THEN 'x' WHEN 4 THEN '' END AS raw FROM events)"""
+CHECKS["normalize_id"] = """SELECT event_id, raw, CASE event_id % 9 WHEN 0 THEN event_id WHEN 1 THEN event_id WHEN 2 THEN event_id
+        WHEN 6 THEN 1234567890000000000 + event_id WHEN 7 THEN -event_id ELSE -1 END AS norm FROM (
+    SELECT event_id, CASE event_id % 9 WHEN 0 THEN event_id::VARCHAR WHEN 1 THEN event_id || '.0' WHEN 2 THEN event_id || '.9'
+        WHEN 3 THEN 'x' WHEN 4 THEN '' WHEN 5 THEN event_id || 'd' WHEN 6 THEN (1234567890000000000 + event_id)::VARCHAR
+        WHEN 7 THEN '-' || event_id || '.5' END AS raw FROM events)"""
 CHECKS["post_time"] = with_(POSTS, "SELECT tweet_id, secs AS seconds FROM ids")
 CHECKS["text_profile"] = with_(["messages"], f"""SELECT id, {WORDS} AS words, {count_char('text', '!')} AS exclaims, {count_char('text', '?')} AS questions FROM messages""")
 CHECKS["difficulty"] = with_(["messages"], f"SELECT id, {difficulty_sql('text', 'num_turns')} AS difficulty FROM messages")
@@ -359,9 +367,9 @@ CHECKS["customer_messages"] = with_([*THREADS, "complete"], """SELECT thread_id,
     FROM complete WHERE length(customer_first_message) > 10""", True)
 CHECKS["thread_stats"] = with_([*THREADS, "complete"], """SELECT count(*) AS threads, round_even(avg(num_turns), 2) AS avg_turns,
     min(num_turns) AS min_turns, max(num_turns) AS max_turns FROM complete""", True)
-CHECKS["funnel"] = with_(BRAND_THREADS, """SELECT 'raw_posts' AS step, count(*) AS n FROM posts
+CHECKS["funnel"] = with_([*BRAND_THREADS, "quota"], """SELECT 'raw_posts' AS step, count(*) AS n FROM posts
     UNION ALL SELECT 'brand_posts', count(*) FROM ids UNION ALL SELECT 'complete_threads', count(*) FROM complete
-    UNION ALL SELECT 'sampled_threads', least(count(*), 5000) FROM complete
+    UNION ALL SELECT 'sampled_threads', sampled::BIGINT FROM quota
     UNION ALL SELECT 'threads_' || CASE WHEN num_turns <= 3 THEN 'short' WHEN num_turns <= 6 THEN 'medium' ELSE 'long' END, count(*) FROM complete GROUP BY 1""", True)
 CHECKS["brand_triage"] = with_(BRAND_THREADS, f"""SELECT CASE WHEN hit IS NULL THEN 'undecided' ELSE 'escalate' END AS decision,
     CASE WHEN hit IS NULL THEN 'none' ELSE 'rule' END AS trigger, count(*) AS n
@@ -469,7 +477,7 @@ CHECKS["tfidf_top1"] = with_(["messages", "source_messages", "tokens", "terms",
     SELECT item_id AS query_id, id AS corpus_id, score,
         CASE WHEN score > 0 AND agent_response <> '' THEN agent_response ELSE {q(EMPTY_REPLY)} END AS reply
     FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, id) AS n FROM scored) WHERE n = 1""".lstrip())
-CHECKS["silhouette_fixed_labels"] = with_(["distances"], """SELECT id, cluster::BIGINT AS cluster, round((b - a) / greatest(a, b), 6) AS silhouette FROM (
+CHECKS["silhouette_fixed_labels"] = with_(["compared", "distances"], """SELECT id, cluster::BIGINT AS cluster, round((b - a) / greatest(a, b), 6) AS silhouette FROM (
     SELECT id, cluster, sum(total) FILTER (other = cluster) / (sum(n) FILTER (other = cluster) - 1) AS a, min(total / n) FILTER (other <> cluster) AS b
     FROM distances GROUP BY id, cluster)""")
 CHECKS["grounding_context"] = with_(NEAR, f"SELECT id AS query_id, {TEXT.format('shown')}, sources FROM grounding")
@@ -481,6 +489,8 @@ CHECKS["message_embedding"] = with_(["messages"], f"""SELECT id, 256::BIGINT AS
 LABELLED = ["messages", "gold", "labelled", "majority"]
 CHECKS["trivial_baseline"] = with_(LABELLED, f"""SELECT id, (SELECT label FROM majority) AS intent, 1.0::DOUBLE AS intent_confidence, {q(TEMPLATE_REPLY)} AS reply,
     'auto_handle' AS decision, {q(TRIVIAL_REASON)} AS reason, 1.0::DOUBLE AS confidence, 'trivial' AS trigger FROM labelled""")
+CHECKS["majority_intent"] = with_(["messages", "taxonomy", "sizes"], """SELECT coalesce(intent_label, 'cluster_' || s.cluster_id) AS majority, s.cluster_id::BIGINT AS cluster_id, cluster_size AS n
+    FROM (SELECT * FROM sizes ORDER BY cluster_size DESC, cluster_id LIMIT 1) s LEFT JOIN taxonomy t ON t.cluster_id = s.cluster_id""")
 CHECKS["error_rows"] = with_(LABELLED, f"""SELECT id, CASE WHEN id % 10 = 7 THEN 'error' ELSE (SELECT label FROM majority) END AS intent,
     CASE WHEN id % 10 = 7 THEN '' ELSE {q(TEMPLATE_REPLY)} END AS reply, CASE WHEN id % 10 = 7 THEN 'escalate' ELSE 'auto_handle' END AS decision,
     CASE WHEN id % 10 = 7 THEN 'Error: broken ' || id ELSE {q(TRIVIAL_REASON)} END AS reason,
@@ -554,8 +564,8 @@ CHECKS["report_document"] = with_(ALIGNED, """SELECT count(*) AS systems, round(
 CHECKS["materialize_once"] = with_(["lengths"], "SELECT run, run = 'again' AS skipped, (SELECT count(*) FROM lengths) AS n FROM (VALUES ('first'), ('again'), ('forced')) v(run)")
 
 # --- whole steps ----------------------------------------------------------------
-CHECKS["stats_document"] = with_(BRAND_THREADS, f"""SELECT {q(fx.BRAND)} AS brand, (SELECT count(*) FROM posts) AS raw_posts_total, (SELECT count(*) FROM ids) AS brand_posts_total,
-    count(*) AS threads_total, count(*) AS threads_sampled, count(*) FILTER (num_turns <= 3) AS short_lte_3,
+CHECKS["stats_document"] = with_([*BRAND_THREADS, "quota"], f"""SELECT {q(fx.BRAND)} AS brand, (SELECT count(*) FROM posts) AS raw_posts_total, (SELECT count(*) FROM ids) AS brand_posts_total,
+    count(*) AS threads_total, (SELECT sampled::BIGINT FROM quota) AS threads_sampled, count(*) FILTER (num_turns <= 3) AS short_lte_3,
     count(*) FILTER (num_turns BETWEEN 4 AND 6) AS medium_4_6, count(*) FILTER (num_turns > 6) AS long_gt_6,
     round_even(avg(num_turns), 2) AS avg_thread_length FROM complete""", True)
 VIEWS["thread_intent"] = f"""with_intent AS (

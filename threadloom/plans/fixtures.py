@@ -90,7 +90,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(turn % 4 == 0, F.concat(F.lit("@brand"), text_of(conv % 3), F.lit(" "))).otherwise(""),
             F.col("text"),
             F.when(turn % 5 == 1, " __url__").otherwise(""),
-            F.when(turn % 2 == 0, _pick(conv % len(PHRASES), PHRASES)).otherwise("")).alias("text"),
+            F.when(turn % 2 == 0, _pick(F.floor(conv / 3) % len(PHRASES), PHRASES)).otherwise("")).alias("text"),
         replies.alias("response_tweet_id"),
         F.when(turn > 0, F.concat(text_of(parent), F.lit(".0"))).alias("in_response_to_tweet_id"),
     )

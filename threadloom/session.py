@@ -9,6 +9,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Estimated bytes per core below which an input is spread.
+WIDEN_BYTES = 4 << 20
+
 SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -71,11 +74,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def widen(df: DataFrame) -> DataFrame:
     """Spread a table that was read as fewer partitions than there are cores.
 
-    Only small inputs (e.g. one file with one row group) qualify; a table read
-    as many partitions stays as it is, without a shuffle.
+    Only small inputs qualify, by the optimizer's estimate of their size: no
+    job runs, and a table or a join of more bytes stays as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if estimate < cores * WIDEN_BYTES else df
 
 
 _SHIPPED: set[str] = set()

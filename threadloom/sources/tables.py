@@ -60,8 +60,10 @@ def taxonomy_rows(documents: DataFrame, column: str = "document") -> DataFrame:
 
 
 def write_document(df: DataFrame, path: str) -> None:
-    """A one-row report as a single JSON document."""
-    df.limit(1).coalesce(1).write.json(path)
+    """A one-row report as a single JSON document; a frame of more rows is refused."""
+    if df.limit(2).count() > 1:
+        raise ValueError("a document has one row; write tables as JSON lines")
+    df.coalesce(1).write.json(path)
 
 
 def save_vectors(df: DataFrame, path: str) -> None:
