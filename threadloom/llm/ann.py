@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ship_package, stage
+from ..session import ship_package, stage, widen
 from .common import small
 
 SAMPLE_ROWS = 20_000
@@ -39,8 +39,9 @@ CALIBRATION = 256
 BRANCH = 12
 LEAF_ROWS = 128
 LEAF_SAMPLE = 8
-CELL_ROWS = 16_384
+CELL_ROWS = 4_096
 CELL_QUERIES = 4_096
+QUERY_ROWS = 256
 
 
 class Tree:
@@ -125,12 +126,15 @@ def ordered_product(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return total
 
 
-def shortlist(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, vector row, score) of at least the ``k`` best vectors of every query, itself left out."""
+def shortlist(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, allowed: np.ndarray | None = None
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, vector row, score) of at least the ``k`` best ``allowed`` vectors of every query, itself left out."""
     scores = queries @ vectors.T
     scores[query_ids[:, None] == ids[None, :]] = -np.inf
+    if allowed is not None:
+        scores[~allowed] = -np.inf
     take = min(k, scores.shape[1])
-    limit = np.partition(scores, scores.shape[1] - take, axis=1)[:, scores.shape[1] - take]
+    limit = np.partition(scores, scores.shape[1] - take, axis=1)[:, scores.shape[1] - take]  # -inf: fewer are allowed
     slack = 1e-9 * np.maximum(1.0, np.abs(np.where(np.isfinite(limit), limit, 0)))
     row, column = np.nonzero((scores >= (limit - slack)[:, None]) & np.isfinite(scores))
     return row, column, ordered_product(queries[row], vectors[column])
@@ -214,7 +218,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
                     [pa.array([x[1] for x in out], pa.int32()), part.column(0).take(row), part.column(1).take(row), pa.array([x[2] for x in out], pa.list_(pa.int32()))],
                     ["cell", "query_id", "q", "leaves"])
 
-    routed = stage(asked.mapInArrow(route, "cell int, query_id long, q array<double>, leaves array<int>"), "ann-routed")
+    routed = stage(widen(asked).mapInArrow(route, "cell int, query_id long, q array<double>, leaves array<int>"), "ann-routed")
     visits = stage(routed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL_QUERIES).cast("int").alias("blocks")), "ann-visits")
     leaf_cells = spark.createDataFrame([(i, int(cell_of[i]), int(splits[i])) for i in range(len(sizes))], "leaf int, base int, splits int")
     held = indexed.join(F.broadcast(leaf_cells), "leaf").withColumn("cell", (F.col("base") + F.pmod(F.xxhash64("vec_id"), F.col("splits"))).cast("int"))
@@ -227,23 +231,17 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
             return schema.empty_table()
         leaf, ids, points = left.column("leaf").to_numpy(), left.column("vec_id").to_numpy(), _matrix(left.column("v"), dims)
         query_ids, asked_points = right.column("query_id").to_numpy(), _matrix(right.column("q"), dims)
-        by_leaf: dict[int, list[int]] = {}
-        for row, leaves in enumerate(right.column("leaves").to_pylist()):
-            for x in leaves:
-                by_leaf.setdefault(x, []).append(row)
+        names, member = np.unique(leaf, return_inverse=True)
         found = []
-        for x, rows_ in by_leaf.items():
-            own, who = np.flatnonzero(leaf == x), np.array(rows_)
-            for i in range(0, len(who), 512):
-                if len(own):
-                    part = who[i:i + 512]
-                    row, column, score = shortlist(asked_points[part], query_ids[part], points[own], ids[own], k)
-                    found.append((part[row], ids[own][column], score))
-        if not found:
-            return schema.empty_table()
-        row, near, score = (np.concatenate(x) for x in zip(*found))
-        keep = best(row, near, score, k)
-        return pa.Table.from_arrays([pa.array(query_ids[row[keep]]), pa.array(near[keep]), pa.array(score[keep])], schema=schema)
+        for i in range(0, len(query_ids), QUERY_ROWS):  # bounds the score matrix
+            part = slice(i, i + QUERY_ROWS)
+            visited = np.zeros((len(query_ids[part]), len(names)), bool)
+            for row, leaves in enumerate(right.column("leaves").slice(i, QUERY_ROWS).to_pylist()):
+                visited[row] = np.isin(names, leaves)
+            row, column, score = shortlist(asked_points[part], query_ids[part], points, ids, k, visited[:, member])
+            keep = best(row, ids[column], score, k)
+            found.append((query_ids[part][row[keep]], ids[column[keep]], score[keep]))
+        return pa.Table.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], schema=schema)
 
     found = held.groupBy("cell", "block").cogroup(dealt.groupBy("cell", "block")).applyInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
