@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import ship_package, stage
 from . import flat
 from .common import texts
 
@@ -259,12 +259,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on a bounded sample of the labelled documents that are not held out; ``labels`` has ``doc_id`` and ``toxic``."""
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max(F.col("toxic").cast("int")).alias("toxic"))
-    held = texts(docs).where(~held_out() & F.col("text").isNotNull() & (F.octet_length("text") <= DOC_BYTES)).join(marks, "doc_id")
-    held = held.select("text", "toxic", F.xxhash64("text").alias("order"))
-    sample: list[tuple[str, int]] = []
-    for label, most in ((1, TOXIC_DOCS), (0, CLEAN_DOCS)):
-        part = held.where(F.col("toxic") == label).orderBy("order", "text").limit(most)
-        sample += [(r["text"], label) for r in part.select("text").collect()]
+    held = texts(docs).where(~held_out() & F.col("text").isNotNull() & (F.octet_length("text") <= DOC_BYTES)).withColumn("mark", F.xxhash64("text"))
+    known = held.select("doc_id", "mark").join(marks, "doc_id")  # ids and hashes; texts are fetched for the sample alone
+    chosen = [known.where(F.col("toxic") == label).distinct().orderBy("mark", "doc_id").limit(most) for label, most in ((1, TOXIC_DOCS), (0, CLEAN_DOCS))]
+    picked = stage(chosen[0].unionByName(chosen[1]), "toxicity-sample")
+    found = held.join(F.broadcast(picked), ["doc_id", "mark"]).select("text", "toxic", "mark", "doc_id").collect()
+    sample = [(r["text"], r["toxic"]) for r in sorted(set(found), key=lambda r: (-r["toxic"], r["mark"], r["doc_id"]))]
     return fit(sample)
 
 
