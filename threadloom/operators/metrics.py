@@ -10,7 +10,7 @@ import math
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.text import score_bin
 from ..schemas import RUBRIC_DIMENSIONS
@@ -188,6 +188,23 @@ def repair_overall(judge: DataFrame) -> DataFrame:
     return judge.withColumn("overall_score", F.coalesce(given, F.bround(mean, 2)))
 
 
+def _bare_or_scored(frame: DataFrame, dim: str) -> Column:
+    """A dimension given as a bare number or as a struct with ``score``."""
+    if dim not in frame.columns:
+        return F.lit(None).cast("double")
+    scored = isinstance(frame.schema[dim].dataType, T.StructType)
+    return F.col(f"{dim}.score" if scored else dim).try_cast("double")
+
+
+def calibration_pairs(human: DataFrame, judge: DataFrame) -> DataFrame:
+    """(id, dim, human, judge) of ids that both sides scored; a missing dimension gives no row."""
+    def long(frame: DataFrame, name: str) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(dim).alias("dim"), _bare_or_scored(frame, dim).alias(name)) for dim in RUBRIC_DIMENSIONS])
+        return frame.select("id", F.explode(pairs).alias("s")).select("id", "s.*").filter(F.col(name).isNotNull())
+
+    return long(human, "human").join(long(judge, "judge"), ["id", "dim"])
+
+
 def beta_p_value(r: pd.Series, n: pd.Series) -> pd.Series:
     """Two-sided p of a correlation: the regularised incomplete beta function
     at ``1 - r^2`` with a = (n - 2) / 2 and b = 1/2, by its continued fraction."""

@@ -53,6 +53,8 @@ TOPIC_KEYWORDS = {
     "service_request": ["repair", "replacement", "warranty", "genius", "appointment"],
 }
 RULE_CONFIDENCE, TAXONOMY_CONFIDENCE, FALLBACK_CONFIDENCE = 0.95, 0.7, 0.3
+# Rows of a taxonomy that may become part of expressions.
+MOST_INTENTS = 1000
 KEYWORD_HIT_CONFIDENCE, KEYWORD_MISS_CONFIDENCE = 0.8, 0.6
 KEYWORD_MISS_REASON = "No escalation keywords detected"
 FALLBACK_REASON = "Escalation decision failed — defaulting to human review (conservative)"
@@ -165,6 +167,21 @@ def best_keywords(lowered: Column, choices: Sequence[tuple[str, Sequence[str]]],
     return F.when(top > 0, first).otherwise(default)
 
 
+def taxonomy_keywords(taxonomy: DataFrame, most: int = MOST_INTENTS) -> list[tuple[str, list[str]]]:
+    """(label, keywords) in order of the cluster ids; every label once, with the keywords of all its clusters.
+
+    Labels become part of expressions and prompts, so a table of more than ``most`` rows is refused.
+    """
+    rows = taxonomy.select("intent_label", "keywords", "cluster_id").orderBy("cluster_id").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} intents")
+    found: dict[str, list[str]] = {}
+    for row in rows:
+        known = found.setdefault(row["intent_label"], [])
+        known.extend(w for w in row["keywords"] or [] if w not in known)
+    return list(found.items())
+
+
 def weak_labels(
     df: DataFrame,
     id_col: str,

@@ -163,6 +163,15 @@ def thread_pages(messages: DataFrame, page_size: int = PAGE_SIZE, hot_rows: int
     )
 
 
+def thread_rows(messages: DataFrame, page_size: int = PAGE_SIZE, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Threads as they are written: first texts and counts beside the nested messages.
+
+    A thread of up to ``page_size`` messages is one row (page 0); a longer one
+    has a row per page, each with the counts of the whole thread.
+    """
+    return thread_pages(messages, page_size, hot_rows).join(thread_summaries(messages), "thread_id")
+
+
 def context_slice(messages: DataFrame, first: int = 6) -> DataFrame:
     """The first messages of every thread as one short array."""
     by_time = Window.partitionBy("thread_id").orderBy("at", "tid")

@@ -12,7 +12,7 @@ from ..session import stage
 from . import prompts
 from .clustering import topic_taxonomy
 from .model_call import Complete, call_model, escalation_answer, intent_answer, judge_rows, reply_answer
-from .rules import lower_with, rule_escalation, taxonomy_escalation, three_phase, undecided
+from .rules import lower_with, rule_escalation, taxonomy_escalation, taxonomy_keywords, three_phase, undecided
 from .metrics import align
 from .topk import top_k_dense
 
@@ -49,16 +49,18 @@ def similar_threads(found: DataFrame, keep: int = KEPT) -> DataFrame:
 
 
 def triage(
-    messages: DataFrame, corpus: DataFrame, taxonomy: DataFrame, labels: list[str], complete: Complete, brand: str,
+    messages: DataFrame, corpus: DataFrame, taxonomy: DataFrame, labels: list[str] | None, complete: Complete, brand: str,
     id_col: str = "id", text_col: str = "text", exclude_same: bool = False,
     match: str = "substring", sleep: Callable[[float], None] | None = None,
 ) -> DataFrame:
     """Intent, similar threads, drafted reply and escalation for every message.
 
     The model is asked for intents and replies of all messages, and for a
-    decision only where neither a rule nor the taxonomy gives one.
+    decision only where neither a rule nor the taxonomy gives one.  Without
+    ``labels`` those of the taxonomy are allowed.
     """
     extra = {"sleep": sleep} if sleep else {}
+    labels = [label for label, _ in taxonomy_keywords(taxonomy)] if labels is None else labels
 
     def ask(frame: DataFrame, system: str) -> DataFrame:
         calls = call_model(frame, complete, "pipeline", id_col, "prompt", system, **extra)

@@ -13,7 +13,7 @@ from ..functions.vectors import normalized
 from ..operators import baselines, clustering, metrics, model_call, prompts, rules, sampling, threads, triage
 from ..operators.tfidf import fit_tfidf
 from ..operators.topk import top_k_dense
-from ..schemas import INTENT_ANSWER, POSTS
+from ..schemas import INTENT_ANSWER, POSTS, RUBRIC_DIMENSIONS
 from ..session import shared_path, ship_package, stage
 from ..sources import tables
 from . import fixtures as fx, workflow
@@ -177,6 +177,18 @@ def thread_pages(spark, sf_dir):
         F.md5(F.array_join(F.transform("messages", line), "\n")).alias("content"))
 
 
+@query
+def thread_rows(spark, sf_dir):
+    """Whole thread rows, written as JSON lines and read back."""
+    made = threads.thread_rows(threads.staged_messages(_ids(spark, sf_dir)))
+    path = shared_path(spark, "threads-jsonl")
+    tables.write_json_lines(made, path)
+    back = tables.read_json_lines(spark, path, made.schema)
+    return back.select(
+        "thread_id", "page", F.size("messages").cast("bigint").alias("n"), "num_turns", "num_customer_msgs", "num_agent_msgs",
+        "customer_first_message", "agent_first_response", F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"))
+
+
 @query
 def context_slice(spark, sf_dir):
     line = lambda m: F.concat_ws(":", m["place"].cast("string"), m["role"], m["text"])
@@ -286,6 +298,12 @@ def weak_labels(spark, sf_dir):
         "id", "gold_intent", "gold_escalation", "gold_escalation_reason")
 
 
+@query
+def weak_labels_taxonomy(spark, sf_dir):
+    intents = rules.taxonomy_keywords(fx.taxonomy(spark))
+    return rules.weak_labels(fx.messages(spark, sf_dir), "id", "text", intents).select("id", "gold_intent", "gold_escalation")
+
+
 @query
 def cluster_topic(spark, sf_dir):
     known = fx.messages(spark, sf_dir).filter("cluster_id is not null")
@@ -376,6 +394,17 @@ def cohen_kappa(spark, sf_dir):
     return rounded(metrics.cohen_kappa(fx.scores(spark, sf_dir)))
 
 
+@query
+def calibration_pairs(spark, sf_dir):
+    """Human scores as structs, judge scores as bare numbers; some ids and dimensions on one side only."""
+    scores = fx.scores(spark, sf_dir)
+    number = lambda n: ((F.col("k") + n) % 5 + 1).cast("double")
+    human = scores.filter("id % 3 <> 0").select("id", *[
+        F.struct(F.when(F.col("id") % 7 != n, number(n)).alias("score")).alias(dim) for n, dim in enumerate(RUBRIC_DIMENSIONS)])
+    judge = scores.filter("id % 4 <> 0").select("id", *[number(n + 1).alias(dim) for n, dim in enumerate(RUBRIC_DIMENSIONS[:4])])
+    return metrics.calibration_pairs(human, judge)
+
+
 @query
 def judge_calibration(spark, sf_dir):
     pairs = fx.scores(spark, sf_dir)
@@ -681,7 +710,11 @@ def model_calls(spark, sf_dir):
 
 @query
 def usage_totals(spark, sf_dir):
-    return model_call.usage(_calls(spark, sf_dir))
+    """Totals over a log of calls: the events, some of them failed."""
+    log = fx.table(spark, sf_dir, "events").select(
+        F.length("props").cast("bigint").alias("in_tokens"), (F.col("event_id") % 97).alias("out_tokens"),
+        F.when(F.col("event_id") % 10 == 7, "no answer").alias("error"))
+    return model_call.usage(log)
 
 
 @query
@@ -757,6 +790,15 @@ def taxonomy_explode(spark, sf_dir):
     return tables.read_taxonomy(spark, path).select(F.col("cluster_id").cast("bigint").alias("cluster_id"), "intent_label", "cluster_size")
 
 
+@query
+def taxonomy_document(spark, sf_dir):
+    """The clusters' taxonomy, written as one document and read back."""
+    known = fx.messages(spark, sf_dir).filter("cluster_id is not null")
+    path = shared_path(spark, "taxonomy-document")
+    tables.write_taxonomy(clustering.topic_taxonomy(known, "cluster_id", "id", "text"), path)
+    return tables.read_taxonomy(spark, path).select(F.col("cluster_id").cast("bigint").alias("cluster_id"), "intent_label", "cluster_size")
+
+
 @query
 def vector_roundtrip(spark, sf_dir):
     path = shared_path(spark, "vectors")

@@ -361,6 +361,9 @@ CHECKS["first_messages"] = with_([*THREADS, "complete"], "SELECT thread_id, cust
 CHECKS["first_messages_lexical"] = with_([*LEXICAL, "complete"], "SELECT thread_id, customer_first_message, agent_first_response FROM complete", True)
 CHECKS["thread_pages"] = with_([*GRAPH, "thread_messages"], f"""SELECT thread_id, (place - 1) // 200 AS page, count(*) AS n,
     md5(string_agg({PAGE_LINE}, chr(10) ORDER BY place)) AS content FROM thread_messages GROUP BY ALL""", True)
+CHECKS["thread_rows"] = with_(THREADS, """SELECT thread_id, (place - 1) // 200 AS page, count(*) AS n, num_turns, num_customer_msgs, num_agent_msgs,
+    customer_first_message, agent_first_response, string_agg(role, ',' ORDER BY place) AS roles
+    FROM thread_messages JOIN threads USING (thread_id) GROUP BY ALL""", True)
 CHECKS["context_slice"] = with_([*GRAPH, "thread_messages"], """SELECT thread_id,
     string_agg(concat_ws(':', place::VARCHAR, role, text), chr(10) ORDER BY place) AS context FROM thread_messages WHERE place <= 6 GROUP BY thread_id""", True)
 CHECKS["customer_messages"] = with_([*THREADS, "complete"], """SELECT thread_id, customer_first_message AS text, agent_first_response AS agent_response, num_turns
@@ -411,6 +414,17 @@ CHECKS["weak_labels"] = with_(["messages"], f"""SELECT id, gold_intent,
             CASE WHEN list_max(hits) = 0 THEN [{listing(rules.GENERIC_LABELS)}][{number('42:intent', 'id', 3)} + 1]
                 ELSE [{listing([label for label, _ in fx.INTENT_KEYWORDS])}][list_position(hits, list_max(hits))] END AS gold_intent
         FROM (SELECT id, text, [{', '.join(HITS.values())}] AS hits FROM messages)))""")
+# In the taxonomy table a label that two clusters share is one intent with the keywords of both.
+MERGED: dict[str, list[str]] = {}
+for _, label, _, words, _ in fx.TAXONOMY:
+    MERGED.setdefault(label, []).extend(w for w in words if w not in MERGED.get(label, []))
+_MERGED_HITS = ", ".join("(" + " + ".join(["0", *[f"contains(lower(text), {q(w.lower())})::INT" for w in words]]) + ")" for words in MERGED.values())
+CHECKS["weak_labels_taxonomy"] = with_(["messages"], f"""SELECT id, gold_intent, CASE WHEN hit IS NOT NULL OR (gold_intent IN ({listing(rules.EMPATHY_LABELS)})
+        AND {number('42:escalate', 'id', 2)} = 1) THEN 'escalate' ELSE 'auto_handle' END AS gold_escalation FROM (
+    SELECT id, {first_keyword_sql('lower(text)', {'w': rules.WEAK_LABEL_WORDS})} AS hit,
+        CASE WHEN list_max(hits) = 0 THEN [{listing(rules.GENERIC_LABELS)}][{number('42:intent', 'id', 3)} + 1]
+            ELSE [{listing(list(MERGED))}][list_position(hits, list_max(hits))] END AS gold_intent
+    FROM (SELECT id, text, [{_MERGED_HITS}] AS hits FROM messages))""")
 TOPICS = ["messages", "clustered", "named", "topics", "topic_of", "sizes"]
 CHECKS["cluster_topic"] = with_(TOPICS, """SELECT cluster_id::BIGINT AS cluster_id, intent_label,
     'Cluster ' || cluster_id || ' (' || cluster_size || ' messages)' AS description, cluster_size, examples FROM topic_of JOIN sizes USING (cluster_id)""")
@@ -442,6 +456,9 @@ CHECKS["judge_summary"] = with_(["scores"], """SELECT dim, round(avg(score), 6)
 CHECKS["judge_by_difficulty"] = with_(["scores"], """SELECT difficulty, round(avg(overall_score), 6) AS mean, round(stddev_pop(overall_score), 6) AS std, count(*) AS n
     FROM (SELECT difficulty, overall_score FROM scores WHERE difficulty <> 'unknown' UNION ALL SELECT 'overall', overall_score FROM scores)
     WHERE overall_score <> 0 GROUP BY difficulty""")
+CHECKS["calibration_pairs"] = with_(["scores"], " UNION ALL ".join(
+    f"""SELECT id, {q(dim)} AS dim, ((k + {n}) % 5 + 1)::DOUBLE AS human, ((k + {n + 1}) % 5 + 1)::DOUBLE AS judge
+    FROM scores WHERE id % 3 <> 0 AND id % 4 <> 0 AND id % 7 <> {n}""" for n, dim in enumerate(RUBRIC_DIMENSIONS[:4])))
 CHECKS["pearson_mae"] = with_(["scores", "pairs"], """SELECT dim, round(corr(human, judge), 6) AS pearson_r, round(avg(abs(human - judge)), 6) AS mae,
     count(*) AS n_samples FROM pairs GROUP BY dim HAVING count(*) >= 5""")
 BIN = "CASE WHEN {0} <= 2 THEN 'low' WHEN {0} <= 3 THEN 'mid' ELSE 'high' END"
@@ -536,8 +553,8 @@ STUB = f"""'{{"intent": "' || [{listing(fx.LABELS)}][id % {len(fx.LABELS)} + 1]
 CHECKS["model_calls"] = with_(["messages", "taxonomy", "rendered"], f"""SELECT id, response, CASE WHEN response IS NULL THEN 0 ELSE length(p) END AS in_tokens,
     coalesce(length(response), 0) AS out_tokens, (CASE WHEN id % 10 IN (3, 7) THEN 3 ELSE 1 END)::BIGINT AS attempts,
     CASE WHEN id % 10 = 7 THEN 'no answer' END AS error FROM (SELECT id, {CLASSIFY} AS p, CASE WHEN id % 10 <> 7 THEN {STUB} END AS response FROM messages)""")
-CHECKS["usage_totals"] = with_(["messages", "taxonomy", "rendered"], f"""SELECT count(*) AS total_calls, sum(length(p))::BIGINT AS total_input_tokens,
-    sum(length(response))::BIGINT AS total_output_tokens FROM (SELECT {CLASSIFY} AS p, {STUB} AS response FROM messages WHERE id % 10 <> 7)""")
+CHECKS["usage_totals"] = """SELECT count(*) AS total_calls, sum(length(props))::BIGINT AS total_input_tokens, sum(event_id % 97)::BIGINT AS total_output_tokens
+    FROM events WHERE event_id % 10 <> 7"""
 CHECKS["triage_rows"] = with_([*NEAR, "taxonomy"], f""", classified AS (
     SELECT id, text, CASE WHEN id % 10 = 7 THEN {q(FAILED_INTENT)} ELSE [{listing(fx.LABELS)}][id % {len(fx.LABELS)} + 1] END AS intent,
         {first_keyword_sql('lower(text)', rules.ESCALATION_RULES)} AS hit FROM vector_messages),
@@ -558,6 +575,7 @@ CHECKS["csv_roundtrip"] = with_(["posts"], "SELECT * FROM posts")
 CHECKS["jsonl_roundtrip"] = with_(["posts"], "SELECT * FROM posts")
 CHECKS["json_array_scan"] = with_(["messages"], "SELECT id, text, agent_response, cluster_id::BIGINT AS cluster_id FROM messages")
 CHECKS["taxonomy_explode"] = with_(TOPICS, "SELECT cluster_id::BIGINT AS cluster_id, intent_label, cluster_size FROM topic_of JOIN sizes USING (cluster_id)")
+CHECKS["taxonomy_document"] = CHECKS["taxonomy_explode"]
 CHECKS["vector_roundtrip"] = "SELECT vec_id AS id, len(embedding) AS dims, round(list_sum(embedding::DOUBLE[]), 5) AS total FROM embeddings"
 CHECKS["report_document"] = with_(ALIGNED, """SELECT count(*) AS systems, round(max(a), 6) AS best_accuracy
     FROM (SELECT avg((gold_intent = pred_intent)::INT) AS a FROM aligned GROUP BY system)""")

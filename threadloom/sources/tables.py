@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..schemas import INTENT_MAP, POSTS
+from ..schemas import INTENT, INTENT_MAP, POSTS
 
 
 def read_posts_csv(spark: SparkSession, path: str, schema: T.StructType = POSTS) -> DataFrame:
@@ -59,6 +59,15 @@ def taxonomy_rows(documents: DataFrame, column: str = "document") -> DataFrame:
     )
 
 
+def write_taxonomy(taxonomy: DataFrame, path: str, most: int = 10_000) -> None:
+    """One JSON document ``{"intents": {cluster id: entry}}``; a taxonomy of more than ``most`` rows is refused."""
+    if taxonomy.limit(most + 1).count() > most:
+        raise ValueError(f"a taxonomy document has at most {most} entries")
+    entry = F.struct(*[f.name for f in INTENT.fields if f.name in taxonomy.columns])
+    keyed = taxonomy.groupBy().agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("cluster_id").cast("string").alias("key"), entry.alias("entry"))))).alias("intents"))
+    keyed.select(F.to_json(F.struct("intents")).alias("value")).coalesce(1).write.text(path)
+
+
 def write_document(df: DataFrame, path: str) -> None:
     """A one-row report as a single JSON document; a frame of more rows is refused."""
     if df.limit(2).count() > 1:
