@@ -546,6 +546,37 @@ def kmeans_clusters(spark, sf_dir):
     return clustering.assign_clusters(vectors, "embedding", model).select("vec_id", "cluster_id")
 
 
+@query
+def kmeans_facts(spark, sf_dir):
+    """What must hold for any good K-Means result, whatever its cluster numbers."""
+    vectors = fx.table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    model = clustering.fit_kmeans(vectors, "embedding", [10])[10]
+    rows = stage(clustering.assign_clusters(vectors, "embedding", model), "kmeans-rows")
+
+    def inertia(group: str) -> DataFrame:
+        parts = rows.select(group, F.posexplode("embedding").alias("i", "x")).groupBy(group, "i").agg((F.var_pop("x") * F.count("*")).alias("s"))
+        return parts.agg(F.sum("s")).scalar()
+
+    centre = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    distance = F.transform(centre, lambda c: F.aggregate(F.zip_with(c, F.col("embedding"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, x: t + x))
+    own = F.element_at(distance, F.col("cluster_id") + 1)
+    return rows.agg(
+        F.count("*").alias("vectors"), F.countDistinct("cluster_id").alias("clusters"),
+        F.count_if(own > F.array_min(distance) + 1e-9).alias("misplaced"),
+        (F.lit(inertia("cluster_id")) <= F.lit(inertia("label")) * (1 + 1e-9)).alias("as_tight_as_labels"))
+
+
+@query
+def optimal_k_facts(spark, sf_dir):
+    """One best count of clusters, the one with the highest score (the smallest of equals)."""
+    table = stage(optimal_k(spark, sf_dir), "optimal-k")
+    best = table.filter("is_best").select(F.col("silhouette").alias("best"), F.col("k").alias("best_k"))
+    return table.crossJoin(F.broadcast(best)).agg(
+        F.count("*").alias("candidates"), F.count_if("is_best").alias("best_rows"), F.count_if(F.col("silhouette") > F.col("best")).alias("higher"),
+        F.count_if((F.col("silhouette") == F.col("best")) & (F.col("k") < F.col("best_k"))).alias("equal_and_smaller"),
+        F.count_if((F.col("silhouette") < -1) | (F.col("silhouette") > 1)).alias("out_of_range"))
+
+
 @query
 def optimal_k(spark, sf_dir):
     vectors = fx.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")

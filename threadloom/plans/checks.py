@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from ..functions import text as tx
 from ..operators import prompts, rules
 from ..operators.baselines import EMPTY_REPLY, TEMPLATE_REPLY, TRIVIAL_REASON
-from ..operators.clustering import SILHOUETTE_ROWS
+from ..operators.clustering import CLUSTER_COUNTS, SILHOUETTE_ROWS
 from ..operators.metrics import RUBRIC_DIMENSIONS
 from ..operators.model_call import FAILED_INTENT, FAILED_REPLY
 from ..operators.sampling import DIFFICULTY_SHARES
@@ -497,6 +497,9 @@ CHECKS["tfidf_top1"] = with_(["messages", "source_messages", "tokens", "terms",
 CHECKS["silhouette_fixed_labels"] = with_(["compared", "distances"], """SELECT id, cluster::BIGINT AS cluster, round((b - a) / greatest(a, b), 6) AS silhouette FROM (
     SELECT id, cluster, sum(total) FILTER (other = cluster) / (sum(n) FILTER (other = cluster) - 1) AS a, min(total / n) FILTER (other <> cluster) AS b
     FROM distances GROUP BY id, cluster)""")
+CHECKS["kmeans_facts"] = "SELECT count(*) AS vectors, 10::BIGINT AS clusters, 0::BIGINT AS misplaced, true AS as_tight_as_labels FROM embeddings"
+CHECKS["optimal_k_facts"] = f"""SELECT {len(CLUSTER_COUNTS)}::BIGINT AS candidates, 1::BIGINT AS best_rows, 0::BIGINT AS higher, 0::BIGINT AS equal_and_smaller,
+    0::BIGINT AS out_of_range"""
 CHECKS["grounding_context"] = with_(NEAR, f"SELECT id AS query_id, {TEXT.format('shown')}, sources FROM grounding")
 
 CHECKS["message_embedding"] = with_(["messages"], f"""SELECT id, 256::BIGINT AS dims,
