@@ -6,7 +6,8 @@ a cutoff is admissible when the exact binomial (Clopper-Pearson) upper bound of
 at most ``risk`` (the binomial tail at ``risk`` is at most the error level).  The grid is tested from mild to severe and
 the test stops at the first failure (fixed-sequence testing needs no further correction), and the error level is divided
 by the number of strata and rules (Bonferroni), so that all chosen cutoffs hold together with probability ``1 - delta``.
-The most severe cutoff passed is taken; without one the rule is off in that stratum.  All labelled rows that pass the base rule count; only counts per (stratum, rule, cutoff) are moved.
+The most severe cutoff passed is taken; without one the rule is off in that stratum.  All labelled rows that pass the
+base rule count; only counts per (stratum, rule, cutoff) are moved.
 
 Defined cases: a null text has no words and fails the base rule; an empty text likewise.  Rows are measured one by one,
 so repeated rows and ties change nothing.  A null stratum is a stratum of its own; strata without labelled rows keep

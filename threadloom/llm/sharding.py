@@ -70,12 +70,12 @@ def edit_map(slot_map: DataFrame, loads: DataFrame, shards: int, receivers: list
     average = F.floor(F.sum("bytes").over(Window.partitionBy()) / shards)
     filled = F.sum("bytes").over(Window.partitionBy("shard").orderBy(F.desc("bytes"), "virtual_slot").rowsBetween(Window.unboundedPreceding, 0))
     judged = sized.withColumn("average", average).withColumn("stays", (filled <= F.col("average")) | (F.col("bytes") == 0))
-    stay = F.sum(F.when(F.col("stays"), F.col("bytes")).otherwise(0))
-    weights = judged.groupBy("shard").agg(stay.alias("load"))
-    start = judged.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard")).join(F.broadcast(weights), "shard", "left").where(
-        F.col("shard").isin(takers)).agg(F.sort_array(F.collect_list(F.struct(F.coalesce("load", F.lit(0)).alias("load"), "shard"))).alias("loads"))
-    out = judged.where(~F.col("stays")).agg(F.sort_array(F.collect_list(F.struct("bytes", "virtual_slot")), False).alias("free"))
-    dealt = out.crossJoin(F.broadcast(start)).select(F.explode(F.aggregate(
+    load = F.sum(F.when(F.col("stays"), F.col("bytes")).otherwise(0)).over(Window.partitionBy("shard"))
+    whole = judged.withColumn("load", load).agg(
+        F.sort_array(F.collect_list(F.when(~F.col("stays"), F.struct("bytes", "virtual_slot"))), False).alias("free"),
+        F.map_from_entries(F.collect_set(F.struct("shard", "load"))).alias("held"))
+    start = F.sort_array(F.array(*[F.struct(F.coalesce(F.col("held")[s], F.lit(0).cast("long")).alias("load"), F.lit(s).alias("shard")) for s in takers]))
+    dealt = whole.withColumn("loads", start).select(F.explode(F.aggregate(
         "free",
         F.struct(F.col("loads").alias("loads"), F.expr("cast(array() as array<struct<virtual_slot:int,shard:int>>)").alias("moves")),
         lambda acc, x: F.struct(

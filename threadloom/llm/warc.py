@@ -7,7 +7,7 @@ of a file together, sorts them by offset and reads near ranges with one request.
 
 Rows with equal payloads (SHA-256) of at least ``min_bytes``: that with the largest id is a ``response``, the others are
 ``revisit`` records that refer to it and carry no payload, only its digest and, in the HTTP header, its length.  The join
-that finds the partner moves ids and hashes, and AQE splits hot payloads.
+that finds the partner moves each page once, and AQE splits hot payloads.
 
 Defined cases: a null payload is empty.  Rows that repeat the largest id of a payload are all responses; a null id counts
 as smaller than all others, and if a payload has only null ids its rows are responses.  A null url is written as an empty
