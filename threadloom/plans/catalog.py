@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions import text as tx
 from ..functions.answers import parse_object
@@ -570,8 +570,8 @@ def kmeans_facts(spark, sf_dir):
 def optimal_k_facts(spark, sf_dir):
     """One best count of clusters, the one with the highest score (the smallest of equals)."""
     table = stage(optimal_k(spark, sf_dir), "optimal-k")
-    best = table.filter("is_best").select(F.col("silhouette").alias("best"), F.col("k").alias("best_k"))
-    return table.crossJoin(F.broadcast(best)).agg(
+    of_best = lambda name: F.max(F.when(F.col("is_best"), F.col(name))).over(Window.partitionBy())
+    return table.withColumns({"best": of_best("silhouette"), "best_k": of_best("k")}).agg(
         F.count("*").alias("candidates"), F.count_if("is_best").alias("best_rows"), F.count_if(F.col("silhouette") > F.col("best")).alias("higher"),
         F.count_if((F.col("silhouette") == F.col("best")) & (F.col("k") < F.col("best_k"))).alias("equal_and_smaller"),
         F.count_if((F.col("silhouette") < -1) | (F.col("silhouette") > 1)).alias("out_of_range"))
