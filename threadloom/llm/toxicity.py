@@ -197,6 +197,16 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def _documents_of(feature: np.ndarray, doc: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct features of one kind, in how many documents each occurs, and in how many toxic ones."""
+    order = np.lexsort((doc, feature))
+    feature, doc = feature[order], doc[order]
+    new = np.append(True, (feature[1:] != feature[:-1]) | (doc[1:] != doc[:-1]))[:len(feature)] & (feature > 0)
+    feature, doc = feature[new], doc[new]
+    begin = np.flatnonzero(np.append(True, feature[1:] != feature[:-1]))[:len(feature)]
+    return feature[begin], np.diff(np.append(begin, len(feature))), np.add.reduceat(y[doc], begin) if len(begin) else begin
+
+
 def fit(sample: list[tuple[str, int]]) -> Model:
     """The model of a list of (text, label)."""
     nothing = np.zeros(0, np.uint64), np.zeros(0)
@@ -209,11 +219,10 @@ def fit(sample: list[tuple[str, int]]) -> Model:
 
     # documents that have a feature, toxic and clean
     once = np.unique(word * len(y) + rows)
-    doc = once % len(y)
-    pairs = np.unique(np.concatenate([np.stack([found[once // len(y), k], doc.astype(np.uint64)], axis=1) for k in range(KINDS)]), axis=0)
-    pairs = pairs[pairs[:, 0] > 0]
-    keys, inverse, count = np.unique(pairs[:, 0], return_inverse=True, return_counts=True)
-    toxic = np.bincount(inverse, y[pairs[:, 1].astype(np.int64)], minlength=len(keys))
+    own, doc = once // len(y), once % len(y)
+    keys, count, toxic = (np.concatenate(x) for x in zip(*[_documents_of(found[own, k], doc, y) for k in range(KINDS)]))
+    order = np.argsort(keys)
+    keys, count, toxic = keys[order], count[order], toxic[order]
     share = y.mean()
     clean = count - toxic
     ratio = 2 * (toxic * np.log(np.maximum(toxic, 1e-9) / (count * share)) + clean * np.log(np.maximum(clean, 1e-9) / (count * (1 - share))))
