@@ -14,9 +14,10 @@ hub.  Two members that share nothing they added have at most
 
     (hub - max(lost)) / (hub - min(lost) + added + added')
 
-in common, so members in different components need a comparison of their own only if they share additions, enough of
-them, or if their sizes pass that bound.  Both are found by joins on the additions and on the few (lost, added) profiles
-of a hub: no pair of a bucket is made that cannot be a link, nothing is capped, and no link is lost to a large group.
+in common, so members in different components need a comparison of their own only if their sizes pass that bound or if
+they share additions, and then at least as many as make up for it.  The former are found by a join on the few
+(lost, added) profiles of a hub, the latter by a join on additions, rarest first and without the commonest ones that a
+sufficient overlap cannot consist of alone.  Nothing is capped, and no link is lost to a large group.
 
 Defined cases: null and empty texts and texts without words have an empty set, are linked with nothing and are kept.
 Texts with fewer words than a shingle have the whole sequence as their one shingle.  Every row is a document: rows that
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -221,17 +222,29 @@ def _across(diffs: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     right = near.select("hub", F.col("a").alias("w"), F.col("lost").alias("lost_w"), F.col("added").alias("added_w"), F.col("comp").alias("comp_w"), "extra")
     two = (F.col("v") != F.col("w")) & (F.col("comp_v") != F.col("comp_w"))
 
-    def bound(shared: Column | int) -> Column:
-        most = F.col("whole") - F.greatest("lost_v", "lost_w") + shared
-        least = F.col("whole") - F.least("lost_v", "lost_w") + F.col("added_v") + F.col("added_w") - shared
-        return 100 * most.cast("long") >= percent * least.cast("long")
-
-    shared = left.withColumn("x", F.explode("extra")).drop("extra").join(
-        right.withColumn("x", F.explode("extra")).drop("extra"), ["hub", "x"]).where(two)
-    shared = shared.groupBy("hub", "v", "w", "whole", "lost_v", "lost_w", "added_v", "added_w").count().where(bound(F.col("count"))).select("v", "w")
+    shares_nothing = 100 * (F.col("whole") - F.greatest("lost_v", "lost_w")).cast("long") >= percent * (
+        F.col("whole") - F.least("lost_v", "lost_w") + F.col("added_v") + F.col("added_w")).cast("long")
+
+    # A pair shares at least `due` of either side's additions, so their rarest but `due - 1` have one in common.
+    most = named.groupBy("hub").agg(F.max(F.col("lost") - F.col("added")).alias("spare"))
+    short = F.col("lost") + percent / 100 * F.col("added") - (1 - percent / 100) * F.col("whole") - percent / 100 * F.col("spare")
+    due = F.greatest(F.lit(1), F.ceil(short / (1 + percent / 100) - 1e-6))
+    spread = near.join(most, "hub").withColumn("kept", F.size("extra") - due + 1).where("kept > 0").select(
+        "hub", "a", "comp", "linked", "kept", F.explode("extra").alias("x"))
+    spread = stage(spread, "neardup-additions")
+    often = spread.groupBy("hub", "x").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    rarest = Window.partitionBy("hub", "a").orderBy("often", "x")
+    total = F.count(F.lit(1)).over(Window.partitionBy("hub", "a"))
+    # Additions that no other member has are the rarest; they use up places of the prefix and join nothing.
+    alone = spread.groupBy("hub", "a").agg(F.count(F.lit(1)).alias("all"))
+    prefix = spread.join(often, ["hub", "x"]).withColumn("place", F.row_number().over(rarest)).withColumn("known", total).join(alone, ["hub", "a"]).where(
+        F.col("place") + F.col("all") - F.col("known") <= F.col("kept"))
+    prefix = stage(prefix.select("hub", "x", "a", "comp", "linked"), "neardup-prefix")
+    shared = prefix.where("not linked").select("hub", "x", F.col("a").alias("v"), F.col("comp").alias("comp_v")).join(
+        prefix.select("hub", "x", F.col("a").alias("w"), F.col("comp").alias("comp_w")), ["hub", "x"]).where(two).select("v", "w")
     profile_v = left.select("hub", "whole", "lost_v", "added_v").distinct()
     profile_w = right.select("hub", "lost_w", "added_w").distinct()
-    open_ = profile_v.join(profile_w, "hub").where(bound(0)).select("hub", "lost_v", "added_v", "lost_w", "added_w")
+    open_ = profile_v.join(profile_w, "hub").where(shares_nothing).select("hub", "lost_v", "added_v", "lost_w", "added_w")
     sized = open_.join(left.drop("extra", "whole"), ["hub", "lost_v", "added_v"]).join(right.drop("extra"), ["hub", "lost_w", "added_w"]).where(two).select("v", "w")
     every = shared.union(sized)
     return every.select(F.greatest("v", "w").alias("a"), F.least("v", "w").alias("b")).distinct()
