@@ -35,13 +35,13 @@ def bucketed_positions(
 
 
 def hash_positions(
-    df: DataFrame, keys: Sequence[str], draw: str, ties: Sequence[Column], out: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], draw: str, ties: Sequence[Column], out: str, digits: int | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Positions in the order of an md5 column, cut into cells by its first digits.
 
-    There are three digits, or as many as keep a cell of all rows below ``hot_rows``.
+    Unless given, there are three digits, or as many as keep a cell of all rows below ``hot_rows``.
     """
-    digits = max(3, math.ceil(math.log(max(1, df.count() / hot_rows), 16)))
+    digits = digits or max(3, math.ceil(math.log(max(1, df.count() / hot_rows), 16)))
     cut = df.withColumn("_cut", F.substring(draw, 1, digits))
     return bucketed_positions(cut, keys, "_cut", [F.col(draw), *ties], out)
 
