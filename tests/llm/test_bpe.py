@@ -38,7 +38,7 @@ def test_equals_the_library(codec, reference):
 
 def test_long_texts_and_a_full_cache(codec, reference, monkeypatch):
     monkeypatch.setattr(bpe, "STREAM_CHARS", 50)
-    monkeypatch.setattr(bpe, "CACHE_WORDS", 20)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 5_000)
     rng = random.Random(3)
     held(codec, reference, ["".join(rng.choice("abcdefg <|> \n") for _ in range(3000)) + "<|endoftext|>" for _ in range(5)] + ["short one"])
 

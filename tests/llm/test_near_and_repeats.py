@@ -110,6 +110,15 @@ def test_cut_rows_keep_their_columns(docs, no_docs):
     assert suffix.without_repeats(no_docs).count() == neardup.first_of_each(no_docs).count() == neardup.near_duplicates(no_docs).count() == 0
 
 
+def test_columns_of_any_type_come_back_unchanged(spark):
+    frame = spark.sql("""SELECT id AS doc_id, concat('some words that are found in every one of these documents, whatever they hold ', id) AS text,
+        timestamp'2024-01-02 03:04:05.123456' AS at, cast(id / 7 AS decimal(20, 9)) AS d, named_struct('x', array(id), 'y', date'2020-02-29') AS s,
+        map('k', cast(id AS double) / 3) AS m, cast(null AS int) AS n_chars, 'v' AS carry, binary('ab') AS kept FROM range(40)""")
+    names = ["at", "d", "s", "m", "carry", "kept"]
+    found = {r.doc_id: [r[n] for n in names] for r in suffix.without_repeats(frame).collect()}
+    assert found == {r.doc_id: [r[n] for n in names] for r in frame.collect()}
+
+
 def test_whole_characters():
     raw, _ = flat.raw_bytes(pa.array(["aé😀b"]))
     gone = np.zeros(len(raw), bool)

@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ship_package, stage, widen
-from .common import small
+from ..session import stage, widen
+from .common import prepare, small
 
 SAMPLE_ROWS = 20_000
 SAMPLE_BYTES = 32 << 20
@@ -167,7 +167,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.97) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found; ``queries`` has the columns of ``vectors``."""
     spark = vectors.sparkSession
-    ship_package(spark)
+    prepare(spark)
     every = stage(usable(vectors), "ann-vectors")
     facts = every.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dims"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("limit")).first()
     if not facts["n"]:

@@ -25,9 +25,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
 from . import flat
-from .common import texts
+from .common import prepare, texts
 
 #: The pattern that splits text before byte-level merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -47,7 +46,7 @@ NEWER = [
 ]
 #: First UTF-8 byte of the smallest of them.
 NEWER_LEAD_BYTE = 0xD5
-CACHE_WORDS = 200_000
+CACHE_BYTES = 24 << 20
 STREAM_CHARS = 1 << 20
 
 
@@ -58,6 +57,11 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in set(shown) else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+def _weight(word: str) -> int:
+    """About the bytes that a cached word takes: its text, its ids and the overhead of both."""
+    return 200 + 4 * len(word)
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file (the JSON of the ``tokenizers`` library, byte-level BPE)."""
 
@@ -86,7 +90,7 @@ class Codec:
         self.careful = regex.compile("(?V1)" + PATTERN.replace(r"\p{L}", rf"[\p{{L}}--[{newer}]]", 1).replace(r"\p{N}", rf"[\p{{N}}--[{newer}]]", 1).replace(
             r"[^\s\p{L}\p{N}]", rf"[[^\s\p{{L}}\p{{N}}]||[{newer}]]"))
         self.fixed = {t: i.to_bytes(4, "little") for t, i in self.special.items()}
-        self.known = dict(self.fixed)
+        self.known, self.held = dict(self.fixed), 0
 
     def merge_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one array, and the offsets of the words in it."""
@@ -130,9 +134,10 @@ class Codec:
     def learn(self, words: set[str]) -> None:
         """Encode words that are not known yet; afterwards all of ``words`` are known."""
         new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = dict(self.fixed)
+        if self.held + sum(map(_weight, new)) > CACHE_BYTES:
+            self.known, self.held = dict(self.fixed), 0
             new = [w for w in words if w not in self.known]
+        self.held += sum(map(_weight, new))
         for i in range(0, len(new), 50_000):
             part = new[i:i + 50_000]
             ids, at = self.merge_words([w.encode() for w in part])
@@ -186,7 +191,7 @@ def _codec(digest: str, data: bytes) -> Codec:
 
 def vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """The file's bytes, a few MB whatever the corpus, sent to every executor."""
-    ship_package(spark)
+    prepare(spark)
     with open(path, "rb") as file:
         data = file.read()
     return spark.sparkContext.broadcast((hashlib.sha256(data).hexdigest(), data))
@@ -205,7 +210,7 @@ def encode(docs: DataFrame, vocab: Broadcast) -> DataFrame:
                 ids = pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), ids)], ["doc_id", "ids"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
+    return texts(docs).mapInArrow(flat.tidy(run), "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, vocab: Broadcast) -> DataFrame:
@@ -217,7 +222,7 @@ def decode(tokens: DataFrame, vocab: Broadcast) -> DataFrame:
             for key, ids in _lists(batch):
                 yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([codec.decode(ids)])], ["doc_id", "text"])
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return tokens.select("doc_id", "ids").mapInArrow(flat.tidy(run), "doc_id long, text string")
 
 
 def _lists(batch: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -241,4 +246,4 @@ def digests(tokens: DataFrame, vocab: Broadcast) -> DataFrame:
                 [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return tokens.select("doc_id", F.col("ids")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return tokens.select("doc_id", F.col("ids")).mapInArrow(flat.tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -11,15 +11,25 @@ from ..session import ship_package, stage
 LAST_ID = (1 << 63) - 1
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; the package is made importable for Python workers."""
+#: Bytes of an Arrow batch on its way to a Python worker (Spark's own bound is 64 MB).
+BATCH_BYTES = 4 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make the package importable for Python workers, and Arrow batches small enough for two workers beside a full heap."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` only: other columns, whatever their names, take no part."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 

@@ -5,15 +5,16 @@ A word is a run of bytes outside space and 0x09-0x0D; those are ASCII, so words
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 SLICE_ROWS = 4096
 HASH_BITS = 52
 _BLOCK = 1 << 20
@@ -125,3 +126,25 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         j = min(max(i + 1, int(np.searchsorted(at, at[i] + limit, "right")) - 1), i + SLICE_ROWS, batch.num_rows)
         yield batch.slice(i, j - i)
         i = j
+
+
+def release() -> None:
+    """Give freed memory of this Python worker back to the system; workers are reused by later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` over a task's batches, with ``release`` at its end."""
+
+    @wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ship_package, stage
-from .common import numbered, small
+from ..session import stage
+from .common import numbered, prepare, small
 
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_COPIES = 2
@@ -78,7 +78,7 @@ def _nearest(cell: pa.Table) -> pa.Table:
 
 def _plan(docs: DataFrame, share: float, weights: tuple[int, ...], seed: int, weight: str | None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Drawn rows without texts, and the tables that tell copies: sources, cuts, and rows chosen at the cuts."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), mark(seed).alias("mark"),

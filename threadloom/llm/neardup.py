@@ -127,7 +127,7 @@ def _sketch_texts(docs: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(counts, pa.int64()), *sums, pa.array([x.tobytes() for x in sketches(rows, hashes, n)], pa.binary())], names)
 
-    return docs.mapInArrow(run, "doc_id long, mark long, n_shingles long, d1 long, d2 long, sketch binary")
+    return docs.mapInArrow(flat.tidy(run), "doc_id long, mark long, n_shingles long, d1 long, d2 long, sketch binary")
 
 
 def _set_texts(docs: DataFrame, size: int) -> DataFrame:
@@ -145,7 +145,7 @@ def _set_texts(docs: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*sums, pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view(np.int64)))], ["s1", "s2", "shingles"])
 
-    return docs.mapInArrow(run, "s1 long, s2 long, shingles array<long>")
+    return docs.mapInArrow(flat.tidy(run), "s1 long, s2 long, shingles array<long>")
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -157,7 +157,7 @@ def _buckets(classes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(band_keys(registers).ravel().view(np.int64)), pa.array(np.repeat(part.column(0).to_numpy(), BANDS))], ["bucket", "node"])
 
-    return classes.select("node", "sketch").mapInArrow(run, "bucket long, node long")
+    return classes.select("node", "sketch").mapInArrow(flat.tidy(run), "bucket long, node long")
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -176,7 +176,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             keep = estimate(left, right) >= limit - slack
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
-    return both.select("a", "b", "sketch_a", "sketch_b", F.least("n_a", "n_b").alias("n")).mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "sketch_a", "sketch_b", F.least("n_a", "n_b").alias("n")).mapInArrow(flat.tidy(run), "a long, b long")
 
 
 def _class_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:

@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package, stage
+from ..session import stage
 from . import flat
-from .common import small
+from .common import prepare, small
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_exclaims")
 MIN_WORDS = 50
@@ -88,7 +88,7 @@ def measure_slice(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]
 
 def measure(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and the measures of every whole ``text``, one narrow pass."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.select(*keep, F.col("text").cast("string").alias("text"))
     names = list(keep)
 
@@ -100,7 +100,7 @@ def measure(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
                     [part.column(k) for k in names] + [pa.array(found[m], pa.int64()) for m in MEASURES], names + list(MEASURES))
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.mapInArrow(run, types + ", " + ", ".join(f"{m} long" for m in MEASURES))
+    return docs.mapInArrow(flat.tidy(run), types + ", " + ", ".join(f"{m} long" for m in MEASURES))
 
 
 def base_failed() -> Column:

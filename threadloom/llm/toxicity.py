@@ -27,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package, stage
+from ..session import stage
 from . import flat
-from .common import texts
+from .common import prepare, texts
 
 TOXIC_DOCS = 800
 CLEAN_DOCS = 3000
@@ -297,12 +297,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 spans = pa.ListArray.from_arrays(pa.array(cuts), pa.StructArray.from_arrays([pa.array(starts[begin] - shift), pa.array(ends[last] - shift)], ["start", "end"])).cast(kind)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sent.value.scores(rows, marginal, n)), spans], ["doc_id", "score", "spans"])
 
-    return held.mapInArrow(run, "doc_id long, score double, spans array<struct<start:long,end:long>>")
+    return held.mapInArrow(flat.tidy(run), "doc_id long, score double, spans array<struct<start:long,end:long>>")
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose ``text`` scores below ``threshold``; one narrow pass."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index("text")
 
@@ -313,4 +313,4 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> Data
                 _, _, rows, marginal = sent.value.marginals(raw, offsets)
                 yield part.filter(pa.array(sent.value.scores(rows, marginal, part.num_rows) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(flat.tidy(run), docs.schema)

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package, stage
+from ..session import stage
+from .common import prepare
 from . import flat
 
 #: Largest cascade of one part of the list that is sent to the executors.
@@ -136,7 +137,7 @@ def _parts(n_rules: int) -> int:
 
 def filter_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """``page_id, host, path, rule, verdict``; ``rules`` has ``host, path, verdict`` (allow or block)."""
-    ship_package(pages.sparkSession)
+    prepare(pages.sparkSession)
     host, path = host_and_path(F.col("url"))
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
     held = stage(rules.where("host <> ''").groupBy(F.concat("host", F.coalesce("path", F.lit(""))).alias("key")).agg(

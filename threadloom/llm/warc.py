@@ -29,7 +29,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_path, ship_package, stage
+from ..session import shared_path, stage
+from .common import prepare
 
 FILE_BYTES = 256 << 20
 STRETCH_BYTES = 16 << 20
@@ -101,7 +102,7 @@ def marked(pages: DataFrame, min_bytes: int) -> DataFrame:
 
 def write(pages: DataFrame, path: str, min_bytes: int = 0, warc_date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Write archives under ``path`` and return the index, which is stored as a table beside them."""
-    ship_package(pages.sparkSession)
+    prepare(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, folder = open_folder(path)
@@ -129,7 +130,7 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0, warc_date: str = "202
 
 def read(index: DataFrame, path: str) -> DataFrame:
     """The records that ``index`` rows name, payloads included (null in revisits)."""
-    ship_package(index.sparkSession)
+    prepare(index.sparkSession)
     picked = index.select("file", "offset", "length")
     near = picked.repartition(F.col("file"), F.floor(F.col("offset") / STRETCH_BYTES)).sortWithinPartitions("file", "offset")
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
