@@ -53,3 +53,20 @@ def numbered(df: DataFrame, order: list, name: str, parts: int = 64) -> DataFram
     counts = kept.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     return kept.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_in")).drop("_part", "_at", "_in", "_before")
+
+
+def placed(df: DataFrame, group: str, order: list[str], place: str, total: str) -> DataFrame:
+    """``df`` with the gapless place (from 0) of each row in its group, and the number of the group's rows.
+
+    Rows are range-partitioned and sorted by group and order (which must tell rows apart, or ties must not matter), so a
+    group of any size is spread; a place is that in the part plus the group's rows in earlier parts.  The counts are one
+    row per part and group, joined by both.  ``group`` has no nulls.
+    """
+    ranged = df.repartitionByRange(group, *order).sortWithinPartitions(group, *order).withColumn("_at", F.monotonically_increasing_id())
+    kept = stage(ranged, "placed").withColumn("_part", F.shiftright("_at", 33))
+    counts = kept.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    whole = Window.partitionBy(group)
+    before = stage(counts.select(
+        group, "_part", F.sum("_n").over(whole).alias(total),
+        (F.sum("_n").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n") - F.col("_first")).alias("_shift")), "placed-counts")
+    return kept.join(small(before), [group, "_part"]).withColumn(place, F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, mixing, neardup, quality, sharding, suffix, toxicity, urlfilter, warc
+from . import ann, bpe, merkle, mixing, neardup, quality, sharding, suffix, toxicity, urlfilter, warc
 from .common import table
 
 
@@ -65,6 +65,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken_rules")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    text = F.when(tampered, F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(F.col("text"))
+    proofs = merkle.manifest(docs, {"text": text}).withColumn("folded_root", merkle.fold(F.col("seen"), F.col("path")))
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_pareto_mix": op2_pareto_mix,
@@ -76,11 +86,63 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bloom_cascade": op8_bloom_cascade,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 _VALUES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
 
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned CRC-32 of an ASCII string, bit by bit."""
+    step = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)), lambda a, b: {step}), 4294967295)"
+
+
+def _merkle_sql() -> str:
+    """Trees level by level; ``LEVELS`` levels of 16 children are enough for a million leaves of a source and as many sources."""
+    levels = 5
+
+    def tree(name: str, rows: str) -> str:
+        """CTEs ``name_k (g, p, h, n)`` of nodes and ``name_r_k`` with the siblings before and after each; ``rows`` has g, p, h."""
+        out = [f"{name}_0 AS (SELECT g, p, h, count(*) OVER (PARTITION BY g) AS n FROM ({rows}))"]
+        for k in range(levels + 1):
+            run = "PARTITION BY g, p // 16 ORDER BY p ROWS BETWEEN"
+            out.append(f"""{name}_r_{k} AS (SELECT g, p, h, n,
+                CASE WHEN n > 1 THEN coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') ELSE '' END AS before,
+                CASE WHEN n > 1 THEN coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') ELSE '' END AS after FROM {name}_{k})""")
+            out.append(f"""{name}_{k + 1} AS (SELECT g, p // 16 AS p, CASE WHEN max(n) > 1 THEN sha256(string_agg(h, '' ORDER BY p)) ELSE max(h) END AS h,
+                CAST(ceil(max(n) / 16.0) AS BIGINT) AS n FROM {name}_{k} GROUP BY g, p // 16)""")
+        return ",\n".join(out)
+
+    def climb(name: str, rows: str, keep: str) -> str:
+        """CTEs that carry ``f`` (folded) and ``w`` (siblings so far) from leaves ``(g, p, f, w)`` up a tree."""
+        out = [f"{name}_f_0 AS ({rows})"]
+        for k in range(levels + 1):
+            out.append(f"""{name}_f_{k + 1} AS (SELECT {keep}, f.g, f.p // 16 AS p, CASE WHEN n > 1 THEN sha256(before || f || after) ELSE f END AS f, w || before || after AS w
+                FROM {name}_f_{k} f JOIN {name}_r_{k} r ON f.g = r.g AND f.p = r.p)""")
+        return ",\n".join(out)
+
+    def field(x: str) -> str:
+        return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen({x}::VARCHAR) || ':' || {x}::VARCHAR END"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(field(x) for x in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    return f"""WITH d AS (SELECT doc_id, coalesce('=' || source, '') AS g, {leaf('text')} AS leaf,
+            CASE WHEN {_crc32('doc_id::VARCHAR')} % 5 = 0 THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {leaf('text')} END AS seen
+            FROM documents),
+        l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM d),
+        {tree('s', 'SELECT g, p, leaf AS h FROM l')},
+        roots AS (SELECT g AS source, h, row_number() OVER (ORDER BY g) - 1 AS p FROM s_{levels + 1}),
+        {tree('t', "SELECT 0 AS g, p, h FROM roots")},
+        {climb('s', "SELECT doc_id, leaf, g, p, seen AS f, '' AS w FROM l", 'f.doc_id, f.leaf')},
+        {climb('t', f"SELECT doc_id, leaf, r.h AS subroot, 0 AS g, r.p, f, w FROM s_f_{levels + 1} s JOIN roots r ON s.g = r.source", 'f.doc_id, f.leaf, f.subroot')}
+        SELECT doc_id, leaf, subroot, h AS root, sha256(w) AS proof_sha256, f AS folded_root, f = h AS verified FROM t_f_{levels + 1}, t_{levels + 1}"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_merkle_manifest": _merkle_sql(),
     "op4_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
         SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
