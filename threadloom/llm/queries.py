@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, merkle, mixing, neardup, quality, sharding, suffix, toxicity, urlfilter, warc
+from . import ann, bpe, merkle, mixing, neardup, quality, repair, sharding, suffix, toxicity, urlfilter, warc
 from .common import table
 
 
@@ -75,6 +75,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_pareto_mix": op2_pareto_mix,
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_hyperminhash": op9_hyperminhash,
     "op10_quality_rules": op10_quality_rules,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 _VALUES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
@@ -141,7 +146,44 @@ def _merkle_sql() -> str:
         SELECT doc_id, leaf, subroot, h AS root, sha256(w) AS proof_sha256, f AS folded_root, f = h AS verified FROM t_f_{levels + 1}, t_{levels + 1}"""
 
 
+def _repair_sql() -> str:
+    """Edits row by row: per conversation and state of the grammar the least (cost, audit), with the lines that go with it."""
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    return f"""WITH RECURSIVE base AS (SELECT conv_id, coalesce(conv_id::VARCHAR, '') AS key, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS way FROM conversations),
+        hurt AS (SELECT conv_id, key, turn, CASE WHEN way = 4 THEN 'user' ELSE role END AS role,
+            CASE way WHEN 1 THEN '' WHEN 2 THEN replace(replace(replace(text, '.', ''), '!', ''), '?', '') ELSE text END AS text,
+            unnest(CASE WHEN way = 3 THEN [0, 1] ELSE [0] END) AS copy FROM base WHERE way <> 0),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i FROM hurt),
+        r AS (SELECT key, turn, role, text, i, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY key ORDER BY i) AS earlier,
+            CASE WHEN rtrim(text, {white}) = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY key, role, text ORDER BY i) > 1 THEN 'duplicate'
+                WHEN right(rtrim(text, {white}), 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+        moves(q, q1, label, price, lines) AS (VALUES (0, 0, '', 0, ''), (1, 1, '', 0, ''), (2, 2, '', 0, ''), (3, 3, '', 0, ''),
+            (0, 2, 'I', 3, {user}), (1, 2, 'I', 3, {user}), (2, 3, 'I', 3, {assistant}), (3, 2, 'I', 3, {user}),
+            (0, 3, 'II', 6, {user} || {assistant}), (1, 3, 'II', 6, {user} || {assistant})),
+        acts(q1, q2, label, initial, price, role) AS (VALUES (0, 0, 'D', NULL, 4, NULL), (1, 1, 'D', NULL, 4, NULL), (2, 2, 'D', NULL, 4, NULL), (3, 3, 'D', NULL, 4, NULL),
+            (0, 1, 'K', 's', 0, NULL), (0, 2, 'K', 'u', 0, NULL), (1, 2, 'K', 'u', 0, NULL), (3, 2, 'K', 'u', 0, NULL), (2, 3, 'K', 'a', 0, NULL),
+            (0, 2, 'R', NULL, 3, 'user'), (1, 2, 'R', NULL, 3, 'user'), (3, 2, 'R', NULL, 3, 'user'), (2, 3, 'R', NULL, 3, 'assistant')),
+        dp AS (SELECT key, 0::BIGINT AS i, 0 AS q, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS best FROM (SELECT DISTINCT key FROM r)
+            UNION ALL
+            SELECT dp.key, dp.i + 1, x.q2, min({{'c': best.c + m.price + x.price + CASE WHEN fault = 'truncated' AND x.label <> 'D' THEN 3 ELSE 0 END,
+                'a': best.a || m.label || x.label, 't': best.t || m.lines || CASE WHEN x.label = 'D' THEN '' ELSE chr(10) || coalesce(x.role, r.role) || ':' || text END}})
+            FROM dp JOIN r ON r.key = dp.key AND r.i = dp.i + 1 JOIN moves m ON m.q = dp.q
+            JOIN acts x ON x.q1 = m.q1 AND (x.initial IS NULL OR x.initial = r.initial) AND (x.label = 'D' OR fault IN ('', 'truncated'))
+            GROUP BY dp.key, dp.i + 1, x.q2),
+        ends AS (SELECT key, count(*) AS n, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+            count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE i > 1 AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+            coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM r GROUP BY key),
+        done AS (SELECT dp.key, min({{'c': best.c + m.price, 'a': best.a || m.label, 't': best.t || m.lines}}) AS best
+            FROM dp JOIN ends e ON e.key = dp.key AND dp.i = e.n JOIN moves m ON m.q = dp.q WHERE m.q1 IN (0, 3) GROUP BY dp.key)
+        SELECT b.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+            coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(substr(coalesce(best.t, ''), 2)) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id, key FROM base) b LEFT JOIN ends ON ends.key = b.key LEFT JOIN done ON done.key = b.key"""
+
+
 ORACLES: dict[str, str] = {
+    "op12_conversation_repair": _repair_sql(),
     "op11_merkle_manifest": _merkle_sql(),
     "op4_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
