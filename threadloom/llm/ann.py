@@ -148,13 +148,15 @@ def best(row: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndar
     return order[place < k]
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id, v`` (doubles) of the rows that take part."""
+def usable(vectors: DataFrame, dims: int | None = None) -> DataFrame:
+    """``vec_id, v`` (doubles) of the rows that take part: those with ``dims`` components (default: the commonest number)."""
     held = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).where(
         "vec_id is not null and v is not null and size(v) > 0 and not exists(v, x -> x is null or isnan(x) or abs(x) = double('inf')) and exists(v, x -> x <> 0)")
     held = held.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))
-    most = held.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return held.where(F.size("v") == (most["n"] if most else 0)).dropDuplicates(["vec_id", "v"])
+    if dims is None:
+        most = held.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
+        dims = most["n"] if most else 0
+    return held.where(F.size("v") == dims).dropDuplicates(["vec_id", "v"])
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
@@ -192,7 +194,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
     sizes = np.zeros(len(tree.value.leaves), np.int64)
     for r in indexed.groupBy("leaf").count().collect():  # at most SAMPLE_ROWS / LEAF_SAMPLE leaves
         sizes[r["leaf"]] = r["count"]
-    asked = usable(queries).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).where(F.size("q") == dims)
+    asked = usable(queries, dims).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     asked = stage(asked, "ann-queries")
     width = _calibrate(indexed, asked, tree, sizes, dims, limit, k, recall)
 
