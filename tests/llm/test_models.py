@@ -58,6 +58,22 @@ def test_few_candidates_and_none(spark):
     assert ann.nearest(frame, frame.where("false"), k=3).count() == 0
 
 
+def test_queries_of_another_usual_length(spark):
+    """Most query rows have a length that the table hardly has; the others are answered."""
+    rows = [(i, [float(i % 7), 1.0, float(i)]) for i in range(200)]
+    asked = rows[:6] + [(500 + i, [1.0, 2.0]) for i in range(9)]
+    schema = "vec_id long, embedding array<float>"
+    found = ann.nearest(spark.createDataFrame(rows + asked[6:], schema), spark.createDataFrame(asked, schema), k=3).collect()
+    assert {r.query_id for r in found} == set(range(6)) and len(found) == 18
+
+
+def test_repeated_labelled_documents_count_once(labelled, spark):
+    frame, labels, *_ = labelled
+    one = toxicity.train(frame, labels)
+    again = toxicity.train(frame.unionByName(frame).unionByName(frame), labels)
+    assert (one.keys == again.keys).all() and (one.weights == again.weights).all()
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(0)
     lengths = [0, 1, 5, 128, 129, 300, 0, 257]

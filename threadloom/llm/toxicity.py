@@ -14,7 +14,7 @@ cut into pieces whose transfer matrices are multiplied, so a text of any length
 
 Defined cases: null and empty texts, and texts without words, have no spans and the score of a document without toxic
 marginals.  Null labels do not count; of several labels of a document the largest holds.  If the sample has no toxic or
-no clean document the score is 0 or 1 throughout.  Rows are scored one by one: repeated rows score alike.  An empty table
+no clean document the score is 0 or 1 throughout.  A labelled document that is repeated counts once.  Rows are scored one by one: repeated rows score alike.  An empty table
 gives an empty result.  Scores depend on ``text`` alone; other columns are not read.
 """
 
@@ -272,8 +272,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = held.select("doc_id", "mark").join(marks, "doc_id")  # ids and hashes; texts are fetched for the sample alone
     chosen = [known.where(F.col("toxic") == label).distinct().orderBy("mark", "doc_id").limit(most) for label, most in ((1, TOXIC_DOCS), (0, CLEAN_DOCS))]
     picked = stage(chosen[0].unionByName(chosen[1]), "toxicity-sample")
-    found = held.join(F.broadcast(picked), ["doc_id", "mark"]).select("text", "toxic", "mark", "doc_id").collect()
-    sample = [(r["text"], r["toxic"]) for r in sorted(set(found), key=lambda r: (-r["toxic"], r["mark"], r["doc_id"]))]
+    found = held.join(F.broadcast(picked), ["doc_id", "mark"]).select("text", "toxic", "mark", "doc_id").dropDuplicates(["doc_id", "mark"]).collect()
+    sample = [(r["text"], r["toxic"]) for r in sorted(found, key=lambda r: (-r["toxic"], r["mark"], r["doc_id"]))]
     return fit(sample)
 
 
