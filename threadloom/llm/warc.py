@@ -33,7 +33,7 @@ from ..session import shared_path, stage
 from .common import prepare
 
 FILE_BYTES = 256 << 20
-STRETCH_BYTES = 16 << 20
+STRETCH_BYTES = 4 << 20
 #: Ranges nearer than this are read with one request.
 GAP_BYTES = 64 << 10
 REQUEST_BYTES = 8 << 20
@@ -132,7 +132,8 @@ def read(index: DataFrame, path: str) -> DataFrame:
     """The records that ``index`` rows name, payloads included (null in revisits)."""
     prepare(index.sparkSession)
     picked = index.select("file", "offset", "length")
-    near = picked.repartition(F.col("file"), F.floor(F.col("offset") / STRETCH_BYTES)).sortWithinPartitions("file", "offset")
+    tasks = 1 + (picked.agg(F.sum("length").alias("n")).first()["n"] or 0) // STRETCH_BYTES  # by archive bytes: the rows themselves are few
+    near = picked.repartition(tasks, F.col("file"), F.floor(F.col("offset") / STRETCH_BYTES)).sortWithinPartitions("file", "offset")
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
                         ("refers_to", pa.int64()), ("payload", pa.binary())])
 
