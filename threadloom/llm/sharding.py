@@ -5,7 +5,9 @@ slot, and the map from slots to shards is a small table with versions: version 1
 out of shards above the average, smallest first, and gives each to the lightest shard, largest first.  All other slots
 stay.  Whatever the data, the map has ``SLOTS`` rows; that bound is why it is broadcast.
 
-The law is ``bytes``: sizes of shards are near equal (apart by no more than a slot).  A row's ``slot`` is its gapless
+The law is ``bytes``: sizes of shards are near equal (apart by no more than a slot).  Groups of equal texts follow no law of
+their own: a row goes by its id, so copies with different ids are spread like other rows.  Rows of one id (or of null ids
+and one text) share a slot, which is never split; if they are more than a shard's part, that shard is larger.  A row's ``slot`` is its gapless
 position in its shard: the rows of the shard's earlier virtual slots plus its place in its own, so no shard is sorted in
 one task.
 
