@@ -1,12 +1,16 @@
 import math
+import random
 import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import functions as F, types as T
 
 from threadloom.functions.vectors import dot, normalized
+from threadloom.operators import sparse_topk, topk
 from threadloom.operators.baselines import EMPTY_REPLY, nearest_reply
 from threadloom.operators.tfidf import fit_tfidf
 from threadloom.operators.topk import top_k_dense
@@ -39,6 +43,82 @@ def test_dense_top_k(spark, exclude, blocks):
     assert rows == brute(queries.astype(float), corpus.astype(float), 4, exclude)
 
 
+def clustered(rows, groups, dims=8):
+    rng = np.random.default_rng(5)
+    middles = rng.normal(size=(groups, dims)) * 4
+    return (middles[np.arange(rows) % groups] + rng.normal(size=(rows, dims)) * 0.1).astype("float32")
+
+
+@pytest.mark.parametrize("unit", [True, False])
+def test_most_cells_are_never_visited(spark, unit):
+    """Clustered data: the rows are those of all pairs, and over 80 % of the (query, cell) pairs are skipped."""
+    data = clustered(1500, 30)
+    frame = vectors(spark, data)
+    queries = frame.selectExpr("id as query_id", "cast(v as array<double>) as vector")
+    corpus = frame.selectExpr("id as corpus_id", "cast(v as array<double>) as vector")
+    whole = sorted(map(tuple, topk.top_k(queries, corpus, 4, 8, True, unit).collect()))
+    few = sorted(map(tuple, topk.top_k(queries, corpus, 4, 8, True, unit, block_bytes=64 * 200, corpus_block_rows=40, cell_rows=50).collect()))
+    assert few == whole
+    dealt, cells = topk.build_cells(corpus, 8, unit, 50)
+    bars = {}
+    for q, _, score, _ in whole:
+        bars[q] = min(bars.get(q, score), score)
+    told = queries.join(spark.createDataFrame(list(bars.items()), "query_id long, bar double"), "query_id")
+    visits = topk.route(told, cells, 8, unit, 5).count() + topk.route(queries.withColumn("bar", F.lit(None).cast("double")), cells, 8, unit, 5).count()
+    assert len(cells.rows) == 30 and cells.rows.sum() == 1500 and visits < 0.2 * 1500 * 30
+
+
+def test_bounds_hold_for_all_rows(spark):
+    data = clustered(300, 7)
+    corpus = vectors(spark, data).selectExpr("id as corpus_id", "cast(v as array<double>) as vector")
+    dealt, cells = topk.build_cells(corpus, 8, False, 20)
+    queries = np.random.default_rng(1).normal(size=(40, 8))
+    bounds = cells.bounds(queries)
+    for row in dealt.collect():
+        assert (queries @ np.array(row["vector"]) <= bounds[:, row["cell"]]).all()
+
+
+def sparse_frame(spark, rows, name):
+    schema = T.StructType([T.StructField(name, T.LongType()), T.StructField("v", VectorUDT())])
+    return spark.createDataFrame([(i, Vectors.sparse(400, sorted(v.items()))) for i, v in enumerate(rows)], schema)
+
+
+@pytest.mark.parametrize("k", [1, 3])
+@pytest.mark.parametrize("exclude", [False, True])
+@pytest.mark.parametrize("options", [{}, {"seeded": False}, {"block_bytes": 3000, "corpus_block_rows": 60}])
+def test_sparse_top_k_equals_all_pairs(spark, monkeypatch, k, exclude, options):
+    for name, value in (("INDEX_ROWS", 64), ("ENTRIES", 500), ("SEED_POSTINGS", 20)):
+        monkeypatch.setattr(sparse_topk, name, value)
+    rng = random.Random(k)
+
+    def vector():
+        terms = {min(399, int(rng.expovariate(0.03))) for _ in range(rng.randint(0, 12))}
+        size = math.sqrt(len(terms)) or 1
+        return {t: rng.uniform(0.5, 1.5) / size for t in terms}
+
+    rows = [vector() for _ in range(300)]
+    rows[40:60] = [rows[7]] * 20  # ties go to the lower id
+    asked = rows[:50] + [{}, {399: 1.0}]
+    got = {}
+    for r in sparse_topk.top_k_sparse(sparse_frame(spark, asked, "q"), sparse_frame(spark, rows, "c").repartition(3), "q", "c", "v", "v", k, exclude, **options).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.corpus_id, r.score))
+    for q, query in enumerate(asked):
+        scores = sorted((-round(sum(w * row.get(t, 0.0) for t, w in query.items()), 9), c) for c, row in enumerate(rows) if not (exclude and c == q))[:k]
+        own = sorted(got[q])
+        assert [c for _, c, _ in own] == [c for _, c in scores] and [s for *_, s in own] == pytest.approx([-s for s, _ in scores], abs=2e-9)
+
+
+def test_bars_leave_postings_out():
+    """With a bar at the best score, the index looks at few rows; the best one is among them."""
+    rng = np.random.default_rng(0)
+    at = pd.Series([np.unique(np.append(rng.integers(0, 30, 15), 100 + i // 3)) for i in range(600)])
+    index = sparse_topk.Index(np.arange(600), at, at.map(lambda a: np.full(len(a), 1 / math.sqrt(len(a)))))
+    asked = pd.DataFrame({"query_id": [5], "at": [at[5]], "value": [np.full(len(at[5]), 1 / math.sqrt(len(at[5])))], "bar": [0.0]})
+    free = index.best(sparse_topk.Queries.of(asked), 600, False)
+    held = index.best(sparse_topk.Queries.of(asked.assign(bar=1.0)), 600, False)
+    assert len(sparse_topk._best(free, 600)) == 600 and list(held["corpus_id"]) == [5] and held["score"].iloc[0] == 1.0
+
+
 def test_more_neighbours_than_rows(spark):
     frame = vectors(spark, [[1, 0], [0, 1]])
     assert top_k_dense(frame, frame, "id", "id", "v", "v", 9).count() == 4

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import stage
 from .rules import answer, keyword_escalation
 from .sampling import cv_folds
-from .skew import lookup
+from .skew import lookup, salted_join
+from .sparse_topk import top_k_sparse
 from .tfidf import MAX_FEATURES, TfidfModel, fit_tfidf
-from .topk import top_k_sparse
 
 # Rows one task works through in a step of the optimiser.
 ROWS_PER_STEP_TASK = 20_000
@@ -180,9 +180,10 @@ def nearest_reply(
     best = top_k_sparse(
         tfidf.transform(queries.select(query_id, query_text), query_text),
         tfidf.transform(corpus.select(corpus_id, corpus_text), corpus_text),
-        query_id, corpus_id, "tfidf", "tfidf", max(tfidf.size, 1), 1, exclude_same)
-    joined = best.drop("rank").join(
-        corpus.select(F.col(corpus_id).alias("c_id"), F.col(response).alias("_answer")), F.col("corpus_id") == F.col("c_id")).drop("c_id")
+        query_id, corpus_id, "tfidf", "tfidf", 1, exclude_same)
+    # one stored message may be the best of most queries
+    answers = corpus.select(F.col(corpus_id).alias("c_id"), F.col(response).alias("_answer"))
+    joined = salted_join(best.drop("rank"), answers, "corpus_id", "c_id", "inner", F.col("query_id"))
     stored = F.when(F.col("_answer") != "", F.col("_answer"))
     if not first_row_on_no_match:
         stored = F.when(F.col("score") > 0, stored)

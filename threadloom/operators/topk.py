@@ -1,22 +1,29 @@
-"""Exact cosine top-k of queries against a corpus.
+"""Exact cosine top-k of queries against a corpus of dense vectors.
 
-The corpus is scanned once in Arrow batches; every batch is one matrix product
-with the queries and keeps only k rows per query.  Queries travel to the tasks
-as one block when they are few; otherwise both sides are cut into blocks of
-bounded size and every pair of blocks is one task.  Both ways give the same
-rows: scores are rounded to nine digits, ties go to the lower corpus id.
+Few queries travel to the tasks as one block; the corpus is scanned once in Arrow batches, a matrix product each, and
+k rows are kept per query.
+
+Many queries meet a corpus that is cut into cells around centres (from a bounded sample), each with the radius that
+holds all its rows: no row of a cell scores more than ``q . centre + |q| * radius``.  A query first visits its best
+cells until they hold k rows; the k-th best score there is its bar.  Then it visits the other cells whose bound
+reaches the bar, and no more, so the result is exact.  Visits are dealt as (cell, part, block of queries), all of bounded
+size, so neither a large cell nor one that all queries visit meets in one task.
+
+Both ways give the same rows: scores are rounded to nine digits, ties go to the lower corpus id.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.vectors import EPSILON
+from ..session import stage
 
 # Bytes of query vectors that may be sent to every task.
 BLOCK_BYTES = 64 * 1024 * 1024
@@ -24,17 +31,17 @@ CORPUS_BLOCK_ROWS = 50_000
 # Entries of a score matrix (queries x corpus rows) held at once.
 SCORE_CELLS = 4 << 20
 SCORE_DIGITS = 9
+# Rows of the sample that centres are found in, sample rows per centre, rounds, and bytes of the sample.
+SAMPLE_ROWS, SAMPLE_PER_CELL, ROUNDS, SAMPLE_BYTES = 20_000, 10, 6, 256 << 20
+# Rows of a cell that are aimed at.
+CELL_ROWS = 20_000
+# What rounding can add to a bound or a score.
+SLACK = 1e-7
 
 
 def dense(vector: Column) -> Column:
     """Canonical form of an array vector."""
-    return F.struct(F.lit(None).cast("array<int>").alias("at"), vector.cast("array<double>").alias("value"))
-
-
-def sparse(vector: Column) -> Column:
-    """Canonical form of a Spark ML sparse vector."""
-    parts = F.unwrap_udt(vector)
-    return F.struct(parts["indices"].alias("at"), parts["values"].alias("value"))
+    return vector.cast("array<double>")
 
 
 def _chunk(queries: int, rows: int) -> int:
@@ -42,20 +49,10 @@ def _chunk(queries: int, rows: int) -> int:
     return max(1, min(rows, SCORE_CELLS // max(1, queries)))
 
 
-def _matrix(frame: pd.DataFrame, size: int, unit: bool) -> np.ndarray:
-    """One matrix row per canonical vector, scaled to unit length if asked for."""
-    if len(frame) and frame["at"].isna().all():
-        out = np.stack(frame["value"].to_numpy()).astype(np.float64)
-    else:
-        out = np.zeros((len(frame), size))
-        for row, (places, numbers) in enumerate(zip(frame["at"], frame["value"])):
-            if places is None:
-                out[row] = numbers
-            else:
-                out[row, np.asarray(places, dtype=np.int64)] = numbers
-    if not unit:
-        return out
-    return out / (np.sqrt((out * out).sum(axis=1, keepdims=True)) + EPSILON)
+def _matrix(vectors: pd.Series, size: int, unit: bool) -> np.ndarray:
+    """One matrix row per vector, scaled to unit length if asked for."""
+    out = np.stack(vectors.to_numpy()).astype(np.float64) if len(vectors) else np.zeros((0, size))
+    return out / (np.sqrt((out * out).sum(axis=1, keepdims=True)) + EPSILON) if unit else out
 
 
 def _best(hits: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -78,6 +75,134 @@ def _score_block(
     return _best(hits, k)
 
 
+def _best_of_cell(few: pd.DataFrame, many: pd.DataFrame, size: int, unit: bool, k: int, exclude_same: bool, chunk_rows: int) -> pd.DataFrame:
+    """Top-k rows of bounded sets of queries and corpus rows."""
+    best = pd.DataFrame({"query_id": [], "corpus_id": [], "score": []})
+    if few.empty or many.empty:
+        return best
+    matrix, parts, step = _matrix(few["vector"], size, unit), [], _chunk(len(few), chunk_rows)
+    for start in range(0, len(many), step):
+        part = many.iloc[start:start + step]
+        parts.append(_score_block(few["query_id"].to_numpy(), matrix, part["corpus_id"].to_numpy(), _matrix(part["vector"], size, unit), k, exclude_same))
+        parts = [_best(pd.concat(parts), k)]
+    return parts[0]
+
+
+# --- cells -------------------------------------------------------------------
+
+@dataclass
+class Cells:
+    """Centres of the cells, how far their rows are away at most, and how many they are."""
+
+    centres: np.ndarray
+    radius: np.ndarray
+    rows: np.ndarray
+
+    def bounds(self, queries: np.ndarray) -> np.ndarray:
+        """No row of a cell scores more than this (queries x cells)."""
+        return queries @ self.centres.T + np.sqrt((queries * queries).sum(axis=1, keepdims=True)) * self.radius + SLACK
+
+
+def centres(sample: np.ndarray, cells: int) -> np.ndarray:
+    """Centres of a bounded sample: farthest points of a part first, then Lloyd's rounds."""
+    cells = max(1, min(cells, len(sample)))
+    found, far = [0], ((sample - sample[0]) ** 2).sum(axis=1)
+    for _ in range(cells - 1):
+        found.append(int(np.argmax(far)))
+        far = np.minimum(far, ((sample - sample[found[-1]]) ** 2).sum(axis=1))
+    out = sample[found].copy()
+    for _ in range(ROUNDS):
+        nearest = nearest_centre(sample, out)
+        sums = np.zeros_like(out)
+        np.add.at(sums, nearest, sample)
+        counts = np.bincount(nearest, minlength=len(out))
+        out = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], out)
+    return out
+
+
+def nearest_centre(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    step = _chunk(len(centres), len(rows) or 1)
+    half = (centres * centres).sum(axis=1) / 2
+    return np.concatenate([np.argmax(rows[i:i + step] @ centres.T - half, axis=1) for i in range(0, len(rows), step)] or [np.zeros(0, np.int64)])
+
+
+def build_cells(corpus: DataFrame, size: int, unit: bool, cell_rows: int = CELL_ROWS) -> tuple[DataFrame, Cells]:
+    """The corpus with its ``cell``, written once, and the cells; there are at most ``SAMPLE_ROWS / SAMPLE_PER_CELL``."""
+    wanted = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * size)))
+    rows = corpus.count()
+    # drawn by a hash of the id; nobody's result depends on the draw
+    part = corpus if rows <= wanted else corpus.filter(F.pmod(F.xxhash64("corpus_id"), F.lit(1 << 30)) < math.ceil((1 << 30) * 1.05 * wanted / rows)).limit(wanted)
+    sample = _matrix(part.select("vector").toPandas()["vector"], size, unit)
+    points = centres(sample, min(math.ceil(rows / cell_rows), max(1, len(sample) // SAMPLE_PER_CELL))) if len(sample) else np.zeros((1, size))
+    sent = corpus.sparkSession.sparkContext.broadcast(points)
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            matrix = _matrix(batch["vector"], size, unit)
+            cell = nearest_centre(matrix, sent.value)
+            yield batch.assign(cell=cell.astype(np.int32), away=np.sqrt(((matrix - sent.value[cell]) ** 2).sum(axis=1)))
+
+    schema = T.StructType([*corpus.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("away", T.DoubleType())])
+    dealt = stage(corpus.mapInPandas(assign, schema), "topk-cells")
+    cells = Cells(points, np.zeros(len(points)), np.zeros(len(points), np.int64))
+    for row in dealt.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("away")).collect():  # a row per cell
+        cells.rows[row["cell"]], cells.radius[row["cell"]] = row["n"], row["away"]
+    return dealt.drop("away"), cells
+
+
+def route(asked: DataFrame, cells: Cells, size: int, unit: bool, least_rows: int) -> DataFrame:
+    """``query_id, vector, cell`` of the visits of queries with a ``bar``: a null bar means the best cells with ``least_rows`` rows.
+
+    Visits of an earlier, null bar are left out of those of a later one.
+    """
+    sent = asked.sparkSession.sparkContext.broadcast(cells)
+
+    def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = sent.value
+        for batch in batches:
+            step = _chunk(len(known.rows), 1024)
+            for start in range(0, len(batch), step):
+                part = batch.iloc[start:start + step]
+                bounds = np.where(known.rows > 0, known.bounds(_matrix(part["vector"], size, unit)), -np.inf)
+                order = np.argsort(-bounds, axis=1, kind="stable")
+                before = np.cumsum(known.rows[order], axis=1) - known.rows[order]
+                first = np.empty(bounds.shape, bool)
+                np.put_along_axis(first, order, before < least_rows, axis=1)
+                first &= np.isfinite(bounds)
+                bar = part["bar"].to_numpy(np.float64)
+                taken = np.where(np.isnan(bar)[:, None], first, (bounds >= bar[:, None] - SLACK) & ~first & np.isfinite(bounds))
+                row, cell = np.nonzero(taken)
+                yield pd.DataFrame({"query_id": part["query_id"].to_numpy()[row], "vector": part["vector"].to_numpy()[row], "cell": cell.astype(np.int32)})
+
+    schema = T.StructType([asked.schema["query_id"], asked.schema["vector"], T.StructField("cell", T.IntegerType())])
+    return asked.select("query_id", "vector", "bar").mapInPandas(visits, schema)
+
+
+def _visit(visits: DataFrame, dealt: DataFrame, cells: Cells, schema: T.StructType, size: int, unit: bool, k: int, exclude_same: bool, query_rows: int, part_rows: int, chunk_rows: int) -> DataFrame:
+    """Best rows of every (cell, part of it, block of its queries)."""
+    spark = visits.sparkSession
+    parts = spark.createDataFrame([(cell, max(1, math.ceil(int(n) / part_rows))) for cell, n in enumerate(cells.rows)], "cell int, parts int")
+    loads = visits.groupBy("cell").agg(F.ceil(F.count("*") / query_rows).cast("int").alias("blocks")).join(F.broadcast(parts), "cell")
+    loads = F.broadcast(stage(loads, "topk-loads"))  # a row per cell
+
+    def some(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left = visits.join(loads, "cell").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int")).withColumn("part", some("parts"))
+    right = dealt.join(loads, "cell").withColumn("part", F.pmod(F.xxhash64("corpus_id"), F.col("parts")).cast("int")).withColumn("block", some("blocks"))
+
+    def score(few: pd.DataFrame, many: pd.DataFrame) -> pd.DataFrame:
+        return _best_of_cell(few, many, size, unit, k, exclude_same, chunk_rows)
+
+    keys = ["cell", "part", "block"]
+    return left.select(*keys, "query_id", "vector").groupBy(*keys).cogroup(right.select(*keys, "corpus_id", "vector").groupBy(*keys)).applyInPandas(score, schema)
+
+
+def _ranked(hits: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "corpus_id")
+    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
 def top_k(
     queries: DataFrame,
     corpus: DataFrame,
@@ -88,26 +213,25 @@ def top_k(
     block_bytes: int = BLOCK_BYTES,
     corpus_block_rows: int = CORPUS_BLOCK_ROWS,
     chunk_rows: int = 2048,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """(query_id, corpus_id, score, rank) of the k nearest corpus rows per query.
 
-    ``queries`` has (query_id, vector), ``corpus`` (corpus_id, vector), vectors
-    in canonical form with ``size`` dimensions and ids of one type.
-    ``exclude_same`` leaves out the corpus row with the query's own id;
-    ``unit`` scales the vectors first, otherwise the score is their dot product.
+    ``queries`` has (query_id, vector), ``corpus`` (corpus_id, vector), vectors of ``size`` doubles and ids of one type,
+    unique on each side.  ``exclude_same`` leaves out the corpus row with the query's own id; ``unit`` scales the vectors
+    first, otherwise the score is their dot product.
     """
     query_rows = max(1, block_bytes // (8 * size))
     id_type = corpus.schema["corpus_id"].dataType
     schema = T.StructType([
         T.StructField("query_id", id_type), T.StructField("corpus_id", id_type), T.StructField("score", T.DoubleType())])
-    queries = queries.select("query_id", F.col("vector.at").alias("at"), F.col("vector.value").alias("value"))
-    corpus = corpus.select("corpus_id", F.col("vector.at").alias("at"), F.col("vector.value").alias("value"))
+    queries, corpus = queries.select("query_id", "vector"), corpus.select("corpus_id", "vector")
 
     if queries.limit(query_rows + 1).count() <= query_rows:
         block = queries.toPandas()
         if block.empty:
             return queries.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
-        query_ids, query_matrix = block["query_id"].to_numpy(), _matrix(block, size, unit)
+        query_ids, query_matrix = block["query_id"].to_numpy(), _matrix(block["vector"], size, unit)
 
         def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             best = None
@@ -117,41 +241,23 @@ def top_k(
                     part = batch.iloc[start:start + step]
                     hits = _score_block(
                         query_ids, query_matrix, part["corpus_id"].to_numpy(),
-                        _matrix(part, size, unit), k, exclude_same)
+                        _matrix(part["vector"], size, unit), k, exclude_same)
                     best = hits if best is None else _best(pd.concat([best, hits]), k)
             if best is not None:
                 yield best
 
-        hits = corpus.mapInPandas(scan, schema)
-    else:
-        query_blocks = math.ceil(queries.count() / query_rows)
-        corpus_blocks = max(1, math.ceil(corpus.count() / corpus_block_rows))
-
-        def every(blocks: int) -> Column:
-            return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-
-        left = queries.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")).withColumn("cb", every(corpus_blocks))
-        right = corpus.withColumn("cb", F.pmod(F.xxhash64("corpus_id"), F.lit(corpus_blocks)).cast("int")).withColumn("qb", every(query_blocks))
-
-        def cell(few: pd.DataFrame, many: pd.DataFrame) -> pd.DataFrame:
-            best = pd.DataFrame({"query_id": [], "corpus_id": [], "score": []})
-            if few.empty or many.empty:
-                return best
-            matrix = _matrix(few, size, unit)
-            parts = []
-            step = _chunk(len(few), chunk_rows)
-            for start in range(0, len(many), step):
-                part = many.iloc[start:start + step]
-                parts.append(_score_block(
-                    few["query_id"].to_numpy(), matrix, part["corpus_id"].to_numpy(),
-                    _matrix(part, size, unit), k, exclude_same))
-                parts = [_best(pd.concat(parts), k)]
-            return parts[0]
-
-        hits = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(cell, schema)
+        return _ranked(corpus.mapInPandas(scan, schema), k)
 
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "corpus_id")
-    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    asked = stage(queries, "topk-queries")
+    dealt, cells = build_cells(corpus, size, unit, cell_rows)
+    options = (dealt, cells, schema, size, unit, k, exclude_same, query_rows, corpus_block_rows, chunk_rows)
+    least_rows = k + exclude_same
+    first = stage(_ranked(_visit(route(asked.withColumn("bar", F.lit(None).cast("double")), cells, size, unit, least_rows), *options), k), "topk-first")
+    bars = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("bar")).select(
+        "query_id", F.when(F.col("n") == k, F.col("bar")).otherwise(F.lit(float("-inf"))).alias("bar"))
+    told = asked.join(bars, "query_id", "left").na.fill(float("-inf"), ["bar"])
+    more = _visit(route(told, cells, size, unit, least_rows), *options)
+    return _ranked(first.drop("rank").unionByName(more), k)
 
 
 def top_k_dense(
@@ -166,15 +272,3 @@ def top_k_dense(
         queries.select(F.col(query_id).alias("query_id"), dense(F.col(query_vec)).alias("vector")),
         corpus.select(F.col(corpus_id).alias("corpus_id"), dense(F.col(corpus_vec)).alias("vector")),
         k, size, exclude_same, **options)
-
-
-def top_k_sparse(
-    queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str, query_vec: str, corpus_vec: str,
-    size: int, k: int = 1, exclude_same: bool = False, **options,
-) -> DataFrame:
-    """Top-k over Spark ML sparse vectors of unit length, e.g. TF-IDF weights."""
-    options.setdefault("chunk_rows", 512)
-    return top_k(
-        queries.select(F.col(query_id).alias("query_id"), sparse(F.col(query_vec)).alias("vector")),
-        corpus.select(F.col(corpus_id).alias("corpus_id"), sparse(F.col(corpus_vec)).alias("vector")),
-        k, size, exclude_same, unit=False, **options)

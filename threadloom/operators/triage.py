@@ -14,6 +14,7 @@ from .clustering import topic_taxonomy
 from .model_call import Complete, call_model, escalation_answer, intent_answer, judge_rows, reply_answer
 from .rules import lower_with, rule_escalation, taxonomy_escalation, taxonomy_keywords, three_phase, undecided
 from .metrics import align
+from .skew import salted_join
 from .topk import top_k_dense
 
 # Neighbours searched and kept, and the label of a failed naming.
@@ -31,8 +32,9 @@ def neighbours(
     """
     hits = top_k_dense(messages, corpus, id_col, "thread_id", "embedding", "embedding", k, exclude_same=exclude_same)
     texts = corpus.select(
-        F.col("thread_id").alias("corpus_id"), F.col("text").alias("customer_message"), "agent_response")
-    return hits.join(texts, "corpus_id").withColumnRenamed("corpus_id", "thread_id")
+        F.col("thread_id").alias("t_id"), F.col("text").alias("customer_message"), "agent_response")
+    # one thread may be a neighbour of most messages
+    return salted_join(hits, texts, "corpus_id", "t_id", "inner", F.col("query_id")).withColumnRenamed("corpus_id", "thread_id")
 
 
 def similar_threads(found: DataFrame, keep: int = KEPT) -> DataFrame:
