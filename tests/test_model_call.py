@@ -80,7 +80,7 @@ def test_prompts(spark):
         [(1, "b", "second", ["k"] * 7, ["x" * 80, "y", "z", "w"]), (0, None, "first", None, [])],
         "cluster_id int, intent_label string, description string, keywords array<string>, example_messages array<string>")
     shown = prompts.rendered_taxonomy(taxonomy).first()
-    assert shown["intents_text"] == '- **cluster_0**: first\n- **b**: second\n  Keywords: k, k, k, k, k\n  Examples: "' + "x" * 60 + '" | "y" | "z"'
+    assert shown["intents_text"] == '[cluster_0] first\n[b] second; words: k/k/k/k/k; customers write "' + "x" * 60 + '" or "y" or "z"'
     assert shown["labels_text"] == "cluster_0, b"
     made = spark.createDataFrame([("m", "r", "i", ""), ("m", "r", "i", "real")], "m string, r string, i string, a string").select(
         prompts.judge_prompt(F.col("m"), F.col("r"), F.col("i"), F.col("a")).alias("p")).collect()

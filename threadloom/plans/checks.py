@@ -264,15 +264,15 @@ VIEWS = {
         SELECT gold_intent AS label FROM labelled GROUP BY gold_intent ORDER BY count(*) DESC, gold_intent LIMIT 1)""",
     "vector_messages": "vector_messages AS (SELECT m.* FROM messages m JOIN embeddings e ON e.vec_id = m.id)",
     "grounding": f"""grounding AS (
-        SELECT query_id AS id, string_agg('Example ' || rank || ' (similarity: ' || printf('%.2f', score) || '):' || chr(10) || '  Customer: "' || text
-                || '"' || chr(10) || '  {fx.BRAND}: "' || agent_response || '"', chr(10) || chr(10) ORDER BY rank) AS shown,
+        SELECT query_id AS id, string_agg('#' || rank || ', score ' || printf('%.2f', score) || ': to "' || text
+                || '", {fx.BRAND} answered "' || agent_response || '"', chr(10) ORDER BY rank) AS shown,
             string_agg(corpus_id::VARCHAR, ',' ORDER BY rank) AS sources,
             string_agg(corpus_id::VARCHAR, ',' ORDER BY rank) FILTER (rank <= 3) AS similar_ids
         FROM nearest JOIN vector_messages m ON m.id = corpus_id GROUP BY query_id)""",
     "rendered": f"""rendered AS (
-        SELECT string_agg('- **' || intent_label || '**: ' || description
-                || CASE WHEN len(keywords) > 0 THEN chr(10) || '  Keywords: ' || array_to_string(keywords[1:{prompts.SHOWN_KEYWORDS}], ', ') ELSE '' END
-                || chr(10) || '  Examples: "' || substr(repeat('example ' || cluster_id || ' ', 8), 1, {prompts.EXAMPLE_CHARS}) || '" | "short one"',
+        SELECT string_agg('[' || intent_label || '] ' || description
+                || CASE WHEN len(keywords) > 0 THEN '; words: ' || array_to_string(keywords[1:{prompts.SHOWN_KEYWORDS}], '/') ELSE '' END
+                || '; customers write "' || substr(repeat('example ' || cluster_id || ' ', 8), 1, {prompts.EXAMPLE_CHARS}) || '" or "short one"',
                 chr(10) ORDER BY cluster_id) AS intents_text, string_agg(intent_label, ', ' ORDER BY cluster_id) AS labels_text
         FROM taxonomy)""",
     "topics": "topics AS (SELECT * FROM (VALUES " + ", ".join(
