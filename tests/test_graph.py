@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from threadloom.operators import graph
 from threadloom.operators.graph import owners
 
 
@@ -72,3 +73,32 @@ def test_order_of_input_does_not_matter(spark):
     random.Random(5).shuffle(nodes)
     random.Random(6).shuffle(edges)
     assert solve(spark, nodes, edges, 1_000_000) == expected
+
+
+def rounds(monkeypatch):
+    """Names of the tables that a run stages."""
+    seen, real = [], graph.stage
+    monkeypatch.setattr(graph, "stage", lambda df, label: (seen.append(label), real(df, label))[1])
+    return seen
+
+
+def test_a_ladder_of_posts_with_two_parents_takes_few_rounds(spark, monkeypatch):
+    """Every post but the first two answers both posts of the rung above."""
+    seen = rounds(monkeypatch)
+    nodes = [(i, i, i in (0, 1)) for i in range(48)]
+    edges = [(i, j) for i in range(46) for j in ((i // 2 + 1) * 2, (i // 2 + 1) * 2 + 1)] + [(1, 0)]
+    assert solve(spark, nodes, edges, 1_000_000) == model(nodes, edges)
+    assert seen.count("owner-choice") <= 3 and seen.count("owner-round") <= 6
+
+
+def test_lower_roots_enter_a_ladder_half_way(spark, monkeypatch):
+    seen = rounds(monkeypatch)
+    nodes = [(i, 100 - i if i % 10 == 0 else 0, i % 10 == 0) for i in range(60)]
+    edges = [(i, i + 1) for i in range(59)] + [(i, i + 2) for i in range(58)]
+    assert solve(spark, nodes, edges, 1_000_000) == model(nodes, edges)
+    assert seen.count("owner-choice") <= 6
+
+
+def test_random_dense_graphs(spark):
+    nodes, edges, expected = graphs(60, 30, 90, 7)
+    assert solve(spark, nodes, edges, 1_000_000) == expected

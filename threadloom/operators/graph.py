@@ -2,8 +2,9 @@
 
 A node belongs to the lowest-ranked root that reaches it.  Long reply chains
 are folded by pointer doubling, so the number of rounds grows with the
-logarithm of the chain length; only nodes with several incoming edges, which
-real reply dumps hardly have, go through label propagation on a folded graph.
+logarithm of the chain length.  Nodes with several incoming edges, which real
+reply dumps hardly have, make up a folded graph: each of them follows its best
+edge, these edges are folded again, and so on until no other edge is better.
 """
 
 from __future__ import annotations
@@ -69,32 +70,36 @@ def _fold_chains(heads: DataFrame, active: DataFrame, rows: int, hot_rows: int)
 
 
 def _settle_heads(heads: DataFrame, inflow: DataFrame, inflow_rows: int, hot_rows: int) -> DataFrame:
-    """Lowest root reaching every head: (id, best), by propagation over folded edges.
+    """Lowest root reaching every head: (id, best), over folded edges.
 
     ``inflow`` rows (src, dst, best) say that head ``src`` leads into head
-    ``dst`` along a path whose lowest root is ``best``.  Only heads that just
-    improved offer their value to the next ones.
+    ``dst`` along a path whose lowest root is ``best``.  Every head picks the
+    edge that offers it most; those edges are chains again and are folded by
+    doubling, so a value runs along all of them in logarithmic rounds.  Heads
+    that an edge beside the chosen ones could still improve pick anew.  A value
+    only ever falls, and is not lost when a head changes its edge, so cycles of
+    chosen edges do no harm.
     """
-    def lowest(offers: list[DataFrame]) -> DataFrame:
-        return _union(offers).groupBy("id").agg(F.min("best").alias("best"))
-
     edges = inflow.filter("src is not null").select("src", "dst")
-    known = [heads, inflow.select(F.col("dst").alias("id"), "best")]
-    changed = lowest(known).filter("best is not null")
+    value = _union([heads, inflow.select(F.col("dst").alias("id"), "best")]).groupBy("id").agg(F.min("best").alias("best"))
+    value = stage(value, "owner-values")
     while True:
-        offers = (
-            salted_join(edges, changed.select(F.col("id").alias("from_id"), "best"),
-                        "src", "from_id", "inner", F.col("dst"), hot_rows, inflow_rows)
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.min("best").alias("offer"))
-        )
-        changed = stage(
-            offers.join(lowest(known), "id").filter("best is null or offer < best").select("id", F.col("offer").alias("best")),
-            "owner-offers",
-        )
-        if changed.isEmpty():
-            return lowest(known)
-        known.append(changed)
+        offers = salted_join(edges, value.select(F.col("id").alias("from_id"), "best"), "src", "from_id", "inner", F.col("dst"), hot_rows, inflow_rows)
+        chosen = offers.groupBy(F.col("dst").alias("to_id")).agg(F.min(F.struct(F.col("best").isNull().alias("none"), "best", "src")).alias("offer"))
+        better = F.col("offer.best").isNotNull() & (F.col("best").isNull() | (F.col("offer.best") < F.col("best")))
+        state = stage(
+            value.join(chosen, F.col("id") == F.col("to_id"), "left").select("id", F.col("offer.src").alias("ptr"), "best", better.alias("better")),
+            "owner-choice")
+        sizes = state.agg(F.count("ptr").alias("chained"), F.count_if("better").alias("better")).first()
+        if not sizes["better"]:
+            return value  # no edge offers anything: this choice is not folded
+        state = state.drop("better")
+        tops = state.filter("ptr is null")
+        folded = _fold_chains(tops, state.filter("ptr is not null"), sizes["chained"], hot_rows)
+        above = tops.select(F.col("id").alias("h_id"), F.col("best").alias("h_best"))
+        through = salted_join(folded, above, "ptr", "h_id", "left", F.col("id"), hot_rows, sizes["chained"]).select(
+            "id", _least(F.col("best"), F.col("h_best")).alias("best"))
+        value = stage(_union([tops.select("id", "best"), through]), "owner-values")
 
 
 def owners(nodes: DataFrame, edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
