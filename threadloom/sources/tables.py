@@ -7,19 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import INTENT, INTENT_MAP, POSTS
+from . import splits
 
 
 def read_posts_csv(spark: SparkSession, path: str, schema: T.StructType = POSTS) -> DataFrame:
-    """Flat posts with a header and quoted text that may span lines.
+    """Flat posts with a header and quoted text that may span lines; empty fields are null.
 
-    Quoted line breaks keep a file from being split, so large dumps should come
-    as many files; ``write_posts_csv`` writes them that way.  Empty fields are
-    null.
+    One file is read by many tasks, quoted line breaks or not.
     """
-    return (
-        spark.read.schema(schema).option("header", True).option("multiLine", True)
-        .option("quote", '"').option("escape", '"').csv(path)
-    )
+    return splits.read_csv(spark, path, schema)
 
 
 def write_posts_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
@@ -39,8 +35,8 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One document per file holding an array of objects."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """One document per file holding an array of objects; one document is read by many tasks."""
+    return splits.read_json_array(spark, path, schema)
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
