@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -104,3 +106,18 @@ def test_kappa(spark):
 def test_report_rounds_half_to_even(spark):
     frame = spark.createDataFrame([(0.125, 0.375)], "a double, b double")
     assert metrics.report_view(frame, 2).first().asDict() == {"a": 0.12, "b": 0.38}
+
+
+@pytest.mark.parametrize("r, n", [(0.0, 9), (0.31, 5), (-0.31, 12), (0.999, 6), (0.02, 40_000), (0.9, 200), (0.5, 3)])
+def test_p_value_is_the_tail_of_the_null_distribution(spark, r, n):
+    """By the substitution x = sin t the density of a correlation is that of cos(t) ** (n - 3)."""
+    grid = np.linspace(-math.pi / 2, math.pi / 2, 2_000_001)
+    density = np.exp((n - 3) * np.log(np.maximum(np.cos(grid), 1e-300)))
+    expected = density[np.abs(grid) >= math.asin(abs(r))].sum() / density.sum()
+    frame = spark.createDataFrame([(r, n)], "r double, n bigint")
+    assert frame.select(metrics.correlation_p_value(F.col("r"), F.col("n")).alias("p")).first()["p"] == pytest.approx(expected, abs=2e-5)
+
+
+def test_p_value_of_nothing(spark):
+    frame = spark.createDataFrame([(None, 9), (float("nan"), 9), (0.5, 2), (1.0, 9), (-1.0, 9)], "r double, n bigint")
+    assert [row[0] for row in frame.select(metrics.correlation_p_value(F.col("r"), F.col("n"))).collect()] == [None, None, None, 0.0, 0.0]

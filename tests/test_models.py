@@ -103,3 +103,13 @@ def test_trivial_and_mapping(spark):
     assert made["intent"]["intent"] == "alpha" and made["escalation"]["decision"] == "auto_handle"
     odd = baselines.with_intent(messages, taxonomy.filter("cluster_id = 3"), "id")
     assert {r["intent"] for r in odd.filter("cluster_id = 5").collect()} == {"cluster_5"}
+
+
+def test_optimality_tells_a_finished_fit_from_an_early_one(spark):
+    rows = [(i, f"{'red' if i % 3 else 'blue'} word{i % 7} thing{i % 5}", "a" if i % 3 else "b" if i % 2 else "c") for i in range(120)]
+    frame = spark.createDataFrame(rows, "id long, text string, label string")
+    fitted = baselines.fit_classifier(frame, "text", "label")
+    vectors = baselines.stage_vectors(frame, "text", "label", fitted.tfidf, fitted.indexer)
+    done = baselines.optimality(vectors, fitted.model).first()
+    early = baselines.optimality(vectors, baselines._regression(120).setMaxIter(2).fit(vectors)).first()
+    assert done.rows == 120 and done.classes == 3 and done.gap < 1e-4 and done.slope < 1e-3 and early.gap > 100 * done.gap

@@ -141,6 +141,32 @@ def stage_vectors(training: DataFrame, text_col: str, label: str, tfidf: TfidfMo
     return vectors.coalesce(max(1, math.ceil(vectors.count() / ROWS_PER_STEP_TASK)))
 
 
+def optimality(vectors: DataFrame, model: LogisticRegressionModel, strength: float = 1.0) -> DataFrame:
+    """One row (rows, classes, slope, gap): how far a fitted regression can be from its optimum.
+
+    The penalised mean loss has the curvature ``1 / (strength * rows)`` at least in all weights, so its gap to the
+    optimum is at most half the squared slope in them over that (``gap``); ``slope`` is the largest derivative by an
+    intercept, which is not penalised.  Derivatives are sums over rows, taken per class and term in one shuffle.
+    """
+    penalty = 1.0 / (strength * max(vectors.count(), 1))
+    probability, parts = vector_to_array(F.col("probability")), F.unwrap_udt("features")
+    off = F.transform(probability, lambda p, k: p - (k == F.col("target").cast("int")).cast("double"))
+    rows = model.transform(vectors).select(off.alias("off"), F.arrays_zip(
+        F.concat(parts["indices"], F.array(F.lit(-1))).alias("at"), F.concat(parts["values"], F.array(F.lit(1.0))).alias("x")).alias("terms"))
+    by_class = rows.select(F.posexplode("off").alias("k", "g"), "terms").select("k", "g", F.explode("terms").alias("t"))
+    sums = by_class.groupBy("k", F.col("t.at").alias("at")).agg(F.sum(F.col("g") * F.col("t.x")).alias("g"))
+    held = model.coefficientMatrix.toArray()
+    spark = vectors.sparkSession
+    weights = spark.createDataFrame([(k, at, float(w)) for k, row in enumerate(held) for at, w in enumerate(row) if w], "k int, at int, w double")
+    joined = sums.join(weights, ["k", "at"], "full").select(
+        "at", (F.coalesce("g", F.lit(0.0)) * penalty * strength + penalty * F.coalesce("w", F.lit(0.0))).alias("d"))
+    sizes = vectors.agg(F.count("*").alias("rows"), F.count_distinct("target").alias("classes"))
+    slopes = joined.agg(
+        F.coalesce(F.max(F.when(F.col("at") < 0, F.abs("d"))), F.lit(0.0)).alias("slope"),
+        (F.coalesce(F.sum(F.when(F.col("at") >= 0, F.col("d") * F.col("d"))), F.lit(0.0)) / (2 * penalty)).alias("gap"))
+    return sizes.crossJoin(slopes)  # one row each
+
+
 def cross_validation(
     training: DataFrame, id_col: str, text_col: str, label: str, folds: int = 5, stop_words=(), max_features: int = MAX_FEATURES
 ) -> DataFrame:

@@ -613,6 +613,30 @@ def cv_accuracy(spark, sf_dir):
     return rounded(baselines.cross_validation(_labelled(spark, sf_dir), "id", "text", "gold_intent", stop_words=fx.STOP_WORDS))
 
 
+@query
+def logreg_facts(spark, sf_dir):
+    """What must hold for the fitted regression: its sizes, answers, and how near its optimum it is."""
+    labelled = stage(_labelled(spark, sf_dir), "labelled")
+    fitted = baselines.fit_classifier(labelled, "text", "gold_intent", fx.STOP_WORDS)
+    vectors = baselines.stage_vectors(labelled, "text", "gold_intent", fitted.tfidf, fitted.indexer)
+    near = baselines.optimality(vectors, fitted.model)
+    rows = fitted.predict(labelled, "text")
+    answers = rows.agg(
+        F.count_if(~F.col("predicted_intent").isin(fitted.indexer.labels)).alias("unknown_answers"),
+        F.count_if((F.col("confidence") < 1 / len(fitted.indexer.labels) - 1e-9) | (F.col("confidence") > 1)).alias("impossible_confidences"),
+        (F.count_if(F.col("predicted_intent") == F.col("gold_intent")) >= F.count("*") / len(fitted.indexer.labels)).alias("beats_chance"))
+    return near.crossJoin(answers).select(  # one row each
+        "rows", "classes", (F.col("slope") < 1e-3).alias("flat"), (F.col("gap") < 1e-2).alias("optimal"), "unknown_answers", "impossible_confidences", "beats_chance")
+
+
+@query
+def cv_facts(spark, sf_dir):
+    """Rows of every fold, and whether its accuracy is a share of them."""
+    found = baselines.cross_validation(_labelled(spark, sf_dir), "id", "text", "gold_intent", stop_words=fx.STOP_WORDS)
+    right = F.col("accuracy") * F.col("rows")
+    return found.select(F.col("fold").cast("bigint").alias("fold"), "rows", ((F.abs(right - F.round(right)) < 1e-6) & (right >= 0) & (right <= F.col("rows"))).alias("is_share"))
+
+
 def _simple(spark, sf_dir) -> DataFrame:
     labelled = stage(_labelled(spark, sf_dir), "labelled")
     model = baselines.fit_classifier(labelled, "text", "gold_intent", fx.STOP_WORDS)
@@ -624,6 +648,22 @@ def simple_baseline(spark, sf_dir):
     return _simple(spark, sf_dir).select("id", "intent.intent", "reply.reply", *_decision("escalation"))
 
 
+@query
+def simple_baseline_facts(spark, sf_dir):
+    """Reply, its source and the decision of every row; the classifier's intent is one of the gold intents."""
+    labels = [r["gold_intent"] for r in _labelled(spark, sf_dir).select("gold_intent").distinct().collect()]
+    return _simple(spark, sf_dir).select("id", F.col("intent.intent").isin(labels).alias("known_intent"), "reply.reply", *_decision("escalation"))
+
+
+@query
+def baseline_batch_facts(spark, sf_dir):
+    """Both systems over the golden rows; the simple one's intent is only known to be one of the gold intents."""
+    long = baseline_batch(spark, sf_dir)
+    labels = [r["gold_intent"] for r in _labelled(spark, sf_dir).select("gold_intent").distinct().collect()]
+    intent = F.when(F.col("system") == "trivial", F.col("predicted_intent")).when(F.col("predicted_intent").isin(labels), "a gold intent")
+    return long.select("system", "id", "gold_intent", intent.alias("intent"), "predicted_reply", "predicted_escalation")
+
+
 @query
 def baseline_batch(spark, sf_dir):
     labelled = _labelled(spark, sf_dir)

@@ -382,6 +382,17 @@ CHECKS["brand_triage"] = with_(BRAND_THREADS, f"""SELECT CASE WHEN hit IS NULL T
 # --- rules --------------------------------------------------------------------
 CHECKS["rule_escalation"] = with_(["messages"], decision_sql(first_keyword_sql("lower(text)", rules.ESCALATION_RULES), "messages", "id"))
 CHECKS["rule_escalation_word"] = with_(["messages"], decision_sql(first_keyword_sql("lower(text)", rules.ESCALATION_RULES, "word"), "messages", "id"))
+KEYWORD_REASON = f"CASE WHEN hit IS NULL THEN {q(rules.KEYWORD_MISS_REASON)} ELSE 'Keyword trigger: ''' || split_part(hit, '|', 2) || '''' END"
+VIEWS["source_labelled"] = "source AS (SELECT id, text FROM labelled)"
+# The closest other labelled message of each; the lowest id where none shares a term.
+VIEWS["closest"] = f"""closest AS (
+    SELECT q.id, CASE WHEN score > 0 AND m.agent_response <> '' THEN m.agent_response ELSE {q(EMPTY_REPLY)} END AS reply FROM (
+        SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, other) AS n FROM (
+            SELECT a.id, b.id AS other, coalesce(s.score, 0) AS score FROM labelled a JOIN labelled b ON a.id <> b.id LEFT JOIN (
+                SELECT v.id, w.id AS other, round(sum(w.weight * v.weight), 9) AS score FROM weights v JOIN weights w USING (term) GROUP BY ALL) s
+                ON s.id = a.id AND s.other = b.id)) q JOIN labelled m ON m.id = q.other WHERE n = 1)"""
+VIEWS["keyworded"] = f"""keyworded AS (SELECT *, CASE WHEN hit IS NULL THEN 'auto_handle' ELSE 'escalate' END AS decision
+    FROM (SELECT *, {first_keyword_sql('lower(text)', {'keyword': rules.BASELINE_WORDS})} AS hit FROM labelled))"""
 CHECKS["keyword_escalation"] = with_(["messages"], f"""SELECT id, CASE WHEN hit IS NULL THEN 'auto_handle' ELSE 'escalate' END AS decision,
     CASE WHEN hit IS NULL THEN {q(rules.KEYWORD_MISS_REASON)} ELSE 'Keyword trigger: ''' || split_part(hit, '|', 2) || '''' END AS reason,
     CASE WHEN hit IS NULL THEN 0.6::DOUBLE ELSE 0.8::DOUBLE END AS confidence, 'keyword' AS trigger
@@ -466,6 +477,22 @@ CHECKS["cohen_kappa"] = with_(["scores", "pairs"], f"""SELECT dim, round((seen -
     SELECT dim, n, seen, (SELECT sum(h.c * j.c) FROM (SELECT dim, {BIN.format('human')} AS b, count(*) AS c FROM pairs GROUP BY ALL) h
         JOIN (SELECT dim, {BIN.format('judge')} AS b, count(*) AS c FROM pairs GROUP BY ALL) j ON j.dim = h.dim AND j.b = h.b WHERE h.dim = o.dim) / (n * n) AS chance
     FROM (SELECT dim, count(*) AS n, avg(({BIN.format('human')} = {BIN.format('judge')})::INT) AS seen FROM pairs GROUP BY dim) o)""")
+# p of a correlation: the share beyond |r| of cos(x)^(n - 3) over 0 to pi/2 (x = asin of the correlation), by Simpson's rule up to where it has vanished.
+P_STEPS = 4000
+
+
+def _tail(begin: str) -> str:
+    at = f"({begin} + ({{end}} - {begin}) * i / {P_STEPS}.0::DOUBLE)"
+    weight = f"CASE WHEN i = 0 OR i = {P_STEPS} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return f"(({{end}} - {begin}) * list_sum(list_transform(range({P_STEPS + 1}), lambda i: {weight} * exp((n_samples - 3) * ln(greatest(cos({at}), 1e-300))))))"
+
+
+_END = "least(pi() / 2, asin(abs(r)) + 12 / sqrt(n_samples - 3))"
+CHECKS["judge_calibration"] = with_(["scores", "pairs"], f""", told AS (SELECT dim, corr(human, judge) AS r, avg(abs(human - judge)) AS mae, count(*) AS n_samples FROM pairs GROUP BY dim HAVING count(*) >= 5),
+    kappa AS ({CHECKS["cohen_kappa"][CHECKS["cohen_kappa"].index("SELECT dim, round((seen"):]})
+    SELECT dim, round(r, 6) AS pearson_r, round(mae, 6) AS mae, n_samples,
+        round({_tail("asin(abs(r))").replace("{end}", _END)} / {_tail("0.0::DOUBLE").replace("{end}", "least(pi() / 2, 12 / sqrt(n_samples - 3))")}, 6) AS p_value, cohens_kappa
+    FROM told JOIN (SELECT dim, cohens_kappa FROM kappa) k USING (dim)""")
 
 # --- sampling -----------------------------------------------------------------
 CHECKS["proportional_sample"] = with_(["lengths", "bucketed"], f""", counts AS (
@@ -511,6 +538,16 @@ CHECKS["trivial_baseline"] = with_(LABELLED, f"""SELECT id, (SELECT label FROM m
     'auto_handle' AS decision, {q(TRIVIAL_REASON)} AS reason, 1.0::DOUBLE AS confidence, 'trivial' AS trigger FROM labelled""")
 CHECKS["majority_intent"] = with_(["messages", "taxonomy", "sizes"], """SELECT coalesce(intent_label, 'cluster_' || s.cluster_id) AS majority, s.cluster_id::BIGINT AS cluster_id, cluster_size AS n
     FROM (SELECT * FROM sizes ORDER BY cluster_size DESC, cluster_id LIMIT 1) s LEFT JOIN taxonomy t ON t.cluster_id = s.cluster_id""")
+CHECKS["logreg_facts"] = with_(LABELLED, """SELECT count(*) AS rows, count(DISTINCT gold_intent) AS classes, true AS flat, true AS optimal, 0::BIGINT AS unknown_answers,
+    0::BIGINT AS impossible_confidences, true AS beats_chance FROM labelled""")
+CHECKS["cv_facts"] = with_(LABELLED, f"""SELECT fold, count(*) AS rows, true AS is_share FROM (
+    SELECT (row_number() OVER (PARTITION BY gold_intent ORDER BY {draw('42', 'id')}, id) - 1) % 5 AS fold FROM labelled) GROUP BY fold""")
+SIMPLE = [*LABELLED, "source_labelled", "tokens", "terms", "vocabulary", "weights", "closest", "keyworded"]
+CHECKS["simple_baseline_facts"] = with_(SIMPLE, f"""SELECT id, true AS known_intent, reply, decision, {KEYWORD_REASON} AS reason,
+    CASE WHEN hit IS NULL THEN 0.6::DOUBLE ELSE 0.8::DOUBLE END AS confidence, 'keyword' AS trigger FROM keyworded JOIN closest USING (id)""")
+CHECKS["baseline_batch_facts"] = with_(SIMPLE, f"""SELECT 'trivial' AS system, id, gold_intent, (SELECT label FROM majority) AS intent, {q(TEMPLATE_REPLY)} AS predicted_reply,
+    'auto_handle' AS predicted_escalation FROM labelled
+    UNION ALL SELECT 'simple', id, gold_intent, 'a gold intent', reply, decision FROM keyworded JOIN closest USING (id)""")
 CHECKS["error_rows"] = with_(LABELLED, f"""SELECT id, CASE WHEN id % 10 = 7 THEN 'error' ELSE (SELECT label FROM majority) END AS intent,
     CASE WHEN id % 10 = 7 THEN '' ELSE {q(TEMPLATE_REPLY)} END AS reply, CASE WHEN id % 10 = 7 THEN 'escalate' ELSE 'auto_handle' END AS decision,
     CASE WHEN id % 10 = 7 THEN 'Error: broken ' || id ELSE {q(TRIVIAL_REASON)} END AS reason,
