@@ -41,11 +41,17 @@ def test_silent_models_fail_their_rows(spark):
     assert all(found[i][0] is None and found[i][1] == model_call.TRIES and found[i][2] for i in (1, 3, 5))
 
 
-@pytest.mark.parametrize("hot_rows", [10, 1000])
-def test_positions_agree_on_both_sides_of_the_size_switch(spark, hot_rows):
+@pytest.mark.parametrize("parts", [1, 7])
+def test_positions_agree_however_many_parts_there_are(spark, monkeypatch, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(ranks, "is_small", lambda df: parts == 1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     rows = [(None if i % 9 == 0 else "a" if i % 9 < 7 else "b", i * 7 % 45, i) for i in range(90)]
     frame = spark.createDataFrame(rows, "key string, at long, id long")
-    found = {r.id: r.place for r in ranks.ordered_positions(frame, "key", "at", "id", "place", hot_rows).collect()}
+    found = {r.id: r.place for r in ranks.ordered_positions(frame, "key", "at", "id", "place").collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     expected = {}
     for key in {r[0] for r in rows}:
         expected |= {i: n for n, (_, i) in enumerate(sorted((at, i) for k, at, i in rows if k == key), 1)}

@@ -77,19 +77,18 @@ def test_pages_split_a_hot_thread(spark):
         "role": F.lit("customer"), "text": F.lit("t"), "raw_text": F.lit("t"), "tweet_id": F.col("tid").cast("string"),
         "author_id": F.lit("u"), "created_at": F.lit("")})
     plain = sorted((a, t) for g, t, a in rows if g == 1)
-    for hot in (1_000_000, 20):
-        numbered = threads.numbered_messages(frame, hot).filter("thread_id = 1").collect()
-        assert {r["tid"]: r["place"] for r in numbered} == {t: n for n, (_, t) in enumerate(plain, 1)}
-        pages = threads.thread_pages(frame, 16, hot).filter("thread_id = 1").orderBy("page").collect()
-        assert [m["tweet_id"] for p in pages for m in p["messages"]] == [str(t) for _, t in plain]
-        assert max(len(p["messages"]) for p in pages) <= 16
+    numbered = threads.numbered_messages(frame).filter("thread_id = 1").collect()
+    assert {r["tid"]: r["place"] for r in numbered} == {t: n for n, (_, t) in enumerate(plain, 1)}
+    pages = threads.thread_pages(frame, 16).filter("thread_id = 1").orderBy("page").collect()
+    assert [m["tweet_id"] for p in pages for m in p["messages"]] == [str(t) for _, t in plain]
+    assert max(len(p["messages"]) for p in pages) <= 16
     assert numbered and len(pages) == -(-len(plain) // 16)
 
 
 def test_text_keys_split_as_well(spark):
     rows = [("g", f"k{i % 7}", i) for i in range(90)]
     frame = spark.createDataFrame(rows, "g string, k string, t bigint")
-    got = {r["t"]: r["n"] for r in ordered_positions(frame, "g", "k", "t", "n", hot_rows=10).collect()}
+    got = {r["t"]: r["n"] for r in ordered_positions(frame, "g", "k", "t", "n").collect()}
     assert got == {t: n for n, (_, _, t) in enumerate(sorted(rows, key=lambda r: (r[1], r[2])), 1)}
 
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import stage
-from .skew import HOT_ROWS
+from .skew import HOT_ROWS, is_small
 
 
 def bucketed_positions(
@@ -46,49 +46,24 @@ def hash_positions(
     return bucketed_positions(cut, keys, "_cut", [F.col(draw), *ties], out)
 
 
-def ordered_positions(
-    df: DataFrame,
-    key: str,
-    sort_key: str,
-    tie: str,
-    out: str,
-    hot_rows: int = HOT_ROWS,
-    cells_per_hot: int = 4,
-) -> DataFrame:
-    """Positions by (``sort_key``, ``tie``) within ``key``, splitting hot groups.
+def ordered_positions(df: DataFrame, key: str, sort_key: str, tie: str, out: str) -> DataFrame:
+    """1-based positions by (``sort_key``, ``tie``) within ``key``, whatever the size of a group.
 
-    A hot group is cut at quantiles taken from a hash-ordered sample of its own
-    rows.  The splits are staged, so every use of them sees the same values.
+    One range-partitioned sort by key and order spreads a group over as many
+    parts as it fills; a position is that in the part plus the group's rows in
+    earlier parts.  The counts are one row per part and group in it; joined by
+    both, no key has more rows than a part.
     """
-    sizes = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-    sizes = stage(sizes, "hot-groups")
-    largest = sizes.agg(F.max("_n")).first()[0]
-    if largest is None:
-        plain = Window.partitionBy(key).orderBy(sort_key, tie)
-        return df.withColumn(out, F.row_number().over(plain).cast("bigint"))
-
-    # Cells per group, so that all splits together stay within a few times rows / hot_rows.
-    most = cells_per_hot * (largest // hot_rows + 1)
-    wanted = F.least(F.lit(most), cells_per_hot * (F.floor(F.col("_n") / hot_rows) + 1))
-    drawn = Window.partitionBy(key).orderBy("_draw", tie)
-    sample = (
-        df.join(F.broadcast(sizes.withColumnRenamed(key, "_hot")), F.col(key).eqNullSafe(F.col("_hot")))
-        .select(key, "_n", F.struct(F.col(sort_key).alias("k"), F.col(tie).alias("t")).alias("_at"), tie)
-        .withColumn("_draw", F.xxhash64(tie))
-        .withColumn("_rn", F.row_number().over(drawn))
-        .filter((F.col("_rn") <= most) & (F.col("_rn") <= wanted))
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list("_at")).alias("_splits"))
-    )
-    splits = stage(sample, "hot-splits")
-    here = F.struct(F.col(sort_key).alias("k"), F.col(tie).alias("t"))
-    celled = (
-        df.join(F.broadcast(splits.withColumnRenamed(key, "_hot")), F.col(key).eqNullSafe(F.col("_hot")), "left")
-        .drop("_hot")
-        .withColumn("_bucket", F.coalesce(
-            F.size(F.filter("_splits", lambda s: s < here)), F.lit(0)))
-        .drop("_splits")
+    order = [key, sort_key, tie]
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    kept = stage(ranged, "ranged").withColumn("_part", F.shiftright("_at", 33))
+    counts = kept.groupBy(F.col(key).alias("_key"), F.col("_part").alias("_in")).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy("_key").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = stage(counts.select("_key", "_in", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")), "ranged-counts")
+    if is_small(shifts):
+        shifts = F.broadcast(shifts)
+    return (
+        kept.join(shifts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_in")))
+        .withColumn(out, F.col("_at") + F.col("_shift") + 1)
+        .drop("_key", "_in", "_shift", "_at", "_part")
     )
-    # size(null) is -1 without ANSI and null with it; both mean "not a hot group".
-    celled = celled.withColumn("_bucket", F.greatest(F.col("_bucket"), F.lit(0)))
-    return bucketed_positions(celled, [key], "_bucket", [F.col(sort_key), F.col(tie)], out)

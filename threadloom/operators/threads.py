@@ -143,12 +143,12 @@ def complete(threads: DataFrame) -> DataFrame:
     return threads.filter("num_turns >= 2 and num_customer_msgs > 0 and num_agent_msgs > 0")
 
 
-def numbered_messages(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def numbered_messages(messages: DataFrame) -> DataFrame:
     """Messages with their 1-based place in the thread, without large groups."""
-    return ordered_positions(messages, "thread_id", "at", "tid", "place", hot_rows)
+    return ordered_positions(messages, "thread_id", "at", "tid", "place")
 
 
-def thread_pages(messages: DataFrame, page_size: int = PAGE_SIZE, hot_rows: int = HOT_ROWS) -> DataFrame:
+def thread_pages(messages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Nested messages in order, in pages of at most ``page_size``.
 
     Ordinary threads fit on page 0; a viral thread becomes many bounded rows
@@ -156,20 +156,20 @@ def thread_pages(messages: DataFrame, page_size: int = PAGE_SIZE, hot_rows: int
     """
     message = F.struct("place", "role", "text", "raw_text", "tweet_id", "author_id", "created_at")
     return (
-        numbered_messages(messages, hot_rows)
+        numbered_messages(messages)
         .withColumn("page", F.floor((F.col("place") - 1) / page_size))
         .groupBy("thread_id", "page")
         .agg(F.array_sort(F.collect_list(message)).alias("messages"))
     )
 
 
-def thread_rows(messages: DataFrame, page_size: int = PAGE_SIZE, hot_rows: int = HOT_ROWS) -> DataFrame:
+def thread_rows(messages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Threads as they are written: first texts and counts beside the nested messages.
 
     A thread of up to ``page_size`` messages is one row (page 0); a longer one
     has a row per page, each with the counts of the whole thread.
     """
-    return thread_pages(messages, page_size, hot_rows).join(thread_summaries(messages), "thread_id")
+    return thread_pages(messages, page_size).join(thread_summaries(messages), "thread_id")
 
 
 def context_slice(messages: DataFrame, first: int = 6) -> DataFrame:
