@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from threadloom.plans import workflow
 from threadloom.schemas import POSTS
+from threadloom.sources.stages import Stages
 
 TOPICS = ["battery dies while charging the phone", "refund for my subscription payment", "screen is broken and cracked"]
 
@@ -45,3 +46,38 @@ def test_from_posts_to_report(spark):
     assert report["intent_metrics"][0]["accuracy"] == 1.0 and report["escalation_metrics"][0]["escalation_recall"] == 0.0
     assert {d["dim"]: d["mean"] for d in report["judge_summary"]}["tone"] == 4.0
     assert {d["difficulty"]: d["mean"] for d in report["overall_score"]}["overall"] == 4.5
+
+
+def stored(spark, ids):
+    rows = []
+    for i, key in enumerate(ids):
+        rows += [("intent", key, '{"intent": "device_issue", "confidence": 0.9, "reasoning": "r"}'), ("reply", key, '{"reply": "try this", "strategy": "s"}'),
+                 ("escalation", key, '{"decision": "auto_handle", "reason": "plain", "confidence": 0.6}'),
+                 ("judge", key, '{"relevance": {"score": %d}, "tone": {"score": 4}, "actionability": {"score": 4}, "grounding": {"score": 4}, "safety": {"score": 5}, "overall_score": 4.0}' % (1 + i % 5))]
+    return spark.createDataFrame([r for r in rows if r[:2] != ("judge", ids[0])], "step string, id string, response string")
+
+
+def test_one_flow_over_stored_answers(spark, tmp_path):
+    raw_posts(spark).write.parquet(str(tmp_path / "posts"))
+    posts = spark.read.parquet(str(tmp_path / "posts"))
+    answers = stored(spark, [f"golden_{i:03d}" for i in range(1, 13)])
+
+    def run():
+        return workflow.analyse(posts, "brand", answers, Stages(spark, str(tmp_path / "stages")), size=40, target=12, ks=[3], restarts=1)
+
+    done = run()
+    assert not any(done.reused.values())
+    report = done.report.first()
+    assert report["golden_set_size"] == 12 and {r["system"] for r in report["intent_metrics"]} == {"agent", "trivial", "simple"}
+    rows = {(r["system"], r["id"]): r for r in done.predictions.collect()}
+    assert len(rows) == 36
+    agent = [r for (system, _), r in rows.items() if system == "agent"]
+    assert {r["predicted_intent"] for r in agent} <= {r["intent_label"] for r in done.taxonomy.collect()} and {r["predicted_reply"] for r in agent} == {"try this"}
+    judged = {r["id"]: r for r in done.judged.collect()}
+    assert judged["golden_001"]["overall_score"] == 0.0 and judged["golden_003"]["relevance"]["score"] == 3  # a missing answer is a failed row
+
+    again = run()
+    assert all(again.reused.values()) and again.report.first() == report
+    posts.limit(150).write.mode("append").parquet(str(tmp_path / "posts2"))
+    other = workflow.analyse(spark.read.parquet(str(tmp_path / "posts2")), "brand", answers, Stages(spark, str(tmp_path / "stages")), size=40, target=12, ks=[3], restarts=1)
+    assert not any(other.reused.values())

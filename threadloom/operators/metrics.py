@@ -48,10 +48,13 @@ def normalize_predictions(predictions: DataFrame) -> DataFrame:
 
 
 def align(gold: DataFrame, predictions: DataFrame, id_col: str = "id") -> DataFrame:
-    """Inner join on id; a prediction without gold (or the reverse) is left out."""
+    """Inner join on id; a prediction without gold (or the reverse) is left out.
+
+    Many predictions of one id are spread by what else they hold.
+    """
+    others = [F.col(f"`{c}`") for c in predictions.columns if c != id_col]
     return salted_join(
-        predictions, gold.withColumnRenamed(id_col, "_gold_id"), id_col, "_gold_id", "inner",
-        F.col("system") if "system" in predictions.columns else F.col(id_col))
+        predictions, gold.withColumnRenamed(id_col, "_gold_id"), id_col, "_gold_id", "inner", F.xxhash64(*others) if others else F.col(id_col))
 
 
 def unmatched(gold: DataFrame, predictions: DataFrame, id_col: str = "id") -> DataFrame:

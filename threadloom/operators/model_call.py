@@ -30,10 +30,11 @@ def call_model(
 ) -> DataFrame:
     """(id, response, in_tokens, out_tokens, attempts, error), written before use.
 
-    ``complete`` gets one Arrow batch at a time.  Rows that fail are tried again
-    or that it leaves out are tried again after ``wait`` and twice ``wait`` seconds; the last try of the ``pipeline``
-    kind asks for the ``fallback`` model.  The result is staged, so later steps
-    never repeat a call.
+    ``complete`` gets one Arrow batch at a time.  Rows that fail, or that it leaves
+    out, are tried again after ``wait`` and twice ``wait`` seconds; the last try of
+    the ``pipeline`` kind asks for the ``fallback`` model.  Of the answers to one id the
+    first counts, and answers to ids that were not asked do not.  The result is
+    staged, so later steps never repeat a call.
     """
     key = prompts.schema[id_col].dataType
     schema = T.StructType([
@@ -42,7 +43,8 @@ def call_model(
 
     def attempt(rows: pd.DataFrame, model: str) -> pd.DataFrame:
         try:
-            return complete(rows, model)[["id", "response", "in_tokens", "out_tokens", "error"]]
+            answers = complete(rows, model)[["id", "response", "in_tokens", "out_tokens", "error"]]
+            return answers[answers["id"].isin(rows["id"])].drop_duplicates("id")
         except Exception as problem:  # a failing batch fails all its rows
             return rows[["id"]].assign(response=None, in_tokens=0, out_tokens=0, error=str(problem))
 
@@ -71,6 +73,15 @@ def call_model(
     return stage(asked.mapInPandas(run, schema).select(*[f.name for f in schema.fields]), "model-answers")
 
 
+def stored_answers(prompts: DataFrame, answers: DataFrame, step: str, id_col: str = "id") -> DataFrame:
+    """(id, response, error) from answers that are there already: rows (step, id, response), one per step and id.
+
+    A row without one is an error row, as if the call had failed.
+    """
+    own = answers.filter(F.col("step") == step).select(F.col("id").alias(id_col), "response")
+    return prompts.select(id_col).join(own, id_col, "left").withColumn("error", F.when(F.col("response").isNull(), "no stored answer"))
+
+
 def usage(calls: DataFrame) -> DataFrame:
     """Successful calls and their tokens."""
     fine = calls.filter("error is null")

@@ -199,12 +199,11 @@ def top_k_sparse(
 ) -> DataFrame:
     """(query_id, corpus_id, score, rank) of the k corpus rows with the largest dot products.
 
-    Vectors are Spark ML sparse vectors without negative values, e.g. TF-IDF weights; ids of both sides are of one type
-    and unique.  ``exclude_same`` leaves out the corpus row with the query's own id.
+    Vectors are Spark ML sparse vectors without negative values, e.g. TF-IDF weights; ids are unique on each side (of
+    one type with ``exclude_same``).  ``exclude_same`` leaves out the corpus row with the query's own id.
     """
-    id_type = corpus.schema[corpus_id].dataType
     schema = T.StructType([
-        T.StructField("query_id", id_type), T.StructField("corpus_id", id_type), T.StructField("score", T.DoubleType())])
+        T.StructField("query_id", queries.schema[query_id].dataType), T.StructField("corpus_id", corpus.schema[corpus_id].dataType), T.StructField("score", T.DoubleType())])
     queries = queries.select(F.col(query_id).alias("query_id"), *parts(F.col(query_vec)))
     corpus = corpus.select(F.col(corpus_id).alias("corpus_id"), *parts(F.col(corpus_vec)))
     queries, corpus = stage(queries, "sparse-queries"), stage(corpus, "sparse-corpus")

@@ -217,14 +217,13 @@ def top_k(
 ) -> DataFrame:
     """(query_id, corpus_id, score, rank) of the k nearest corpus rows per query.
 
-    ``queries`` has (query_id, vector), ``corpus`` (corpus_id, vector), vectors of ``size`` doubles and ids of one type,
-    unique on each side.  ``exclude_same`` leaves out the corpus row with the query's own id; ``unit`` scales the vectors
+    ``queries`` has (query_id, vector), ``corpus`` (corpus_id, vector), vectors of ``size`` doubles and ids
+    that are unique on each side (of one type with ``exclude_same``).  ``exclude_same`` leaves out the corpus row with the query's own id; ``unit`` scales the vectors
     first, otherwise the score is their dot product.
     """
     query_rows = max(1, block_bytes // (8 * size))
-    id_type = corpus.schema["corpus_id"].dataType
     schema = T.StructType([
-        T.StructField("query_id", id_type), T.StructField("corpus_id", id_type), T.StructField("score", T.DoubleType())])
+        T.StructField("query_id", queries.schema["query_id"].dataType), T.StructField("corpus_id", corpus.schema["corpus_id"].dataType), T.StructField("score", T.DoubleType())])
     queries, corpus = queries.select("query_id", "vector"), corpus.select("corpus_id", "vector")
 
     if queries.limit(query_rows + 1).count() <= query_rows:

@@ -11,7 +11,7 @@ from ..schemas import INTENT
 from ..session import stage
 from . import prompts
 from .clustering import topic_taxonomy
-from .model_call import Complete, call_model, escalation_answer, intent_answer, judge_rows, reply_answer
+from .model_call import Complete, call_model, escalation_answer, intent_answer, judge_rows, reply_answer, stored_answers
 from .rules import lower_with, rule_escalation, taxonomy_escalation, taxonomy_keywords, three_phase, undecided
 from .metrics import align
 from .skew import salted_join
@@ -51,7 +51,7 @@ def similar_threads(found: DataFrame, keep: int = KEPT) -> DataFrame:
 
 
 def triage(
-    messages: DataFrame, corpus: DataFrame, taxonomy: DataFrame, labels: list[str] | None, complete: Complete, brand: str,
+    messages: DataFrame, corpus: DataFrame, taxonomy: DataFrame, labels: list[str] | None, complete: Complete | DataFrame, brand: str,
     id_col: str = "id", text_col: str = "text", exclude_same: bool = False,
     match: str = "substring", sleep: Callable[[float], None] | None = None,
 ) -> DataFrame:
@@ -59,17 +59,21 @@ def triage(
 
     The model is asked for intents and replies of all messages, and for a
     decision only where neither a rule nor the taxonomy gives one.  Without
-    ``labels`` those of the taxonomy are allowed.
+    ``labels`` those of the taxonomy are allowed.  In place of a model, ``complete``
+    may be a table of its answers: (step, id, response) with the steps intent,
+    reply and escalation.
     """
     extra = {"sleep": sleep} if sleep else {}
     labels = [label for label, _ in taxonomy_keywords(taxonomy)] if labels is None else labels
 
-    def ask(frame: DataFrame, system: str) -> DataFrame:
+    def ask(frame: DataFrame, step: str, system: str) -> DataFrame:
+        if isinstance(complete, DataFrame):
+            return stored_answers(frame, complete, step, id_col)
         calls = call_model(frame, complete, "pipeline", id_col, "prompt", system, **extra)
         return calls.select(id_col, "response", "error")
 
     classified = (
-        messages.join(ask(prompts.classify_prompts(messages, taxonomy, text_col), prompts.CLASSIFY_SYSTEM), id_col, "left")
+        messages.join(ask(prompts.classify_prompts(messages, taxonomy, text_col), "intent", prompts.CLASSIFY_SYSTEM), id_col, "left")
         .withColumn("intent", intent_answer(F.col("response"), F.col("error"), labels))
         .drop("response", "error")
     )
@@ -79,7 +83,7 @@ def triage(
         "prompt", prompts.reply_prompt(F.col(text_col), F.col("intent.intent"), F.col("grounding_text"))), "grounded")
     sources = F.coalesce("grounding_sources", F.array().cast("array<string>"))
     replied = (
-        grounded.drop("prompt").join(ask(grounded, prompts.REPLY_SYSTEM.format(brand=brand)), id_col, "left")
+        grounded.drop("prompt").join(ask(grounded, "reply", prompts.REPLY_SYSTEM.format(brand=brand)), id_col, "left")
         .withColumn("reply", reply_answer(F.col("response"), F.col("error"), sources))
         .drop("response", "error", "grounding_text", "grounding_sources")
     )
@@ -88,7 +92,7 @@ def triage(
     ruled = stage(taxonomy_escalation(ruled, taxonomy, "_label", id_col).drop("_label"), "ruled")
     open_rows = ruled.filter(undecided(F.col("rule"), F.col("taxonomy"))).withColumn(
         "prompt", prompts.escalation_prompt(F.col(text_col), F.col("intent.intent"), F.col("reply.reply")))
-    decided = ruled.join(ask(open_rows, prompts.ESCALATE_SYSTEM), id_col, "left").withColumn(
+    decided = ruled.join(ask(open_rows, "escalation", prompts.ESCALATE_SYSTEM), id_col, "left").withColumn(
         "escalation", three_phase(F.col("rule"), F.col("taxonomy"), escalation_answer(F.col("response"), F.col("error"))))
     best = similar_threads(found).withColumnRenamed("query_id", id_col)
     return decided.join(best, id_col, "left").select(
@@ -120,11 +124,12 @@ def label_clusters(
 
 
 def judge(
-    golden: DataFrame, predictions: DataFrame, complete: Complete, sleep: Callable[[float], None] | None = None
+    golden: DataFrame, predictions: DataFrame, complete: Complete | DataFrame, sleep: Callable[[float], None] | None = None
 ) -> DataFrame:
     """Rubric scores of the drafted replies, with the golden id and difficulty.
 
     Rows are aligned by id; a golden row without prediction is not judged.
+    ``complete`` may be a table of answers (step judge), as in ``triage``.
     """
     extra = {"sleep": sleep} if sleep else {}
     pairs = align(
@@ -132,6 +137,6 @@ def judge(
         predictions.select("id", "intent", "reply"))
     asked = pairs.withColumn("prompt", prompts.judge_prompt(
         F.col("customer_message"), F.col("reply.reply"), F.col("intent.intent"), F.col("agent_actual_response")))
-    calls = call_model(asked, complete, "judge", system=prompts.JUDGE_SYSTEM, **extra)
-    graded = judge_rows(calls).drop("response", "error", "in_tokens", "out_tokens", "attempts")
+    calls = stored_answers(asked, complete, "judge") if isinstance(complete, DataFrame) else call_model(asked, complete, "judge", system=prompts.JUDGE_SYSTEM, **extra)
+    graded = judge_rows(calls.select("id", "response", "error")).drop("response", "error")
     return graded.join(pairs.select("id", "difficulty"), "id")

@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,7 +122,16 @@ class Stages:
 
     def keep(self, name: str, df: DataFrame, version: str = "") -> Stage:
         """The table of ``df``: read if a stage of the same fingerprint is there, else built and written."""
-        path = f"{self.folder}/{name}/{self.fingerprint(df, version)}"
+        return self._found(f"{self.folder}/{name}/{self.fingerprint(df, version)}", lambda: df)
+
+    def named(self, name: str, known: str, make: Callable[[], DataFrame]) -> Stage:
+        """The table that ``make`` makes from what ``known`` describes in full; it is called only if there is none.
+
+        For tables whose making runs jobs of its own, so that asking for their plan would be work already.
+        """
+        return self._found(f"{self.folder}/{name}/{hashlib.sha256(known.encode()).hexdigest()[:32]}", make)
+
+    def _found(self, path: str, make: Callable[[], DataFrame]) -> Stage:
         reused = True
         while not self._exists(f"{path}/_SUCCESS"):
             if not self._lease(path):
@@ -129,12 +139,12 @@ class Stages:
                 continue
             try:
                 if not self._exists(f"{path}/_SUCCESS"):
-                    df.write.mode("overwrite").parquet(path)
+                    make().write.mode("overwrite").parquet(path)
                     reused = False
             finally:
                 self._release(path)
         self._write(f"{path}.used", str(time.time()), True)
-        return Stage(self.spark.read.schema(df.schema).parquet(path), path, reused)
+        return Stage(self.spark.read.parquet(path), path, reused)
 
     def expire(self, seconds: float) -> list[str]:
         """Remove the stages that were not used for ``seconds`` and are not being built; their paths."""
