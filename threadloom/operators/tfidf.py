@@ -11,7 +11,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,6 +25,11 @@ MAX_FEATURES = 5000
 PRUNE_FACTOR = 4
 
 
+def english_stop_words() -> list[str]:
+    """The list that Spark ships."""
+    return StopWordsRemover.loadDefaultStopWords("english")
+
+
 def tokens(text: Column, stop_words: Sequence[str] = ()) -> Column:
     """Lower-cased runs of two or more word characters, stop words removed."""
     found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"{WORD}{{2,}}"), F.lit(0))

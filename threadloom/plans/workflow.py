@@ -17,6 +17,7 @@ from ..functions.text import difficulty, is_adversarial
 from ..operators import baselines, clustering, metrics, sampling, threads, triage
 from ..operators.model_call import Complete
 from ..operators.skew import HOT_ROWS
+from ..operators.tfidf import english_stop_words
 from ..session import stage
 from ..sources.stages import Stages
 
@@ -87,11 +88,12 @@ def evaluate(golden: DataFrame, predictions: DataFrame, judge: DataFrame) -> Dat
 
 def compare_systems(
     golden: DataFrame, messages: DataFrame, taxonomy: DataFrame, complete: Complete | DataFrame, brand: str, labels: Sequence[str] | None = None,
+    stop_words: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Triage of the golden rows and both baselines, as one long table of predictions, and the judged triage replies.
 
     ``messages`` are clustered messages with embeddings.  Golden rows are neither neighbours nor training rows of
-    anybody.  ``complete`` is the model, or a table of its stored answers.
+    anybody.  ``complete`` is the model, or a table of its stored answers; ``stop_words`` are Spark's English ones if not given.
     """
     vectors = messages.select(F.col("thread_id").alias("_thread"), "embedding")
     asked = stage(golden.join(vectors, F.col("thread_id") == F.col("_thread")).drop("_thread").withColumn("text", F.col("customer_message")), "golden-asked")
@@ -100,7 +102,7 @@ def compare_systems(
     corpus = stage(baselines.with_intent(corpus, taxonomy, "thread_id"), "training-messages")
     agent = stage(triage.triage(asked.select("id", "text", "embedding"), corpus, taxonomy, list(labels) if labels else None, complete, brand), "triage")
     trivial = baselines.trivial_predictions(golden, corpus, taxonomy=taxonomy)
-    classifier = baselines.fit_classifier(corpus, "text", "intent")
+    classifier = baselines.fit_classifier(corpus, "text", "intent", english_stop_words() if stop_words is None else stop_words)
     simple = baselines.simple_predictions(
         golden.select("id", F.col("customer_message").alias("text")), corpus, classifier, "id", "text", "thread_id", "text", "agent_response")
     predictions = baselines.flat_predictions(agent, "agent", "id")
