@@ -168,3 +168,36 @@ def test_nearest_reply(spark):
     assert got == {100: (1, EMPTY_REPLY, True), 101: (0, EMPTY_REPLY, False), 102: (3, "answer 3", True)}
     first = {r["query_id"]: r["reply"] for r in nearest_reply(*args, first_row_on_no_match=True).collect()}
     assert first[101] == "answer 0"
+
+
+def test_later_tiles_leave_few_rows():
+    """Once bars stand, tiles leave what can still be among the k best, not k rows a tile; equal vectors count k times."""
+    data = np.random.default_rng(2).normal(size=(20000, 16))
+    data[9000:9900] = data[3]
+    best = topk.Best(np.arange(50), data[:50], 5, True)
+    best.add(np.arange(20000), data, 100)
+    found = best.result()
+    scores = np.round(data[:50] @ data.T, 9)
+    scores[np.arange(50), np.arange(50)] = -np.inf
+    expected = [(q, c) for q in range(50) for c in np.lexsort((np.arange(20000), -scores[q]))[:5]]
+    assert list(zip(found["query_id"], found["corpus_id"])) == expected
+    again = topk.Best(np.arange(50), data[:50], 5, True, found.groupby("query_id")["score"].min().to_numpy())
+    again.add(np.arange(20000), data, 100)
+    assert 250 <= again.waiting < 260
+    assert len(topk._few_copies(np.arange(900), data[9000:9900], 5)) == 6
+
+
+def test_large_work_is_spread_over_tasks(spark, monkeypatch):
+    """A corpus in one part is dealt out by its scores, and blocks of queries become as small as the cores need them."""
+    monkeypatch.setattr(topk, "TASK_SCORES", 2000 * 100)
+    corpus = vectors(spark, clustered(2000, 3)).coalesce(1).selectExpr("id as corpus_id", "cast(v as array<double>) as vector")
+    assert topk._spread(corpus, 300).rdd.getNumPartitions() == 3
+    assert topk._spread(corpus, 100).rdd.getNumPartitions() == 1
+
+
+def test_null_component_hides_no_cell(spark):
+    """A vector without a norm takes no part; the other rows of its cell do."""
+    data = [[float(x) for x in row] for row in clustered(60, 3)] + [[None] + [1.0] * 7]
+    frame = spark.createDataFrame(list(enumerate(data)), "id bigint, v array<float>")
+    whole = sorted(map(tuple, top_k_dense(frame.filter("id < 60"), frame.filter("id < 60"), "id", "id", "v", "v", 3).collect()))
+    assert sorted(map(tuple, top_k_dense(frame, frame, "id", "id", "v", "v", 3, block_bytes=64 * 20, cell_rows=20).collect())) == whole
