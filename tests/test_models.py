@@ -113,3 +113,17 @@ def test_optimality_tells_a_finished_fit_from_an_early_one(spark):
     done = baselines.optimality(vectors, fitted.model).first()
     early = baselines.optimality(vectors, baselines._regression(120).setMaxIter(2).fit(vectors)).first()
     assert done.rows == 120 and done.classes == 3 and done.gap < 1e-4 and done.slope < 1e-3 and early.gap > 100 * done.gap
+
+
+def test_kmeans_models_advance_together(spark, blobs, monkeypatch):
+    """One scan moves the centres of every model; the partial sums may be added up in several steps."""
+    monkeypatch.setattr(clustering, "COLLECTED_PARTS", 2)
+    calls, plain = [], clustering._round
+    monkeypatch.setattr(clustering, "_round", lambda blocks, models, parts: calls.append(len(models)) or plain(blocks, models, parts))
+    model = clustering.fit_kmeans(blobs.repartition(5), "v", [3], restarts=4)[3]
+    assert calls[0] == 4 and len(calls) < 30
+    rows = np.array([r["v"] for r in blobs.collect()], float)
+    nearest = ((rows[:, None] - model.centres[None]) ** 2).sum(axis=2)
+    assert model.cost == pytest.approx(nearest.min(axis=1).sum(), rel=1e-6)
+    for c in range(3):
+        assert model.centres[c] == pytest.approx(rows[nearest.argmin(axis=1) == c].mean(axis=0), abs=1e-4)
