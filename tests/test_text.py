@@ -87,3 +87,13 @@ def test_has_words_agrees_with_the_count(spark):
     counts = apply(spark, tx.word_count, values)
     for n in (1, 2, 3, 4, 5):
         assert apply(spark, lambda c: tx.has_words(c, n), values) == [c >= n for c in counts]
+
+
+def test_normalized_evaluates_its_vector_once(spark):
+    """The length is bound outside the lambda over the components, so the vector's expression stands in the plan once."""
+    from threadloom.functions.vectors import normalized
+
+    frame = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],), (None,)], "v array<double>")
+    made = frame.select(normalized(F.transform("v", lambda x: x + F.lit(0.0))).alias("n"))
+    assert [r["n"] for r in made.collect()] == [[3 / (5 + 1e-8), 4 / (5 + 1e-8)], [0.0, 0.0], None]
+    assert str(made._jdf.queryExecution().optimizedPlan()).count("+ 0.0)") == 1
