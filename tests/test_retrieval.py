@@ -201,3 +201,22 @@ def test_null_component_hides_no_cell(spark):
     frame = spark.createDataFrame(list(enumerate(data)), "id bigint, v array<float>")
     whole = sorted(map(tuple, top_k_dense(frame.filter("id < 60"), frame.filter("id < 60"), "id", "id", "v", "v", 3).collect()))
     assert sorted(map(tuple, top_k_dense(frame, frame, "id", "id", "v", "v", 3, block_bytes=64 * 20, cell_rows=20).collect())) == whole
+
+
+def test_frequent_terms_are_no_postings(monkeypatch):
+    """Terms that many rows hold are scored by a product: the work on postings does not grow with them."""
+    rng = np.random.default_rng(4)
+    at = pd.Series([np.append(np.arange(40), 40 + rng.integers(0, 400, 2)) for _ in range(500)]).map(np.unique)
+    value = at.map(lambda a: rng.uniform(0.5, 1, len(a)))
+    index = sparse_topk.Index(np.arange(500), at, value)
+    seen, plain = [], sparse_topk._within
+    monkeypatch.setattr(sparse_topk, "_within", lambda counts: seen.append(int(counts.sum())) or plain(counts))
+    queries = sparse_topk.Queries.of(pd.DataFrame({"query_id": np.arange(500), "at": at, "value": value, "bar": 0.0}))
+    found = index.best(queries, 1, True)
+    dense = np.zeros((500, 440))
+    for i, (a, v) in enumerate(zip(at, value)):
+        dense[i, a] = v
+    scores = np.round(dense @ dense.T, 9)
+    np.fill_diagonal(scores, -1)
+    assert list(found[found["score"] > 0].sort_values("query")["corpus_id"]) == list(scores.argmax(axis=1))
+    assert sum(seen) < 500 * 500 / 10

@@ -1,10 +1,9 @@
 """Exact top-k by the dot product of sparse non-negative vectors, with an inverted index and upper bounds.
 
 A task turns the corpus rows it scans into an inverted index per block: the postings of each term, and its largest
-weight in the block.  A query goes through its terms from the rarest on.  Once the terms that are left cannot lift a
-row over the query's k-th best score so far (the bar), rows that only they would add are never looked at, and of the
-rows met so far only those that can still reach the bar are completed.  A block that cannot reach the bar is skipped.
-No vector is ever spread over all terms.
+weight in the block; terms that many rows of the block hold stand in a matrix as well.  A query is scored against a block
+by one product for those terms and by the postings of its rarer ones.  Only rows that reach its k-th best score so far
+(the bar) are listed; a block that cannot reach the bar is skipped.  No vector is ever spread over all terms.
 
 Bars start from a join: the postings of a query's rarest terms give partial scores, and the k-th best of those is a
 lower bound of the k-th best score.  What bars leave out is below the result, so the result is exact.
@@ -28,10 +27,14 @@ SCORE_DIGITS = 9
 # What rounding can add to a score.
 SLACK = 2e-9
 # Bytes of queries that may be sent to every task, and of one query entry.
-BLOCK_BYTES, ENTRY_BYTES = 64 << 20, 16
+BLOCK_BYTES, ENTRY_BYTES = 32 << 20, 16
 CORPUS_BLOCK_ROWS = 50_000
+# (query block, corpus block) pairs per core at least.
+BLOCKS_PER_CORE = 4
 # Corpus rows of one inverted index, and (query, posting) entries worked on at once.
 INDEX_ROWS, ENTRIES = 4096, 4 << 20
+# Terms in one of so many rows of a block stand in its matrix; more rows than so many times k get a bar of their own.
+DENSE_SHARE, MANY = 16, 16
 # A term is rare enough to seed bars up to this many postings; a query uses so many of its rarest terms.
 SEED_POSTINGS, SEED_TERMS = 1000, 4
 
@@ -79,61 +82,61 @@ class Index:
         rows = np.repeat(np.arange(len(ids)), counts)
         order = np.lexsort((rows, terms))
         self.ids, self.rows, self.weights = ids, rows[order], weights[order]
-        self.keys = terms[order] * len(ids) + self.rows
         self.terms, self.first = np.unique(terms[order], return_index=True)
         self.counts = np.diff(np.append(self.first, len(terms)))
         self.top = np.maximum.reduceat(self.weights, self.first) if len(self.first) else np.zeros(0)
+        # terms of many rows stand in a matrix as well
+        often = np.flatnonzero(self.counts * DENSE_SHARE >= len(ids))
+        self.column = np.full(len(self.terms), -1)
+        self.column[often] = np.arange(len(often))
+        column = np.repeat(self.column, self.counts)
+        self.often = np.zeros((len(often), len(ids)))
+        self.often[column[column >= 0], self.rows[column >= 0]] = self.weights[column >= 0]
 
     def best(self, queries: Queries, k: int, exclude_same: bool) -> pd.DataFrame:
         """(query, corpus_id, score): all rows of the block that may be among a query's k best; ``query`` is its place."""
         n = len(self.ids)
         place = np.minimum(np.searchsorted(self.terms, queries.terms), max(len(self.terms) - 1, 0))
         met = np.flatnonzero(self.terms[place] == queries.terms) if len(self.terms) else np.zeros(0, np.int64)
-        place = place[met]
-        # a query's entries from the rarest term on, and what they and all later ones can add
-        order = np.lexsort((self.counts[place], queries.owner[met]))
-        owner, place, weight = queries.owner[met][order], place[order], queries.weights[met][order]
-        bound = weight * self.top[place]
-        total = np.bincount(owner, bound, minlength=len(queries.ids))
-        before = np.cumsum(bound) - bound
-        begin = np.searchsorted(owner, owner, "left")
-        left = total[owner] - (before - before[begin]) if len(owner) else before
-        needed = left + SLACK >= queries.bars[owner]
+        owner, place, weight = queries.owner[met], place[met], queries.weights[met]
+        # a block that cannot lift a row over a query's bar is skipped by it
+        total = np.bincount(owner, weight * self.top[place], minlength=len(queries.ids))
+        mine = np.flatnonzero(total[owner] + SLACK >= queries.bars[owner])
+        owner, place, weight = owner[mine], place[mine], weight[mine]
         out = [self._zeros(queries, k, exclude_same)]
-        mine = np.flatnonzero(needed)
-        starts = np.flatnonzero(np.append(True, owner[mine][1:] != owner[mine][:-1]))[:len(mine)]
-        work = np.add.reduceat(self.counts[place[mine]], starts).cumsum() if len(mine) else starts
+        starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))[:len(mine)]
+        rare = np.where(self.column[place] < 0, self.counts[place], 0)
+        work = (np.add.reduceat(rare, starts) + n).cumsum() if len(mine) else starts
         i = 0
         while i < len(starts):  # whole queries, as many as ENTRIES allows
             j = max(i + 1, int(np.searchsorted(work, (work[i - 1] if i else 0) + ENTRIES, "right")))
-            own = mine[starts[i]:starts[j] if j < len(starts) else len(mine)]
-            counts = self.counts[place[own]]
-            posting = np.repeat(self.first[place[own]], counts) + _within(counts)
-            pair, inverse = np.unique(np.repeat(owner[own], counts) * n + self.rows[posting], return_inverse=True)
-            score = np.bincount(inverse, np.repeat(weight[own], counts) * self.weights[posting], minlength=len(pair))
-            out.append(self._completed(queries, pair, score, owner, place, weight, needed, bound, k, exclude_same))
+            own = slice(starts[i], starts[j] if j < len(starts) else len(mine))
+            asked, score = self._scores(owner[own], place[own], weight[own])
+            if exclude_same:
+                score[queries.ids[asked][:, None] == self.ids[None, :]] = 0
+            can = (score > 0) & (score + SLACK >= queries.bars[asked][:, None])
+            open_ = np.flatnonzero(can.sum(axis=1) > MANY * k)  # many rows: their k-th best score is a bar
+            if len(open_):
+                kth = np.partition(score[open_], n - k, axis=1)[:, n - k]
+                can[open_] &= score[open_] + SLACK >= kth[:, None]
+            query, row = np.nonzero(can)
+            out.append(_best(pd.DataFrame({"query": asked[query], "corpus_id": self.ids[row], "score": np.round(score[query, row], SCORE_DIGITS)}), k))
             i = j
         return pd.concat(out)
 
-    def _completed(self, queries, pair, score, owner, place, weight, needed, bound, k, exclude_same) -> pd.DataFrame:
-        """Partial scores of (query, row) pairs, completed by the entries that were put off, where the bar can be reached."""
+    def _scores(self, owner: np.ndarray, place: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Some queries, and the scores of all rows: frequent terms by a matrix product, others by their postings."""
         n = len(self.ids)
-        late = np.flatnonzero(~needed)
-        rest = np.bincount(owner[late], bound[late], minlength=len(queries.ids))
-        can = score + rest[pair // n] + SLACK >= queries.bars[pair // n]
-        if exclude_same:
-            can &= queries.ids[pair // n] != self.ids[pair % n]
-        pair, score = pair[can], score[can]
-        first, last = np.searchsorted(owner[late], pair // n, "left"), np.searchsorted(owner[late], pair // n, "right")
-        for begin in range(0, len(pair), INDEX_ROWS):
-            some = slice(begin, begin + INDEX_ROWS)
-            counts = last[some] - first[some]
-            entry = late[np.repeat(first[some], counts) + _within(counts)] if counts.sum() else np.zeros(0, np.int64)
-            key = self.terms[place[entry]] * n + np.repeat(pair[some] % n, counts)
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            score[some] += np.bincount(np.repeat(np.arange(len(counts)), counts), np.where(self.keys[at] == key, weight[entry] * self.weights[at], 0.0), minlength=len(counts))
-        found = pd.DataFrame({"query": pair // n, "corpus_id": self.ids[pair % n], "score": np.round(score, SCORE_DIGITS)})
-        return _best(found[found["score"] >= queries.bars[found["query"]] - SLACK], k)
+        asked, query = np.unique(owner, return_inverse=True)
+        often = self.column[place] >= 0
+        counts = self.counts[place[~often]]
+        posting = np.repeat(self.first[place[~often]], counts) + _within(counts)
+        score = np.bincount(
+            np.repeat(query[~often], counts) * n + self.rows[posting], np.repeat(weight[~often], counts) * self.weights[posting],
+            minlength=len(asked) * n).astype(np.float64).reshape(len(asked), n)
+        frequent = np.zeros((len(asked), len(self.often)))
+        frequent[query[often], self.column[place[often]]] = weight[often]
+        return asked, score + frequent @ self.often
 
     def _zeros(self, queries: Queries, k: int, exclude_same: bool) -> pd.DataFrame:
         """The lowest ids with score 0 for queries that may need them; a row that scores more is listed again with its score."""
@@ -222,7 +225,10 @@ def top_k_sparse(
         hits = corpus.mapInPandas(scan, schema) if size["rows"] else queries.sparkSession.createDataFrame([], schema)
     else:
         query_blocks = math.ceil(size["n"] * ENTRY_BYTES / block_bytes)
-        corpus_blocks = max(1, math.ceil(corpus.count() / corpus_block_rows))
+        rows, cores = corpus.count(), corpus.sparkSession.sparkContext.defaultParallelism
+        # smaller blocks where there would be fewer than a few per core
+        fill = min(math.ceil(BLOCKS_PER_CORE * cores / query_blocks), math.ceil(rows / INDEX_ROWS))
+        corpus_blocks = max(1, math.ceil(rows / corpus_block_rows), fill)
 
         def every(blocks: int) -> Column:
             return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
