@@ -1,5 +1,8 @@
+import collections
 import hashlib
+import os
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -103,6 +106,68 @@ def test_suffix_array_and_prefixes():
             assert found[b] == same
 
 
+def test_suffix_array_and_prefixes_tell_zero_bytes_from_the_end():
+    rng = np.random.default_rng(3)
+    texts = [np.zeros(n, np.uint8) for n in (1, 2, 7, 8, 9, 40)]
+    texts += [rng.choice([0, 0, 0, 1, 255], n).astype(np.uint8) for n in (5, 16, 17, 300)] + [np.tile(rng.integers(0, 256, 70), 3).astype(np.uint8)]
+    for text in texts:
+        data, n = text.tobytes(), len(text)
+        sa, rank = suffix.suffix_array(text)
+        assert sa.tolist() == sorted(range(n), key=lambda i: data[i:]) and rank[sa].tolist() == list(range(n))
+        starts = np.arange(0, n, 60)
+        for cap in (1, 8, 9, 50, 62):
+            found = suffix.common_prefixes(text, sa, rank, starts, np.minimum(60, n - starts), cap)
+            assert found[sa[0]] == 0
+            for a, b in zip(sa[:-1], sa[1:]):
+                assert found[b] == len(os.path.commonprefix([data[a:a + cap], data[b:b + cap]]))
+
+
+class Held:
+    """Stands for a frame and gives back the function that its groups would be passed to."""
+
+    def groupBy(self, *_):  # noqa: N802
+        return self
+
+    def applyInArrow(self, run, _):  # noqa: N802
+        return run
+
+
+def test_a_shard_hashes_its_text_once(monkeypatch):
+    rng, width = random.Random(5), 50
+    shared = ["".join(rng.choices("ab ", k=rng.randint(width, 75))) for _ in range(40)]
+    rows, sent = [], []
+    for pack in range(4):
+        own = sorted((zlib.crc32(t.encode()) % suffix.PARTS, t, rng.randint(0, 99)) for t in rng.sample(shared, 30))
+        sent.append([(pack, part, text.encode(), low) for part, text, low in own])
+        data = "".join(t for _, t, _ in own).encode()
+        rows.append((0, pack, len(own), suffix._squeeze(np.array([p for p, _, _ in own], np.uint8)), bytes(len(t) - width + 1 for _, t, _ in own),
+                     np.array([low for _, _, low in own], np.int64).tobytes(), len(data), suffix._squeeze(np.frombuffer(data, np.uint8))))
+    hashed, real = [], flat.hash_spans
+    monkeypatch.setattr(flat, "hash_spans", lambda raw, starts, ends, lower=False: hashed.append(int(ends[-1] - starts[0])) or real(raw, starts, ends, lower))
+    table = pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), suffix._SENT.types)], schema=suffix._SENT)
+    out = {r["pack"]: r for r in suffix._resolve(Held(), width)(table).to_pylist()}
+    least = {}
+    for _, part, text, low in sum(sent, []):
+        for i in range(len(text) - width + 1):
+            key = part, text[i:i + width]
+            least[key] = min(low, least.get(key, low))
+    for pack, own in enumerate(sent):
+        bits = suffix._spread(out[pack]["data"][8:], 4 * len(own), "<u4").tolist()
+        assert bits == [sum((least[part, t[i:i + width]] < low) << i for i in range(len(t) - width + 1)) for _, part, t, low in own]
+    assert sum(hashed) <= sum(r[6] for r in rows)
+
+
+def test_merged_keys_tell_which_occur_in_several_documents():
+    rng = np.random.default_rng(6)
+    lists = [np.unique(rng.integers(0, 400, n).astype(np.uint64) * np.uint64(1 << 55 | 1)) for n in (300, 1, 250, 90)]
+    several = [rng.random(len(x)) < 0.1 for x in lists]
+    table = pa.table({"bucket": [2] * 4, "pack": [5, 6, 7, 8], "n": [len(x) for x in lists], "keys": [x.tobytes() for x in lists], "several": [x.tobytes() for x in several]})
+    packs, marked = collections.Counter(k for x in lists for k in x.tolist()), {k for x, m in zip(lists, several) for k in x[m].tolist()}
+    for row, own in zip(suffix._merge_keys(Held(), 3)(table).to_pylist(), lists):
+        flags = suffix._spread(row["data"][8:], len(own), "u1").tolist()
+        assert flags == [(packs[k] > 1 or k in marked) + (packs[k] >= 3) for k in own.tolist()]
+
+
 def test_cut_rows_keep_their_columns(docs, no_docs):
     out = suffix.without_repeats(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
