@@ -45,6 +45,14 @@ def test_only_one_builder_holds_the_lease(spark, tmp_path, monkeypatch):
     assert late._lease(f"{tmp_path}/y") and theirs._lease(f"{tmp_path}/y")  # a lease that has run out is taken over
 
 
+def test_a_lease_given_back_between_two_looks_is_taken(spark, tmp_path, monkeypatch):
+    mine, theirs, path = Stages(spark, str(tmp_path)), Stages(spark, str(tmp_path)), f"{tmp_path}/x"
+    assert mine._lease(path)
+    look = theirs._exists
+    monkeypatch.setattr(theirs, "_exists", lambda p: (mine._release(path), look(p))[1])
+    assert theirs._lease(path)
+
+
 def test_unused_stages_are_removed(spark, tmp_path):
     stages = Stages(spark, str(tmp_path / "s"))
     old, new = stages.keep("a", spark.range(3)), stages.keep("b", spark.range(4))
