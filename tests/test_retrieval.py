@@ -220,3 +220,45 @@ def test_frequent_terms_are_no_postings(monkeypatch):
     np.fill_diagonal(scores, -1)
     assert list(found[found["score"] > 0].sort_values("query")["corpus_id"]) == list(scores.argmax(axis=1))
     assert sum(seen) < 500 * 500 / 10
+
+
+@pytest.mark.parametrize("k, exclude", [(1, True), (1, False), (3, True)])
+def test_a_table_and_itself(spark, monkeypatch, k, exclude):
+    """Each pair of blocks is met once, for both sides; no bars are joined first, and few pairs are scored."""
+    for name, value in (("INDEX_ROWS", 64), ("QUERY_ROWS", 32), ("ENTRIES", 500), ("WIDTH", 16), ("WIDTHS", (8, 64))):
+        monkeypatch.setattr(sparse_topk, name, value)
+    monkeypatch.setattr(sparse_topk, "seed_bars", None)
+    rng = random.Random(11)
+    rows = [{t: rng.uniform(0.5, 1.5) for t in {min(399, int(rng.expovariate(0.03))) for _ in range(rng.choice([0, 2, 5, 40]))}} for _ in range(300)]
+    rows[40:60] = [rows[7]] * 20
+    frame = sparse_frame(spark, rows, "id").repartition(3)
+    got = {}
+    for r in sparse_topk.top_k_sparse(frame, frame, "id", "id", "v", "v", k, exclude, corpus_block_rows=60).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.corpus_id, r.score))
+    for q, query in enumerate(rows):
+        scores = sorted((-round(sum(w * row.get(t, 0.0) for t, w in query.items()), 9), c) for c, row in enumerate(rows) if not (exclude and c == q))[:k]
+        own = sorted(got[q])
+        assert [c for _, c, _ in own] == [c for _, c in scores] and [s for *_, s in own] == pytest.approx([-s for s, _ in scores], abs=2e-9)
+
+
+def test_bounds_leave_few_pairs_to_score(monkeypatch):
+    """Folded vectors rule nearly all pairs out, also where no term is rare; a bound is never below the score."""
+    rng = np.random.default_rng(5)
+    at = pd.Series([np.unique((400 * rng.random(60) ** 2).astype(int)) for _ in range(1500)])
+    value = at.map(lambda a: (lambda v: v / np.sqrt((v * v).sum()))(rng.uniform(0.5, 1.5, len(a))))
+    queries = sparse_topk.Queries.of(pd.DataFrame({"query_id": np.arange(1500), "at": at, "value": value, "bar": 0.0}))
+    index, seen, plain = sparse_topk.Index(np.arange(1500), at, value), [], sparse_topk.Index._scores
+    monkeypatch.setattr(sparse_topk, "WIDTH", 256)
+    monkeypatch.setattr(sparse_topk.Index, "_scores", lambda self, queries, lo, query, *rest: seen.append(len(query)) or plain(self, queries, lo, query, *rest))
+    query, row, score = index.pairs(queries, 1, True)
+    dense = np.zeros((1500, 400))
+    for i, (a, v) in enumerate(zip(at, value)):
+        dense[i, a] = v
+    scores = dense @ dense.T
+    np.fill_diagonal(scores, -1)
+    best = pd.DataFrame({"query": query, "row": row, "score": score}).sort_values(["query", "score"]).groupby("query").last()
+    assert list(best["row"]) == list(scores.argmax(axis=1)) and sum(seen) < 1500 * 1500 / 20
+    wide = np.zeros((1500, 32), np.float32)
+    places, values = queries.fold(queries.counts, queries.terms, queries.weights, 32)
+    wide.reshape(-1)[places] = values
+    assert ((wide @ wide.T) * 1.001 >= dense @ dense.T).all()
