@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadloom.operators import baselines, clustering
+from threadloom.operators.tfidf import TfidfModel
 
 
 @pytest.fixture(scope="module")
@@ -127,3 +128,28 @@ def test_kmeans_models_advance_together(spark, blobs, monkeypatch):
     assert model.cost == pytest.approx(nearest.min(axis=1).sum(), rel=1e-6)
     for c in range(3):
         assert model.centres[c] == pytest.approx(rows[nearest.argmin(axis=1) == c].mean(axis=0), abs=1e-4)
+
+
+def test_simple_baseline_reads_staged_vectors_and_searches_once(spark, monkeypatch):
+    """Texts are weighed once for fit, search and answers, and the search is not run again to count its rows."""
+    train, searched, weighed = training(spark), [], []
+    search, weigh = baselines.top_k_sparse, TfidfModel.transform
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        runs.add(1)
+        return row
+
+    def counted(*args):
+        searched.append(args)
+        found = search(*args)
+        return spark.createDataFrame(found.rdd.map(seen), found.schema)
+
+    monkeypatch.setattr(baselines, "top_k_sparse", counted)
+    monkeypatch.setattr(TfidfModel, "transform", lambda self, *args: weighed.append(args) or weigh(self, *args))
+    model = baselines.fit_classifier(train, "text", "intent")
+    rows = baselines.simple_predictions(train, train, model, "id", "text", "id", "text", "agent_response", exclude_same=True).collect()
+    assert len(rows) == 60 and len(weighed) == 1 and len(searched) == 1 and searched[0][0] is searched[0][1] and runs.value == 60
+    assert all(r["reply"]["reply"] == f"answer {r['id'] % 3}" for r in rows)
+    other = baselines.simple_predictions(spark.createDataFrame(train.collect(), train.schema), train, model, "id", "text", "id", "text", "agent_response", exclude_same=True)
+    assert sorted(map(str, other.collect())) == sorted(map(str, rows))

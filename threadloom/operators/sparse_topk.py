@@ -40,6 +40,8 @@ INDEX_ROWS, QUERY_ROWS, ENTRIES = 4096, 2048, 1 << 18
 # Columns of folded vectors: at first, least and most; one in so many is a term's own.  An entry of a scored pair costs as
 # much as so many products of a tile: columns are doubled until scores cost no more than that, and halved where scores cost few.
 WIDTH, WIDTHS, OWN_SHARE, ENTRY_COST, FEW = 1024, (256, 4096), 4, 800, 10
+# Centres by which rows of a block are sorted, and rounds to find them.
+CENTRES, ROUNDS = 8, 8
 # Doubles of the queries that are spread over their terms at once.
 SPREAD = 1 << 19
 # A term is rare enough to seed bars up to this many postings; a query uses so many of its rarest terms.
@@ -89,7 +91,7 @@ class Queries:
         order = np.argsort(-seen, kind="stable")
         self.rank = np.empty(len(order), np.int64)
         self.rank[order] = np.arange(len(order))
-        self.terms, self.first, self._folded = self.rank[place], _starts(self.counts), {}
+        self.terms, self.first = self.rank[place], _starts(self.counts)
 
     @classmethod
     def of(cls, frame: pd.DataFrame) -> Queries:
@@ -104,30 +106,30 @@ class Queries:
         place = np.minimum(np.searchsorted(self.known, terms), len(self.known) - 1)
         return np.where(self.known[place] == terms, self.rank[place], -1)
 
-    def width(self, wanted: int) -> int:
-        return max(1, min(wanted, len(self.known)))
+    def held(self, lo: int, hi: int) -> np.ndarray:
+        """Weight of every term in some queries."""
+        entries = slice(self.first[lo], self.first[hi])
+        return np.bincount(self.terms[entries], self.weights[entries], minlength=len(self.known))
 
-    def fold(self, counts: np.ndarray, ranks: np.ndarray, weights: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and values of rows folded to so many columns, flat."""
-        width, own = self.width(wanted), wanted // OWN_SHARE
-        if len(self.known) > width:
-            ranks = np.where(ranks < own, ranks, own + (ranks - own) % (width - own))
-        squares = np.bincount(np.repeat(np.arange(len(counts)), counts) * width + ranks, weights * weights, minlength=len(counts) * width)
-        at = np.flatnonzero(squares)
-        return at, np.sqrt(squares[at]).astype(np.float32)
 
-    def folded(self, lo: int, hi: int, wanted: int) -> np.ndarray:
-        """Some queries folded; what is in their columns is kept for the next tile."""
-        if self._folded.get(lo, (0,))[0] != wanted:
-            entries = slice(self.first[lo], self.first[hi])
-            self._folded[lo] = wanted, *self.fold(self.counts[lo:hi], self.terms[entries], self.weights[entries], wanted)
-        return _dense(*self._folded[lo][1:], hi - lo, self.width(wanted))
+def fold(counts: np.ndarray, terms: np.ndarray, weights: np.ndarray, column: np.ndarray, wanted: int, total: int) -> np.ndarray:
+    """Rows folded to ``wanted`` columns, or one for each of the ``total`` terms that have a ``column`` if those are fewer."""
+    width, own = min(wanted, total), total if total <= wanted else wanted // OWN_SHARE
+    place = column[terms]
+    kept = place >= 0
+    row, place, weights = np.repeat(np.arange(len(counts)), counts)[kept], place[kept], weights[kept].astype(np.float32)
+    out = np.zeros((len(counts), width), np.float32)
+    single = place < own
+    out[row[single], place[single]] = weights[single]
+    if not single.all():
+        shared = ~single
+        np.add.at(out.reshape(-1), row[shared] * width + own + (place[shared] - own) % (width - own), weights[shared] * weights[shared])
+        np.sqrt(out[:, own:], out=out[:, own:])
+    return out
 
 
-def _dense(at: np.ndarray, values: np.ndarray, rows: int, width: int) -> np.ndarray:
-    out = np.zeros(rows * width, np.float32)
-    out[at] = values
-    return out.reshape(rows, width)
+def _unit(rows: np.ndarray) -> np.ndarray:
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), np.finfo(rows.dtype).tiny)
 
 
 def _needed(bars: np.ndarray) -> np.ndarray:
@@ -161,59 +163,79 @@ class Index:
         # entries that some query shares
         counts = np.bincount(np.repeat(np.arange(len(self.ids)), self.counts)[kept], minlength=len(self.ids))
         entries = counts, ranks[kept].astype(np.int32), self.weights[kept]
-        folded: dict[int, np.ndarray] = {}
+        held = np.bincount(entries[1], entries[2], minlength=len(queries.known))
         own = None if own_bars is None else own_bars.copy()
         order = np.argsort(self.ids, kind="stable") if exclude_same else None
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        wanted = WIDTH
         tiles = range(0, len(queries.ids), QUERY_ROWS) if only is None else [only]
         for lo in tiles if len(entries[1]) else ():
             hi = min(lo + QUERY_ROWS, len(queries.ids))
-            wanted = queries.widths.get(lo, wanted)
+            # terms of both sides, the weightiest first
+            both = queries.held(lo, hi) * held
+            total = np.count_nonzero(both)
+            if not total:
+                continue
+            column = np.full(len(both), -1)
+            column[np.argsort(-both, kind="stable")[:total]] = np.arange(total)
+            asked = slice(queries.first[lo], queries.first[hi])
+            wanted = queries.widths.get(lo, WIDTH)
             bars, found, tops = queries.bars[lo:hi].copy(), [], []
+
+            def add(query: np.ndarray, row: np.ndarray) -> None:
+                score = self._scores(queries, lo, query, row, entries)
+                _raise(bars, query, score, k)
+                if own is not None:
+                    _raise(own, row, score, k)
+                found.append((query, row, score))
+
+            def take(places: tuple[np.ndarray, np.ndarray]) -> None:
+                add(*places)
+                tops.append(places)
+                bound[places] = -1
+
+            def left() -> tuple[np.ndarray, np.ndarray]:
+                least = _needed(bars)[:, None]
+                if own is not None:
+                    least = np.minimum(least, _needed(own)[None, :])
+                return np.divmod(np.flatnonzero(~(bound < least)), len(self.ids))
+
             while True:
-                if wanted not in folded:
-                    folded = {wanted: _dense(*queries.fold(*entries, wanted), len(self.ids), queries.width(wanted)).T}
-                bound = queries.folded(lo, hi, wanted) @ folded[wanted]
+                width = min(wanted, total)
+                bound = fold(queries.counts[lo:hi], queries.terms[asked], queries.weights[asked], column, wanted, total) @ fold(*entries, column, wanted, total).T
+                bounding = bound.size * width
                 if exclude_same:
                     bound[self._same(queries.ids[lo:hi], order)] = -1
-                if not tops:  # the largest bounds are scored first, for better bars
-                    tops = [_tops(bound, k, _needed(bars))]
-                    if own is not None and lo == tiles[0]:
-                        tops.append(_tops(bound.T, k, _needed(own))[::-1])
-                    for places, reached, side in zip(tops, (bars, own), (0, 1)):
-                        score = self._scores(queries, lo, *places, entries)
-                        _raise(reached, places[side], score, k)
-                        found.append((*places, score))
-                if only is not None:
-                    query, row = (np.zeros(0, np.int64),) * 2
-                    break
                 for places in tops:
                     bound[places] = -1
-                least = _needed(bars)[:, None]
-                if own is not None:
-                    least = np.minimum(least, _needed(own)[None, :])
-                query, row = np.divmod(np.flatnonzero(~(bound < least)), len(self.ids))
-                scoring, bounding = int(counts[row].sum()) * ENTRY_COST, bound.size * queries.width(wanted)
-                if scoring <= 2 * bounding or wanted >= WIDTHS[1] or wanted >= len(queries.known):
+                # the largest bounds are scored first, for better bars; those of rows where it pays
+                if not tops:
+                    take(_tops(bound, k, _needed(bars)))
+                query, row = left() if only is None else tops[0]
+                if own is not None and len(tops) == 1 and (only is not None or counts[row].sum() * ENTRY_COST * FEW > bounding):
+                    take(_tops_by_row(bound, k, _needed(own)))
+                    query, row = left()
+                scoring = int(counts[row].sum()) * ENTRY_COST
+                if only is not None or scoring <= 2 * bounding or width < wanted or wanted >= WIDTHS[1]:
                     break
                 wanted *= 2
-            score = self._scores(queries, lo, query, row, entries)
-            _raise(bars, query, score, k)
-            if own is not None:
-                _raise(own, row, score, k)
-            found.append((query, row, score))
+            if only is None:
+                add(query, row)
             query, row, score = (np.concatenate(x) for x in zip(*found))
             reach = score + SLACK >= bars[query]
             if own is not None:
                 reach |= score + SLACK >= own[row]
             reach &= score > 0
             out.append((query[reach] + lo, row[reach], score[reach]))
-            if only is None:
+            if only is None and width == wanted:
                 queries.widths[lo] = max(wanted // 2, WIDTHS[0]) if scoring * FEW < bounding else wanted
         query, row, score = (np.concatenate(x) for x in zip(*out))
         return query, row, np.round(score, SCORE_DIGITS)
 
+    def held(self, queries: Queries) -> np.ndarray:
+        """Weight of every term of the queries in the tile."""
+        ranks = queries.ranks(self.terms)
+        return np.bincount(ranks[ranks >= 0], self.weights[ranks >= 0], minlength=len(queries.known))
+
     def _same(self, asked: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of queries and rows with one id."""
         held = self.ids[order]
@@ -263,6 +285,16 @@ def _tops(bound: np.ndarray, k: int, needed: np.ndarray) -> tuple[np.ndarray, np
     return row, at[row, place]
 
 
+def _tops_by_row(bound: np.ndarray, k: int, needed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of each column: places in it, and the columns."""
+    if k > 1:
+        return _tops(np.ascontiguousarray(bound.T), k, needed)[::-1]
+    top = bound.max(axis=0)
+    query, row = np.divmod(np.flatnonzero(bound == np.where(top < needed, np.inf, top)), len(top))
+    row, first = np.unique(row, return_index=True)
+    return query[first], row
+
+
 def _raise(bars: np.ndarray, at: np.ndarray, score: np.ndarray, k: int) -> None:
     """Bars of those that have k scores; ``at`` may be in any order."""
     order = np.lexsort((-score, at))
@@ -303,10 +335,14 @@ class Search:
         for start in range(0, len(rows), INDEX_ROWS):
             part = rows.slice(start, INDEX_ROWS) if isinstance(rows, pa.Table) else rows.iloc[start:start + INDEX_ROWS]
             tiles.append((start, Index(np.asarray(part["corpus_id"]), part["at"], part["value"])))
-        asked = len(self.queries.ids)
-        if len(tiles) > 1:  # both sides are sorted alike, so bars start from rows that are as long as the queries
-            for lo in range(0, asked, QUERY_ROWS):
-                self._meet(*tiles[min(lo + QUERY_ROWS // 2, asked - 1) * len(tiles) // asked], other, lo)
+        if len(tiles) > 1:  # bars start from the rows that are most like the queries, and the other way round
+            firsts = range(0, len(self.queries.ids), QUERY_ROWS)
+            asked = np.array([self.queries.held(lo, min(lo + QUERY_ROWS, len(self.queries.ids))) for lo in firsts])
+            held = np.array([index.held(self.queries) for _, index in tiles])
+            like = _unit(asked) @ _unit(held).T
+            meet = {(c, q) for q, c in enumerate(like.argmax(axis=1))} | {(c, q) for c, q in enumerate(like.argmax(axis=0) if other is not None else ())}
+            for c, q in sorted(meet):
+                self._meet(*tiles[c], other, firsts[q])
         for start, index in tiles:
             self._meet(start, index, other)
 
@@ -375,8 +411,25 @@ def _cell_keys(spark: SparkSession, cells: int) -> list[int]:
 
 
 def _sorted(rows: pa.Table) -> pa.Table:
-    """Rows with few entries first: tiles of alike rows need alike columns."""
-    return rows.take(pa.array(np.argsort(rows["at"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False), kind="stable"))).combine_chunks()
+    """Like rows side by side, so that a tile has few terms: by the nearest of a few centres, then by the number of entries."""
+    asking = _asking(rows)
+    order = np.lexsort((asking.counts, _centres(asking)))
+    return rows.take(pa.array(order)).combine_chunks()
+
+
+def _centres(asking: Queries) -> np.ndarray:
+    """Place of each row's centre, from a few rounds over rows folded to few columns."""
+    n = len(asking.ids)
+    centres = min(CENTRES, n // INDEX_ROWS)
+    if centres < 2:
+        return np.zeros(n, np.int64)
+    total = len(asking.known)
+    at = _unit(fold(asking.counts, asking.terms, asking.weights, np.arange(total), WIDTHS[0], total))
+    held = at[:: max(1, n // centres)][:centres]
+    for _ in range(ROUNDS):
+        near = (at @ held.T).argmax(axis=1)
+        held = _unit(np.array([at[near == c].sum(axis=0) if (near == c).any() else held[c] for c in range(centres)]))
+    return near
 
 
 def _asking(rows: pa.Table) -> Queries:
