@@ -147,7 +147,7 @@ def test_simple_baseline_reads_staged_vectors_and_searches_once(spark, monkeypat
 
     monkeypatch.setattr(baselines, "top_k_sparse", counted)
     monkeypatch.setattr(TfidfModel, "transform", lambda self, *args: weighed.append(args) or weigh(self, *args))
-    model = baselines.fit_classifier(train, "text", "intent")
+    model = baselines.fit_classifier(train, "text", "intent", keep_rows=True)
     rows = baselines.simple_predictions(train, train, model, "id", "text", "id", "text", "agent_response", exclude_same=True).collect()
     assert len(rows) == 60 and len(weighed) == 1 and len(searched) == 1 and searched[0][0] is searched[0][1] and runs.value == 60
     assert all(r["reply"]["reply"] == f"answer {r['id'] % 3}" for r in rows)
