@@ -36,7 +36,7 @@ CORPUS_BLOCK_ROWS = 50_000
 # (query block, corpus block) pairs per core at least.
 BLOCKS_PER_CORE = 4
 # Corpus rows and queries of a tile, and entries worked on at once.
-INDEX_ROWS, QUERY_ROWS, ENTRIES = 4096, 2048, 1 << 18
+INDEX_ROWS, QUERY_ROWS, ENTRIES = 2048, 2048, 1 << 18
 # Columns of folded vectors: at first, least and most; one in so many is a term's own.  An entry of a scored pair costs as
 # much as so many products of a tile: columns are doubled until scores cost no more than that, and halved where scores cost few.
 WIDTH, WIDTHS, OWN_SHARE, ENTRY_COST, FEW = 1024, (256, 4096), 4, 800, 10
@@ -89,13 +89,13 @@ class Queries:
     def __post_init__(self):
         self.known, place, seen = np.unique(self.terms, return_inverse=True, return_counts=True)
         order = np.argsort(-seen, kind="stable")
-        self.rank = np.empty(len(order), np.int64)
+        self.rank = np.empty(len(order), np.int32)
         self.rank[order] = np.arange(len(order))
         self.terms, self.first = self.rank[place], _starts(self.counts)
 
     @classmethod
     def of(cls, frame: pd.DataFrame) -> Queries:
-        terms, counts = _flat(frame["at"], np.int64)
+        terms, counts = _flat(frame["at"], np.int32)
         weights, _ = _flat(frame["value"], np.float64)
         return cls(frame["query_id"].to_numpy(), counts, terms, weights, frame["bar"].to_numpy(np.float64).copy())
 
@@ -142,7 +142,7 @@ class Index:
 
     def __init__(self, ids: np.ndarray, at: pd.Series | pa.ChunkedArray, values: pd.Series | pa.ChunkedArray):
         self.ids = ids
-        self.terms, self.counts = _flat(at, np.int64)
+        self.terms, self.counts = _flat(at, np.int32)
         self.weights, _ = _flat(values, np.float64)
 
     def best(self, queries: Queries, k: int, exclude_same: bool) -> pd.DataFrame:
@@ -194,10 +194,10 @@ class Index:
                 bound[places] = -1
 
             def left() -> tuple[np.ndarray, np.ndarray]:
-                least = _needed(bars)[:, None]
+                below = bound < _needed(bars)[:, None]
                 if own is not None:
-                    least = np.minimum(least, _needed(own)[None, :])
-                return np.divmod(np.flatnonzero(~(bound < least)), len(self.ids))
+                    below &= bound < _needed(own)[None, :]
+                return np.divmod(np.flatnonzero(~below), len(self.ids))
 
             while True:
                 width = min(wanted, total)
@@ -433,7 +433,7 @@ def _centres(asking: Queries) -> np.ndarray:
 
 
 def _asking(rows: pa.Table) -> Queries:
-    terms, counts = _flat(rows["at"], np.int64)
+    terms, counts = _flat(rows["at"], np.int32)
     weights, _ = _flat(rows["value"], np.float64)
     return Queries(np.asarray(rows["corpus_id"]), counts, terms, weights, np.zeros(len(rows)))
 
@@ -508,6 +508,8 @@ def top_k_sparse(
                 searches[0].add(many, searches[1])
             else:
                 searches[0].add(few if itself else many)
+            del few, many
+            pa.default_memory_pool().release_unused()  # two workers share what an executor leaves beside its heap
             return pa.Table.from_pandas(pd.concat([x.result() for x in searches]), out, preserve_index=False)
 
         hits = left.groupBy("cell").cogroup(right.groupBy("cell")).applyInArrow(cell, schema)
